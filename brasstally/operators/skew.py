@@ -9,8 +9,8 @@ their rows are spread over several tasks.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -31,6 +31,10 @@ class HotKeys:
     def __bool__(self) -> bool:
         return bool(self.values) or self.nulls
 
+    def mapped(self, change: Callable[[str], str]) -> HotKeys:
+        """The same keys as they look after ``change``, for a join on a derived column."""
+        return replace(self, values=tuple(dict.fromkeys(change(v) for v in self.values)))
+
     def holds(self, column: Column) -> Column:
         listed = F.coalesce(column.isin(*self.values), F.lit(False)) if self.values else F.lit(False)
         return (listed | column.isNull()) if self.nulls else listed
