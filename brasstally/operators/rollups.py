@@ -7,10 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def distinct_list(c: str, separator: str = ", ") -> Column:
-    """Distinct values in order, joined; null when there are none."""
-    quoted = separator.replace("'", "''")
-    return F.expr(f"listagg(DISTINCT `{c}`, '{quoted}') WITHIN GROUP (ORDER BY `{c}`)")
+def distinct_list(values: Column, separator: str = ", ") -> Column:
+    """Values of a set in order, joined; null when there are none."""
+    return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), separator))
 
 
 def distinct_rollup(
@@ -21,13 +20,15 @@ def distinct_rollup(
     Repeated combinations are removed before the shuffle, so a key with very many
     equal rows sends each combination once per task. The lists hold every value.
     """
-    wanted = dict.fromkeys([*keys, *lists.values(), *counts.values()])
-    return (
-        df.select(*wanted)
+    wanted = dict.fromkeys([*lists.values(), *counts.values()])
+    sets = (
+        df.select(*dict.fromkeys([*keys, *wanted]))
         .distinct()
         .groupBy(*keys)
-        .agg(
-            *[F.count_distinct(c).alias(name) for name, c in counts.items()],
-            *[distinct_list(c).alias(name) for name, c in lists.items()],
-        )
+        .agg(*[F.collect_set(c).alias(f"_set_{c}") for c in wanted])
+    )
+    return sets.select(
+        *keys,
+        *[F.size(f"_set_{c}").cast("long").alias(name) for name, c in counts.items()],
+        *[distinct_list(F.col(f"_set_{c}")).alias(name) for name, c in lists.items()],
     )

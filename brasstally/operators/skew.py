@@ -113,7 +113,7 @@ def group_totals(
     hot: HotKeys | None = None,
     spread: Sequence[str] = (),
 ) -> DataFrame:
-    """Every row with aggregates of its whole group. Keys must not be null.
+    """Every row with aggregates of its whole group. Keys must not be null; ``totals`` are bare aggregates.
 
     One shuffle with a window when no group is hot. Otherwise the aggregates are
     combined map-side and joined back with the hot groups spread out.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from brasstally.functions.dates import day
 from brasstally.functions.text import file_name, is_empty, safe_folder, short_url
@@ -147,8 +147,6 @@ def dispatch_outcomes(attempts: DataFrame, *, max_attempts: int = MAX_ATTEMPTS)
     allowed, whichever is earliest; later ones never counted. Per file only the
     attempts up to ``max_attempts`` are kept, cut map-side.
     """
-    from pyspark.sql import Window
-
     tries = Window.partitionBy("batch_id", "file_id").orderBy("attempted_at", "attempt_id")
     counted = attempts.withColumn("attempt", F.row_number().over(tries)).filter(F.col("attempt") <= max_attempts)
     ends = (F.col("status_code") == OK_STATUS) | F.col("status_code").between(400, 499)

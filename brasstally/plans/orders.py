@@ -127,10 +127,11 @@ def order_total_gate(
     totalled = group_totals(
         df.withColumn("_order", F.coalesce("order_number", F.lit(""))),
         ["_order"],
-        {"order_total": F.sum(counted.cast("decimal(24,4)")).cast("decimal(28,4)")},
+        {"order_total": F.sum(counted.cast("decimal(24,4)"))},
         hot=hot,
         spread=spread,
     ).drop("_order")
+    totalled = totalled.withColumn("order_total", F.col("order_total").cast("decimal(28,4)"))
     bad = F.col("order_total") <= 0 if policy == "<=0" else F.col("order_total") == 0
     message = F.concat(
         F.lit("Order "),
