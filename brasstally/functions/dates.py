@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brasstally.functions.text import _col, strip
 
@@ -91,21 +91,28 @@ def schedule_family(frequency: Column | str) -> Column:
     return family
 
 
-def billing_schedule(
-    frequency: Column | str, contract_start: Column | str, service_start: Column | str
-) -> dict[str, Column]:
-    """Suggested schedule, its contract year (from 0), the scenario and a review flag."""
-    months = month_diff(contract_start, service_start)
-    year = F.when(months >= 0, F.floor(months / 12).cast("int"))
-    family = schedule_family(frequency)
-    mapped = family.isNotNull() & year.between(0, SCHEDULE_YEARS - 1)
+def with_billing_schedule(
+    df: DataFrame, frequency: Column | str, contract_start: Column | str, service_start: Column | str
+) -> DataFrame:
+    """Adds the suggested schedule, its contract year (from 0), the scenario and a review flag.
+
+    Family and month count are columns of their own first, so that the labels
+    built from them do not repeat the text matching.
+    """
+    staged = df.withColumns(
+        {"_family": schedule_family(frequency), "_months": month_diff(contract_start, service_start)}
+    ).withColumn("_year", F.when(F.col("_months") >= 0, F.floor(F.col("_months") / 12).cast("int")))
+    year, family = F.col("_year"), F.col("_family")
+    mapped = family.isNotNull() & F.coalesce(year.between(0, SCHEDULE_YEARS - 1), F.lit(False))
     label = F.concat(family, F.lit(" - Yr "), (year + 1).cast("string"))
-    return {
-        "billing_schedule_suggested": F.when(mapped, label).otherwise(SCHEDULE_REVIEW),
-        "billing_schedule_year_offset": year,
-        "billing_schedule_scenario": F.when(months.isNull(), SCENARIO_NO_DATES)
-        .when(year == 0, SCENARIO_ONE_YEAR)
-        .when(year.between(1, SCHEDULE_YEARS - 1), SCENARIO_MULTI_YEAR)
-        .otherwise(SCENARIO_OTHER),
-        "billing_schedule_needs_review": ~F.coalesce(mapped, F.lit(False)),
-    }
+    return staged.withColumns(
+        {
+            "billing_schedule_suggested": F.when(mapped, label).otherwise(SCHEDULE_REVIEW),
+            "billing_schedule_year_offset": year,
+            "billing_schedule_scenario": F.when(F.col("_months").isNull(), SCENARIO_NO_DATES)
+            .when(year == 0, SCENARIO_ONE_YEAR)
+            .when(year.between(1, SCHEDULE_YEARS - 1), SCENARIO_MULTI_YEAR)
+            .otherwise(SCENARIO_OTHER),
+            "billing_schedule_needs_review": ~mapped,
+        }
+    ).drop("_family", "_months", "_year")

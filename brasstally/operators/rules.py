@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -48,11 +48,14 @@ def refuse(df: DataFrame, condition: Column, code: str, message: Column) -> Data
     )
 
 
-def required_fields(df: DataFrame, fields: Sequence[tuple[str, Column]], message: Column | None = None) -> DataFrame:
-    """Refuse rows lacking a field with code ``missing_fields``; the message lists the names."""
-    names = missing_fields(fields)
-    text = message if message is not None else F.concat(F.lit("missing required fields: "), names)
-    return refuse(df, names != "", "missing_fields", text)
+def required_fields(
+    df: DataFrame,
+    fields: Sequence[tuple[str, Column]],
+    message: Callable[[Column], Column] = lambda names: F.concat(F.lit("missing required fields: "), names),
+) -> DataFrame:
+    """Refuse rows lacking a field with code ``missing_fields``; ``message`` gets the names."""
+    named = df.withColumn("_lacks", missing_fields(fields))
+    return refuse(named, F.col("_lacks") != "", "missing_fields", message(F.col("_lacks"))).drop("_lacks")
 
 
 def blank_flags(fields: Sequence[tuple[str, str]], mode: str) -> dict[str, Column]:

@@ -57,7 +57,7 @@ def hot_keys(
     floor = max(min_rows, found["rows"] * share)
     out = {}
     for c in columns:
-        heavy = [x for x in found[f"top_{c}"] or [] if x["count"] >= floor]
+        heavy = [x for x in found[f"top_{c}"] or [] if x["item"] is not None and x["count"] >= floor]
         nulls = found[f"nulls_{c}"]
         most = max([x["count"] for x in heavy] + [nulls if nulls >= floor else 0])
         out[c] = HotKeys(
@@ -129,18 +129,23 @@ def group_totals(
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, into: str = "line_number"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, into: str = "line_number", split: bool = True
 ) -> DataFrame:
-    """1..n within each group, the same on every run.
+    """1..n within each group, the same on every run. Keys must not be null.
 
     Rows are ordered by the first two hex digits of a digest of ``order``, then by
     ``order`` itself, which must tell the rows of a group apart. The digest cuts a
     group of any size into 256 near-equal parts that are numbered separately;
-    only the 256 counts of a group ever meet in one task.
+    only the 256 counts of a group ever meet in one task. ``split=False`` gives
+    the same numbers from one window, for groups known to be small.
     """
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]
     parted = df.withColumn("_part", F.substring(F.md5(F.concat_ws("|", *text)), 1, 2))
-    within = Window.partitionBy(*keys, "_part").orderBy(*[F.asc_nulls_first(c) for c in order])
+    ordered = [F.asc_nulls_first(c) for c in order]
+    if not split:
+        whole = Window.partitionBy(*keys).orderBy("_part", *ordered)
+        return parted.withColumn(into, F.row_number().over(whole).cast("long")).drop("_part")
+    within = Window.partitionBy(*keys, "_part").orderBy(*ordered)
     before = Window.partitionBy(*[f"_key_{k}" for k in keys]).orderBy("_part_key")
     offsets = (
         parted.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_part").alias("_part_key"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brasstally.functions.address import flatten_address, parse_json_map
 from brasstally.functions.text import is_empty, strip
@@ -36,15 +36,16 @@ def prepare_accounts(
 ) -> Result:
     """Customer rows with flat addresses, contract kind and partner; refused without the
     required fields, a mapped reseller or the e-mails their payer kind needs."""
-    fields = missing_order_fields()
-    names = missing_fields(fields)
     account = F.when(
         ~is_empty("billing_account_id"),
         F.concat(F.lit(" (Billing Account ID: "), "billing_account_id", F.lit(")")),
     ).otherwise("")
     kind = F.when(~is_empty("type"), F.concat(F.lit(" (Type: "), "type", F.lit(")"))).otherwise("")
-    message = F.concat(F.lit("Record rejected due to missing required fields: "), names, account, kind)
-    checked = required_fields(open_judgement(accounts), fields, message)
+
+    def message(names: Column) -> Column:
+        return F.concat(F.lit("Record rejected due to missing required fields: "), names, account, kind)
+
+    checked = required_fields(open_judgement(accounts), missing_order_fields(), message)
     flat = flatten_address(checked, "billing_address", "billing", countries=countries, states=states)
     flat = flatten_address(flat, "shipping_address", "shipping", countries=countries, states=states)
     flat = flat.drop("billing_address", "shipping_address").withColumnRenamed(

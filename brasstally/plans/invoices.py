@@ -11,8 +11,8 @@ from brasstally.functions.numbers import MONEY, classify_transaction, external_i
 from brasstally.functions.text import is_empty, merge_emails
 from brasstally.operators.latest import latest_version
 from brasstally.operators.lookups import lookup_join
-from brasstally.operators.rules import missing_fields, open_judgement, refuse
-from brasstally.operators.skew import number_rows
+from brasstally.operators.rules import open_judgement, refuse, required_fields
+from brasstally.operators.skew import hot_keys, number_rows
 from brasstally.result import Result
 
 # Usage kinds are told by words in the revenue type and numbered for the item table.
@@ -68,14 +68,32 @@ def priced(df: DataFrame) -> DataFrame:
     )
 
 
-def numbered(df: DataFrame, invoice_prefix: str, memo_prefix: str, order: Sequence[str]) -> Result:
+# An ERP customer with this many billing accounts has its lines numbered in parts.
+LARGE_CUSTOMER = 10_000
+
+
+def has_large_customer(customers: DataFrame) -> bool:
+    """Whether an ERP customer stands for very many billing accounts.
+
+    After the rollup an account has few lines a month, so only such a customer
+    can make an invoice too long for one task.
+    """
+    return bool(hot_keys(customers, ["id"], share=0.001, min_rows=LARGE_CUSTOMER)["id"].values)
+
+
+def numbered(
+    df: DataFrame, customers: DataFrame, invoice_prefix: str, memo_prefix: str, order: Sequence[str]
+) -> Result:
     """Adds the external id and the line number; rows without an ERP customer are refused first."""
     named = df.withColumn(
         "external_id",
         external_id("transaction_type", "erp_customer_id", "revenue_month_end", invoice_prefix, memo_prefix),
     )
     known = number_rows(
-        named.filter(F.col("external_id").isNotNull()), ["external_id", "transaction_type"], order
+        named.filter(F.col("external_id").isNotNull()),
+        ["external_id", "transaction_type"],
+        order,
+        split=has_large_customer(customers),
     )
     unknown = named.filter(F.col("external_id").isNull()).withColumn("line_number", F.lit(None).cast("long"))
     judged = open_judgement(known).unionByName(
@@ -148,7 +166,7 @@ def usage_invoices(
         ).drop("account_key", "buyer_account", "buyer_partner", "seller_id", "usage")
     )
     order = ["billing_account_id", "crm_account_id", "account_tier", "revenue_type", "status", "item_id"]
-    return numbered(lines, invoice_prefix, memo_prefix, order)
+    return numbered(lines, customers, invoice_prefix, memo_prefix, order)
 
 
 def active_customers(customers: DataFrame) -> DataFrame:
@@ -205,7 +223,7 @@ def product_invoices(
     if strict_one_row:
         first = [F.asc_nulls_first("revenue_type"), F.asc_nulls_first("status")]
         lines = latest_version(lines, ["billing_account_id", "revenue_month_start"], first, deleted=None)
-    return numbered(lines, invoice_prefix, memo_prefix, order)
+    return numbered(lines, customers, invoice_prefix, memo_prefix, order)
 
 
 def totals_by_type(lines: DataFrame) -> DataFrame:
@@ -220,11 +238,9 @@ def totals_by_type(lines: DataFrame) -> DataFrame:
 def check_invoice_lines(lines: DataFrame, fields: Sequence[str] = INVOICE_FIELDS) -> Result:
     """Refuse lines lacking a field the ERP needs; blanks of spaces count as values."""
     missing: list[tuple[str, Column]] = [(f, is_empty(F.col(f).cast("string"))) for f in fields]
-    names = missing_fields(missing)
-    message = F.concat(
-        F.lit("Missing required fields: ["),
-        names,
-        F.lit("] for billing account "),
-        F.coalesce("billing_account_id", F.lit("")),
-    )
-    return Result(refuse(open_judgement(lines), names != "", "missing_fields", message))
+
+    def message(names: Column) -> Column:
+        account = F.coalesce("billing_account_id", F.lit(""))
+        return F.concat(F.lit("Missing required fields: ["), names, F.lit("] for billing account "), account)
+
+    return Result(required_fields(open_judgement(lines), missing, message))

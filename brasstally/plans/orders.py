@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brasstally.functions.address import flatten_address
-from brasstally.functions.dates import as_date, billing_schedule, term_band, term_months
+from brasstally.functions.dates import as_date, term_band, term_months, with_billing_schedule
 from brasstally.functions.numbers import rate, safe_number
 from brasstally.functions.text import is_blank, is_empty, strip
 from brasstally.operators.rules import open_judgement, refuse, required_fields
@@ -159,9 +159,7 @@ def prepare_subscription_orders(
         # Missing order numbers are grouped under the empty string below.
         by_order = HotKeys((*by_order.values, ""), False, by_order.splits)
 
-    fields = missing_order_fields()
-    names = F.concat_ws(", ", *[F.when(c, F.lit(n)) for n, c in fields])
-    checked = required_fields(open_judgement(subs), fields, missing_fields_message(names))
+    checked = required_fields(open_judgement(subs), missing_order_fields(), missing_fields_message)
     flat = flatten_address(checked, "billing_address", "billing", countries=options.countries)
     flat = flatten_address(flat, "shipping_address", "shipping", countries=options.countries)
     flat = flat.drop("billing_address", "shipping_address")
@@ -248,7 +246,7 @@ def prepare_subscription_orders(
     dated = service_dates(branded)
     if options.schedules:
         contract = F.coalesce(as_date("contract_start_date"), F.col("rr_start_date"))
-        dated = dated.withColumns(billing_schedule("billing_frequency", contract, "service_start_date"))
+        dated = with_billing_schedule(dated, "billing_frequency", contract, "service_start_date")
     spanned = group_date_span(dated, options.grouped_products, hot=by_order)
     return Result(order_total_gate(spanned, options.total_policy, hot=by_order))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -33,20 +33,21 @@ def uniqueness(check: str, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _row(repeated, check, F.count("*"))
 
 
-def constant(check: str, rows: DataFrame, column: str, value: object) -> DataFrame:
-    """The column must hold the value in every row."""
-    return _row(rows, check, F.count_if(~F.col(column).eqNullSafe(F.lit(value))))
+def not_constant(column: str, value: object) -> Column:
+    """Rows in which the column holds anything but the value."""
+    return ~F.col(column).eqNullSafe(F.lit(value))
 
 
-def not_prefixed(check: str, rows: DataFrame, column: str, prefixes: Sequence[str]) -> DataFrame:
-    """No value may begin with one of the prefixes."""
+def prefixed(column: str, prefixes: Sequence[str]) -> Column:
+    """Rows whose value begins with one of the prefixes."""
     hit = reduce(lambda a, b: a | b, [F.startswith(F.col(column), F.lit(p)) for p in prefixes])
-    return _row(rows, check, F.count_if(F.coalesce(hit, F.lit(False))))
+    return F.coalesce(hit, F.lit(False))
 
 
-def only_null(check: str, rows: DataFrame, column: str) -> DataFrame:
-    """The column must be null in every row."""
-    return _row(rows, check, F.count_if(F.col(column).isNotNull()))
+def row_checks(rows: DataFrame, bad: Mapping[str, Column]) -> DataFrame:
+    """No row may meet a condition; all conditions on a frame are counted in one pass."""
+    counts = rows.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in bad.items()])
+    return counts.unpivot([], list(bad), "check_name", "failures").withColumn("detail", F.lit(None).cast("string"))
 
 
 def row_count(check: str, rows: DataFrame, baseline: int) -> DataFrame:

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table stored in fewer splits than there are cores over all of them.
+
+    A table of many splits, which is every large one, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass
 class Sources:
     """Table names mapped to catalog tables, files or a function that builds the frame.
@@ -15,14 +24,20 @@ class Sources:
     ``locations`` values: a catalog name ('billing.accounts'), a path ('s3://…/x.parquet',
     '/data/x.parquet') or a callable taking the session. Anything not listed is looked
     up as ``{root}/{name}.{format}`` when ``root`` is set, else in the catalog.
+    ``spread`` names the tables whose rows drive the work, to be dealt over all cores.
     """
 
     spark: SparkSession
     root: str | None = None
     format: str = "parquet"
     locations: Mapping[str, str | Callable[[SparkSession], DataFrame]] = field(default_factory=dict)
+    spread: Collection[str] = ()
 
     def table(self, name: str) -> DataFrame:
+        df = self._read(name)
+        return spread_out(df) if name in self.spread else df
+
+    def _read(self, name: str) -> DataFrame:
         where = self.locations.get(name)
         if callable(where):
             return where(self.spark)

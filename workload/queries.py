@@ -7,12 +7,12 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brasstally.functions.dates import billing_schedule
+from brasstally.functions.dates import with_billing_schedule
 from brasstally.functions.text import inactive_flag
 from brasstally.operators.gates import recency_gate, resolve_payer, run_mode
 from brasstally.operators.latest import latest_version
 from brasstally.operators.rules import open_judgement
-from brasstally.operators.skew import enrich, hot_keys
+from brasstally.operators.skew import HotKeys, enrich, hot_keys
 from brasstally.plans import (
     account_prep,
     accounts,
@@ -342,14 +342,13 @@ def payment_id_backfill(v: Views) -> DataFrame:
 # --- orders ----------------------------------------------------------------------------------
 
 
-def order_input(v: Views) -> DataFrame:
+def order_input(v: Views, hot: HotKeys) -> DataFrame:
     """Order lines with addresses, as the subscription feed hands them over, without its sync gate."""
     subs = v.sub_versions()
     lines = latest_version(subs, ["crm_line_id"], POLICY.newest_first())
     details = latest_version(v.billing_info(), ["id"], [F.desc("updated_at")]).select(
         F.col("account_id").alias("info_account"), "billing_address", "shipping_address", "legal_name"
     )
-    hot = hot_keys(subs, ["billing_account_id"])["billing_account_id"]
     return enrich(
         lines, details, [("billing_account_id", "info_account")], hot=hot, spread=["crm_line_id"]
     ).drop("info_account")
@@ -362,7 +361,10 @@ def _options(**changes) -> orders.OrderOptions:
 
 
 def _orders(v: Views, **changes):
-    return orders.prepare_subscription_orders(order_input(v), _lookups(v), _options(**changes))
+    # Hot keys are looked up once, on the versions: cheaper than on the joined lines.
+    hot = hot_keys(v.sub_versions(), ["billing_account_id", "order_number", "third_party_payer_id"])
+    lines = order_input(v, hot["billing_account_id"])
+    return orders.prepare_subscription_orders(lines, _lookups(v), _options(**changes), hot=hot)
 
 
 @query
@@ -411,8 +413,7 @@ def billing_schedules(v: Views) -> DataFrame:
 
 
     return (
-        v.sub_versions()
-        .withColumns(billing_schedule("billing_frequency", "contract_start_date", "start_date_utc"))
+        with_billing_schedule(v.sub_versions(), "billing_frequency", "contract_start_date", "start_date_utc")
         .groupBy(
             "billing_frequency",
             "billing_schedule_suggested",
@@ -590,9 +591,16 @@ def quality_checks(v: Views) -> DataFrame:
             quality.isolation("usage_rows_of_product_orgs", usage, "billing_account_id", live_orgs, "billing_info_id"),
             quality.allowlist("product_rows_outside_orgs", lines, "billing_account_id", live_orgs, "billing_info_id"),
             quality.uniqueness("invoice_line_repeats", lines, ["external_id", "transaction_type", "line_number"]),
-            quality.constant("payment_term_other", lines, "payment_term", "Autopay"),
-            quality.not_prefixed("usage_with_product_prefix", usage, "external_id", ["PINV", "PCM"]),
-            quality.only_null("product_rows_with_profile", lines, "payment_profile_id"),
+            quality.row_checks(
+                lines,
+                {
+                    "payment_term_other": quality.not_constant("payment_term", "Autopay"),
+                    "product_rows_with_profile": F.col("payment_profile_id").isNotNull(),
+                },
+            ),
+            quality.row_checks(
+                usage, {"usage_with_product_prefix": quality.prefixed("external_id", ["PINV", "PCM"])}
+            ),
             quality.row_count("revenue_rows_against_baseline", v.revenue_records(), 1000),
             quality.distinct_values("product_types_unexpected", v.revenue_records(), "product_type", ["LINE_A"]),
         ]

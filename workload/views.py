@@ -7,7 +7,9 @@ by rules on the columns, so that each branch of an operator is taken.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,6 +18,7 @@ from brasstally.sources.registry import Sources
 AS_OF = datetime(2001, 8, 1)
 CREATED_FROM = datetime(1996, 1, 1)
 EVENTS_AS_OF = datetime(2024, 1, 30)
+DRIVING = ("lineitem", "events")
 
 
 def text(c: str | Column) -> Column:
@@ -34,15 +37,31 @@ def plus_days(moment: Column, days: Column) -> Column:
     return moment + F.make_dt_interval(days.cast("int"))
 
 
+def once(method: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
+    """Build a table's frame only once for each folder object."""
+
+    @wraps(method)
+    def made(self: Views) -> DataFrame:
+        if method.__name__ not in self._made:
+            self._made[method.__name__] = method(self)
+        return self._made[method.__name__]
+
+    return made
+
+
 class Views:
     """The stand-in tables of one data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.sources = Sources(spark, root=folder)
+        self.sources = Sources(spark, root=folder, spread=DRIVING)
+        self._made: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self.sources.table(name)
+        if name not in self._made:
+            self._made[name] = self.sources.table(name)
+        return self._made[name]
 
+    @once
     def sub_versions(self) -> DataFrame:
         rows = (
             self.given("lineitem")
@@ -93,6 +112,7 @@ class Views:
             (F.col("l_discount") == 0).alias("is_deleted"),
         )
 
+    @once
     def accounts(self) -> DataFrame:
         key = F.col("c_custkey")
         segment = F.col("c_mktsegment")
@@ -110,6 +130,7 @@ class Views:
             (key % 31 == 0).alias("is_deleted"),
         )
 
+    @once
     def billing_info(self) -> DataFrame:
         """A current row per account, for some an older one, for some a newer deleted one."""
         key = F.col("c_custkey")
@@ -169,6 +190,7 @@ class Views:
             (kind == "deleted").alias("is_deleted"),
         )
 
+    @once
     def product_orgs(self) -> DataFrame:
         """Organisations of the second product line; several may share billing details."""
         key = F.col("s_suppkey")
@@ -178,6 +200,7 @@ class Views:
             (key % 8 == 7).alias("is_deleted"),
         )
 
+    @once
     def partner_names(self) -> DataFrame:
         """Third-party payer id to partner name; a null name is a payer without one."""
         return self.given("supplier").select(
@@ -185,6 +208,7 @@ class Views:
             F.when(F.col("s_acctbal") >= 2000, F.col("s_name")).alias("partner_name"),
         )
 
+    @once
     def item_map(self) -> DataFrame:
         return (
             self.given("part")
@@ -193,6 +217,7 @@ class Views:
             .select(F.col("p_type").alias("product_code"), F.concat(F.lit("I"), "p_type").alias("erp_item_id"))
         )
 
+    @once
     def band_items(self) -> DataFrame:
         """Item per banded product and term band; one pair is left out of the books."""
         banded = self.item_map().filter(F.col("product_code").isin("ECONOMY", "LARGE"))
@@ -209,6 +234,7 @@ class Views:
             ).alias("band_item_id"),
         )
 
+    @once
     def revenue_records(self) -> DataFrame:
         event = F.col("event_type")
         credits = F.get_json_object("props", "$.k").cast("decimal(18,2)")
@@ -233,6 +259,7 @@ class Views:
             (F.col("event_id") % 50 == 0).alias("is_deleted"),
         )
 
+    @once
     def erp_customers(self) -> DataFrame:
         key = F.col("c_custkey")
         mail = F.concat(F.lit("u"), text(key), F.lit("@example.com"))
@@ -252,6 +279,7 @@ class Views:
             (key % 43 == 0).alias("is_deleted"),
         )
 
+    @once
     def partners(self) -> DataFrame:
         return self.given("nation").select(
             F.col("n_nationkey").cast("long").alias("id"),
@@ -259,6 +287,7 @@ class Views:
             (F.col("n_nationkey") % 9 == 0).alias("is_deleted"),
         )
 
+    @once
     def erp_items(self) -> DataFrame:
         key = F.col("n_nationkey").cast("long")
         return self.given("nation").select(
@@ -269,6 +298,7 @@ class Views:
             F.lit(False).alias("is_deleted"),
         )
 
+    @once
     def payment_profiles(self) -> DataFrame:
         key = F.col("c_custkey")
         known = F.concat(F.lit('{"erp_customer_id":"'), text(key + 100000), F.lit('"}'))
@@ -281,6 +311,7 @@ class Views:
             (key % 53 == 0).alias("is_deleted"),
         )
 
+    @once
     def crm_orders(self) -> DataFrame:
         key = F.col("o_orderkey")
         stray = F.when(key % 10 == 0, "-c").otherwise("")
@@ -300,6 +331,7 @@ class Views:
             (key % 41 == 0).alias("is_deleted"),
         )
 
+    @once
     def erp_transactions(self) -> DataFrame:
         key = F.col("o_orderkey")
         stray = F.when(key % 7 == 0, "-e").otherwise("")
@@ -316,6 +348,7 @@ class Views:
             text("o_custkey").alias("billing_account_id"),
         )
 
+    @once
     def erp_sales_orders(self) -> DataFrame:
         """Sales orders whose memo is the bare order number, several per order."""
         key = F.col("l_orderkey")
@@ -328,6 +361,7 @@ class Views:
             F.when(F.col("l_returnflag") == "N", "Invoice").otherwise("Sales Order").alias("transaction_type"),
         )
 
+    @once
     def owner_history(self) -> DataFrame:
         event = F.col("event_id")
         return self.given("events").select(
@@ -341,6 +375,7 @@ class Views:
             (event % 20 == 0).alias("is_deleted"),
         )
 
+    @once
     def crm_accounts(self) -> DataFrame:
         return (
             self.given("customer")
@@ -349,6 +384,7 @@ class Views:
             .select(F.concat(F.lit("CRM"), text("k")).alias("id"), (F.col("k") % 13 == 0).alias("is_deleted"))
         )
 
+    @once
     def crm_account_map(self) -> DataFrame:
         key = F.col("c_custkey")
         return self.given("customer").select(
@@ -356,6 +392,7 @@ class Views:
             null_when(key % 59 == 0, text(key)).alias("billing_account_id"),
         )
 
+    @once
     def crm_users(self) -> DataFrame:
         key = F.col("c_custkey")
         return self.given("customer").select(
@@ -365,6 +402,7 @@ class Views:
             .alias("email"),
         )
 
+    @once
     def dispatch_attempts(self) -> DataFrame:
         event = F.col("event_type")
         return self.given("events").select(
@@ -381,6 +419,7 @@ class Views:
             F.col("event_id").alias("attempt_id"),
         )
 
+    @once
     def file_manifests(self) -> DataFrame:
         """One request per page with a list of two files; the second has no URL."""
         page = F.col("page_id")
@@ -406,6 +445,7 @@ class Views:
             ).alias("files"),
         )
 
+    @once
     def file_contents(self) -> DataFrame:
         return self.given("pages").select(
             F.col("url").alias("content_url"),
@@ -413,6 +453,7 @@ class Views:
             F.encode("html", "UTF-8").alias("content"),
         )
 
+    @once
     def stored_files(self) -> DataFrame:
         page = F.col("page_id")
         return self.given("pages").select(
@@ -423,6 +464,7 @@ class Views:
             (page % 16 == 0).alias("failed"),
         )
 
+    @once
     def financial_lines(self) -> DataFrame:
         price = F.col("l_extendedprice").cast("decimal(18,2)")
         line = F.col("l_linenumber")
@@ -450,6 +492,7 @@ class Views:
             F.when(line == 7, "").otherwise(text(price)).alias("linked_amount"),
         )
 
+    @once
     def reps(self) -> DataFrame:
         """Customers of the ERP with the e-mail of their sales rep."""
         key = F.col("c_custkey")
@@ -462,6 +505,7 @@ class Views:
             .alias("rep_email"),
         )
 
+    @once
     def contacts(self) -> DataFrame:
         """One contact per order of a customer; some carry the rep's e-mail."""
         order = F.col("o_orderkey")
@@ -473,6 +517,7 @@ class Views:
             .alias("email"),
         )
 
+    @once
     def recipients(self) -> DataFrame:
         key = F.col("c_custkey")
         return self.given("customer").select(
