@@ -42,11 +42,13 @@ def day(value: date | datetime | str) -> Column:
 
 def parse_date(c: Column | str) -> Column:
     """Date in the first ten characters of an ISO string; null when there is none."""
-    return F.try_to_date(F.substring(_col(c), 1, 10), "yyyy-M-d")
+    found = F.try_to_date(F.substring(_col(c), 1, 10), "yyyy-M-d")
+    return F.when(F.year(found) > 0, found)
 
 
 def as_date(c: Column | str) -> Column:
-    return _col(c).cast("date")
+    """Day of a date, a timestamp or ISO text; null for text that is none."""
+    return _col(c).try_cast("date")
 
 
 def month_start(c: Column | str) -> Column:

@@ -71,15 +71,16 @@ def document_manifest(
     such as a ``binaryFile`` scan; only the first bytes of each are carried.
     """
     files = explode_manifests(manifests)
+    # A manifest read from JSON keeps each entry whole; otherwise the known fields make the metadata.
     listed = [c for c in ("id", "name", "url", "billing_account_id") if c in files.columns]
     named = files.withColumns(
         {
             "file_name": file_name("name", "id"),
             "folder": safe_folder("billing_account_id"),
             "metadata": F.map_filter(
-                F.create_map(
-                    *[x for c in listed for x in (F.lit(c), F.col(c).cast("string"))]
-                ),
+                F.col("entry")
+                if "entry" in files.columns
+                else F.create_map(*[x for c in listed for x in (F.lit(c), F.col(c).cast("string"))]),
                 lambda _, v: v.isNotNull(),
             ),
         }
