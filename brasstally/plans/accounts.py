@@ -253,11 +253,12 @@ def owner_change_sync(
     billed = accounts.filter(F.col("status").isin(*statuses)).select(
         F.col("id").alias("billed_id"), F.col("status")
     )
+    # One owner may hold many accounts, so owners are joined as a lookup.
+    owned = lookup_join(newest, newer, [("new_value", "new_user")], how="inner", spread=["crm_account_id"])
+    owned = lookup_join(owned, older, [("old_value", "old_user")], spread=["crm_account_id"])
     out = (
-        newest.join(mapped.select("crm_account_id", "billing_account_id"), "crm_account_id", "inner")
+        owned.join(mapped.select("crm_account_id", "billing_account_id"), "crm_account_id", "inner")
         .join(billed, F.col("billing_account_id") == F.col("billed_id"), "inner")
-        .join(newer, F.col("new_value") == F.col("new_user"), "inner")
-        .join(older, F.col("old_value") == F.col("old_user"), "left")
         .select(
             "billing_account_id",
             "crm_account_id",

@@ -11,6 +11,7 @@ from brasstally.functions.dates import day
 from brasstally.functions.text import file_name, is_empty, safe_folder, short_url
 from brasstally.operators.latest import latest_version
 from brasstally.operators.rules import open_judgement, refuse
+from brasstally.operators.skew import HotKeys, enrich, hot_keys
 from brasstally.result import Result
 
 # What a PDF is known by.
@@ -64,6 +65,7 @@ def document_manifest(
     *,
     allowed_origins: Sequence[str] | None = None,
     magic: bytes = PDF_MAGIC,
+    hot: HotKeys | None = None,
 ) -> Result:
     """Where each listed file goes and with which metadata, or why it does not.
 
@@ -93,7 +95,9 @@ def document_manifest(
     heads = contents.select(
         "content_url", "content_type", F.substring("content", 1, len(magic)).alias("head")
     )
-    found = checked.join(heads, F.col("url") == F.col("content_url"), "left")
+    # Many entries may name one file, or none.
+    hot = hot if hot is not None else hot_keys(files, ["url"])["url"]
+    found = enrich(checked, heads, [("url", "content_url")], hot=hot, spread=["batch_id", "id"])
     found = refuse(found, F.col("content_url").isNull(), "not_found", F.lit("Failed to retrieve file."))
     found = refuse(
         found,

@@ -83,17 +83,21 @@ def service_dates(df: DataFrame) -> DataFrame:
     )
 
 
-def group_date_span(
-    df: DataFrame, products: Sequence[str], *, hot: HotKeys | None = None, spread: Sequence[str] = ("crm_line_id",)
-) -> DataFrame:
-    """For listed products, revenue dates from the first service start to the last service end
-    of the product's accepted lines in the order."""
-    if not products:
-        return df
-    product = F.coalesce(strip("product_code"), F.lit(""))
+def order_keys(df: DataFrame, hot: HotKeys | None) -> HotKeys:
+    """Hot order numbers, looked for if not given; missing numbers are grouped as the empty string."""
+    found = hot if hot is not None else hot_keys(df, ["order_number"])["order_number"]
+    return HotKeys((*found.values, ""), False, found.splits) if found.nulls else found
+
+
+def by_order(df: DataFrame) -> DataFrame:
+    """Adds the group key of the order rules, once, so that they can share one shuffle."""
+    return df.withColumn("_order", F.coalesce("order_number", F.lit("")))
+
+
+def _dates_spanned(df: DataFrame, products: Sequence[str], hot: HotKeys, spread: Sequence[str]) -> DataFrame:
     counted = F.col("reject_code").isNull() if "reject_code" in df.columns else F.lit(True)
     spanned = group_totals(
-        df.withColumns({"_order": F.coalesce("order_number", F.lit("")), "_product": product}),
+        df.withColumn("_product", F.coalesce(strip("product_code"), F.lit(""))),
         ["_order", "_product"],
         {
             "_first": F.min(F.when(counted, F.col("service_start_date"))),
@@ -108,7 +112,36 @@ def group_date_span(
             "rr_start_date": F.when(listed, F.col("_first")).otherwise(F.col("rr_start_date")),
             "rr_end_date": F.when(listed, F.col("_last")).otherwise(F.col("rr_end_date")),
         }
-    ).drop("_order", "_product", "_first", "_last")
+    ).drop("_product", "_first", "_last")
+
+
+def _with_order_total(df: DataFrame, hot: HotKeys, spread: Sequence[str]) -> DataFrame:
+    counted = F.when(F.col("reject_code").isNull(), F.coalesce(safe_number("amount"), F.lit(0)))
+    totalled = group_totals(
+        df, ["_order"], {"order_total": F.sum(counted.cast("decimal(24,4)"))}, hot=hot, spread=spread
+    )
+    return totalled.withColumn("order_total", F.col("order_total").cast("decimal(28,4)"))
+
+
+def _refuse_totals(df: DataFrame, policy: str) -> DataFrame:
+    bad = F.col("order_total") <= 0 if policy == "<=0" else F.col("order_total") == 0
+    message = F.concat(
+        F.lit("Order "),
+        F.coalesce("order_number", F.lit("null")),
+        F.lit(" has a total amount of "),
+        F.col("order_total").cast("string"),
+    )
+    return refuse(df, bad, TOTAL_CODES[policy], message)
+
+
+def group_date_span(
+    df: DataFrame, products: Sequence[str], *, hot: HotKeys | None = None, spread: Sequence[str] = ("crm_line_id",)
+) -> DataFrame:
+    """For listed products, revenue dates from the first service start to the last service end
+    of the product's accepted lines in the order."""
+    if not products:
+        return df
+    return _dates_spanned(by_order(df), products, order_keys(df, hot), spread).drop("_order")
 
 
 def order_total_gate(
@@ -123,23 +156,7 @@ def order_total_gate(
     The sum runs over the whole table. An amount that is no number counts as 0;
     lines without an order number are one order.
     """
-    counted = F.when(F.col("reject_code").isNull(), F.coalesce(safe_number("amount"), F.lit(0)))
-    totalled = group_totals(
-        df.withColumn("_order", F.coalesce("order_number", F.lit(""))),
-        ["_order"],
-        {"order_total": F.sum(counted.cast("decimal(24,4)"))},
-        hot=hot,
-        spread=spread,
-    ).drop("_order")
-    totalled = totalled.withColumn("order_total", F.col("order_total").cast("decimal(28,4)"))
-    bad = F.col("order_total") <= 0 if policy == "<=0" else F.col("order_total") == 0
-    message = F.concat(
-        F.lit("Order "),
-        F.coalesce("order_number", F.lit("null")),
-        F.lit(" has a total amount of "),
-        F.col("order_total").cast("string"),
-    )
-    return refuse(totalled, bad, TOTAL_CODES[policy], message)
+    return _refuse_totals(_with_order_total(by_order(df), order_keys(df, hot), spread), policy).drop("_order")
 
 
 def prepare_subscription_orders(
@@ -154,11 +171,7 @@ def prepare_subscription_orders(
     Banding faults are warnings: the line stays.
     """
     hot = hot if hot is not None else hot_keys(subs, ["order_number", "third_party_payer_id"])
-    by_order = hot["order_number"].mapped(str)
-    if by_order.nulls:
-        # Missing order numbers are grouped under the empty string below.
-        by_order = HotKeys((*by_order.values, ""), False, by_order.splits)
-
+    heavy_orders = order_keys(subs, hot["order_number"])
     checked = required_fields(open_judgement(subs), missing_order_fields(), missing_fields_message)
     flat = flatten_address(checked, "billing_address", "billing", countries=options.countries)
     flat = flatten_address(flat, "shipping_address", "shipping", countries=options.countries)
@@ -247,8 +260,11 @@ def prepare_subscription_orders(
     if options.schedules:
         contract = F.coalesce(as_date("contract_start_date"), F.col("rr_start_date"))
         dated = with_billing_schedule(dated, "billing_frequency", contract, "service_start_date")
-    spanned = group_date_span(dated, options.grouped_products, hot=by_order)
-    return Result(order_total_gate(spanned, options.total_policy, hot=by_order))
+    # The total comes first: rows placed by order serve the rule by order and product as well.
+    totalled = _with_order_total(by_order(dated), heavy_orders, ["crm_line_id"])
+    if options.grouped_products:
+        totalled = _dates_spanned(totalled, options.grouped_products, heavy_orders, ["crm_line_id"])
+    return Result(_refuse_totals(totalled, options.total_policy).drop("_order"))
 
 
 def refused_orders(judged: DataFrame, policy: str = "<=0") -> DataFrame:

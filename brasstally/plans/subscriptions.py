@@ -20,7 +20,7 @@ from brasstally.operators.latest import latest_version, prefixed
 from brasstally.operators.lookups import lookup_join
 from brasstally.operators.rollups import distinct_rollup
 from brasstally.operators.rules import blank_flags
-from brasstally.operators.skew import HotKeys, enrich
+from brasstally.operators.skew import HotKeys, enrich, group_totals
 from brasstally.plans.policy import Hot, Policy, skewed
 
 # Payer kinds that the missing-field report reads the payer's details for.
@@ -297,29 +297,36 @@ def join_coverage(
     )
 
 
-def zero_total_orders(subs: DataFrame, created_from: datetime, policy: Policy = Policy()) -> DataFrame:
+def zero_total_orders(
+    subs: DataFrame, created_from: datetime, policy: Policy = Policy(), *, hot: Hot = None
+) -> DataFrame:
     """Orders whose amounts cancel out, with their lines and types in id order.
 
-    The totals are combined map-side first; only lines of the few orders found are listed.
+    Only lines of the few orders found are listed.
     """
+    hot = skewed(hot, subs, "order_number")
     lines = dated_lines(subs, created_from, policy).filter(orderable(policy))
-    lines = lines.select("order_number", "billing_account_id", "id", "type", "amount")
-    cancelled = (
-        lines.groupBy("order_number", "billing_account_id")
-        .agg(F.sum("amount").cast("decimal(18,4)").alias("total_amount"), F.count("*").alias("line_count"))
-        .filter(F.col("total_amount") == 0)
-        .toDF("zero_order", "zero_account", "total_amount", "line_count")
-    )
-    match = (F.col("order_number") == F.col("zero_order")) & F.col("billing_account_id").eqNullSafe(
-        F.col("zero_account")
+    lines = lines.select("order_number", "billing_account_id", "id", "type", "amount", "crm_line_id")
+    # A missing account is a group of its own.
+    keyed = lines.withColumn("_account", F.coalesce(F.concat(F.lit("="), "billing_account_id"), F.lit("")))
+    totalled = group_totals(
+        keyed,
+        ["order_number", "_account"],
+        {"total": F.sum("amount"), "line_count": F.count("*")},
+        hot=hot["order_number"],
+        spread=["crm_line_id"],
     )
     return (
-        lines.join(cancelled, match)
-        .groupBy("order_number", "billing_account_id", "line_count", "total_amount")
+        totalled.filter(F.col("total") == 0)
+        .groupBy("order_number", "_account")
         .agg(
+            F.first("billing_account_id").alias("billing_account_id"),
+            F.first("line_count").alias("line_count"),
+            F.first("total").cast("decimal(18,4)").alias("total_amount"),
             F.expr("listagg(CAST(id AS STRING), ',') WITHIN GROUP (ORDER BY id)").alias("subscription_ids"),
             F.expr("listagg(type, ',') WITHIN GROUP (ORDER BY id)").alias("types"),
         )
+        .drop("_account")
     )
 
 
