@@ -1,6 +1,7 @@
 """Reading, writing and page-wise runs."""
 
 import json
+import uuid
 
 
 from brasstally.plans import controls, documents
@@ -89,7 +90,7 @@ def test_pages_of_a_stream_are_judged(spark, tmp_path):
     spark.createDataFrame([("a",), (None,), ("b",), (" ",)], "name string").repartition(2).write.json(str(source))
     pages = spark.readStream.schema("name string").option("maxFilesPerTrigger", 1).json(str(source))
     root = checkpoint_root(pages, str(tmp_path / "ck"))
-    query = run_pages(pages, named, str(tmp_path / "out"), name="pages_test", checkpoint=str(tmp_path / "ck"))
+    query = run_pages(pages, named, str(tmp_path / "out"), name=f"pages_{uuid.uuid4().hex}", checkpoint=str(tmp_path / "ck"))
     query.awaitTermination(120)
     assert root
     back = spark.read.parquet(str(tmp_path / "out"))
