@@ -431,8 +431,8 @@ def rate(amount: str, quantity: str) -> str:
     """Quotient of two decimals at four places, half away from zero, with whole-number arithmetic."""
     a, q = f"CAST({amount} * 100 AS HUGEINT)", f"CAST({quantity} * 100 AS HUGEINT)"
     return (
-        f"CASE WHEN {quantity} <> 0 THEN CAST(sign({a}) * sign({q})"
-        f" * ((abs({a}) * 20000 + abs({q})) // (2 * abs({q}))) AS DECIMAL(38,0)) / 10000 END"
+        f"CASE WHEN {quantity} <> 0 THEN CAST(CAST(sign({a}) * sign({q})"
+        f" * ((abs({a}) * 20000 + abs({q})) // (2 * abs({q}))) AS DECIMAL(18,0)) / 10000 AS DECIMAL(18,4)) END"
     )
 
 
