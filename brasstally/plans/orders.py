@@ -210,8 +210,10 @@ def prepare_subscription_orders(
         ),
     ).drop("partner_name")
 
-    product = F.coalesce(strip("product_code"), F.lit(""))
-    coded = gated.withColumn("_code", product)
+    # The total comes before the row-level rest: narrower rows are shuffled, the rule by order and
+    # product finds them in place, and no generated method grows too large for the JIT compiler.
+    totalled = _with_order_total(by_order(gated), heavy_orders, ["crm_line_id"])
+    coded = totalled.withColumn("_code", F.coalesce(strip("product_code"), F.lit("")))
     banded = F.col("_code").isin(*options.banded_products) if options.banded_products else F.lit(False)
     itemed = with_item(term_columns(coded, banded), lookups, options.banded_products, "_code")
     term_failed = banded & F.col("term_months").isNull()
@@ -260,11 +262,9 @@ def prepare_subscription_orders(
     if options.schedules:
         contract = F.coalesce(as_date("contract_start_date"), F.col("rr_start_date"))
         dated = with_billing_schedule(dated, "billing_frequency", contract, "service_start_date")
-    # The total comes first: rows placed by order serve the rule by order and product as well.
-    totalled = _with_order_total(by_order(dated), heavy_orders, ["crm_line_id"])
     if options.grouped_products:
-        totalled = _dates_spanned(totalled, options.grouped_products, heavy_orders, ["crm_line_id"])
-    return Result(_refuse_totals(totalled, options.total_policy).drop("_order"))
+        dated = _dates_spanned(dated, options.grouped_products, heavy_orders, ["crm_line_id"])
+    return Result(_refuse_totals(dated, options.total_policy).drop("_order"))
 
 
 def refused_orders(judged: DataFrame, policy: str = "<=0") -> DataFrame:
