@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from brasstally.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from brasstally.llm.language_id import op7_language_id
+from brasstally.llm.packing import op8_packing
 
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_language_id": op7_language_id,
+    "op8_packing": op8_packing,
 }
 
 ORACLE = {
