@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brasstally.llm.common import SPACE, table, tasks
+from brasstally.llm.common import SPACE, table, tasks, written
 
 FAN_IN = 16
 KEY = ["digest", "sha", "chars"]
@@ -61,8 +61,9 @@ def exact_groups(
     runs = runs or tasks(docs.sparkSession)
     at = ["run", *KEY]
     # A row's run follows from its id and its text: the same on every attempt.
+    # The digests are written, so that the texts are read once for all levels.
     leaf = (
-        digest_rows(docs, id_col, text_col)
+        written(digest_rows(docs, id_col, text_col), "digests")
         .withColumn("run", F.pmod(F.xxhash64("id", "chars"), F.lit(runs)).cast("int"))
         .repartition(tasks(docs.sparkSession), *at)
         .sortWithinPartitions(*at)
