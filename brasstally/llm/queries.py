@@ -5,11 +5,15 @@ from __future__ import annotations
 from brasstally.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from brasstally.llm.language_id import op7_language_id
 from brasstally.llm.packing import op8_packing
+from brasstally.llm.pii import op3_pii
+from brasstally.llm.secrets import op10_secret_scan
 
 QUERIES = {
+    "op3_pii": op3_pii,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE = {
