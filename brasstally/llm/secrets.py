@@ -83,7 +83,10 @@ def scan_history(
 def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counts by kind, the digest of the base spans, and all spans as text."""
     text = F.coalesce(F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","), F.lit(""))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [
+        F.coalesce(F.size(F.array_remove(F.transform("spans", lambda s: s["kind"] == F.lit(k)), F.lit(False))), F.lit(0)).cast("long").alias(f"n_{k}")  # noqa: B023
+        for k in KINDS
+    ]
     return found.select(F.col(id_col).alias("doc_id"), *counts, F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
 
 
