@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from brasstally.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from brasstally.llm.language_id import op7_language_id
+from brasstally.llm.mixing import OP1_SQL, op1_mix_sources
 from brasstally.llm.packing import op8_packing
 from brasstally.llm.pii import op3_pii
 from brasstally.llm.secrets import op10_secret_scan
 
 QUERIES = {
+    "op1_mix_sources": op1_mix_sources,
     "op3_pii": op3_pii,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_language_id": op7_language_id,
@@ -17,5 +19,6 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_mix_sources": OP1_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
