@@ -8,10 +8,12 @@ from brasstally.llm.mixing import OP1_SQL, op1_mix_sources
 from brasstally.llm.packing import op8_packing
 from brasstally.llm.pii import op3_pii
 from brasstally.llm.secrets import op10_secret_scan
+from brasstally.llm.simhash import op4_simhash
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_pii": op3_pii,
+    "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
