@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from brasstally.llm.embedding_dedup import OP2_SQL, op2_embedding_dedup
 from brasstally.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from brasstally.llm.language_id import op7_language_id
 from brasstally.llm.mixing import OP1_SQL, op1_mix_sources
@@ -12,6 +13,7 @@ from brasstally.llm.simhash import op4_simhash
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
@@ -22,5 +24,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_mix_sources": OP1_SQL,
+    "op2_embedding_dedup": OP2_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
