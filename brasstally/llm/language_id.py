@@ -13,7 +13,6 @@ text, and nothing but the text.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 
@@ -30,7 +29,8 @@ ROUNDS = 3
 UNSEEN = 1e-7
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
-BLOCK = 1 << 20
+#: Characters that are split into words at a time.
+BLOCK = 1 << 21
 
 
 def public_pieces(path: str | None = None) -> list[str]:
@@ -55,8 +55,10 @@ class Lattice:
 
     def __init__(self, pieces: list[str]):
         self.index = {p: i for i, p in enumerate(pieces)}
-        self.begins = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
+        #: Every beginning of a piece, with the piece's number where it is one, else -1.
+        self.begins = {p[:k]: -1 for p in pieces for k in range(1, len(p) + 1)} | self.index
         self.unseen = len(pieces)
+        self.longest = max(map(len, pieces))
 
     def arcs(self, word: str) -> list[list[tuple[int, int]]]:
         """For each place in ``▁word``: the (start, piece) of the pieces that end there."""
@@ -70,31 +72,61 @@ class Lattice:
                     break
                 if (k := self.index.get(part)) is not None:
                     ends[j].append((i, k))
-            ends[i + 1].append((i, self.unseen))
+            if text[i] not in self.index:
+                ends[i + 1].append((i, self.unseen))
         return ends
 
-    def score(self, words: list[str], rows: list[list[float]]) -> np.ndarray:
-        """Log probability of each word in each language, summed over its segmentations."""
-        languages = range(len(rows[0]))
-        out = np.empty((len(words), len(rows[0])))
-        for w, word in enumerate(words):
-            forward, logs = [[1.0] * len(rows[0])], 0.0
-            for k, arcs in enumerate(self.arcs(word)[1:], 1):
-                here = [0.0] * len(rows[0])
-                for i, p in arcs:
-                    before, row = forward[i], rows[p]
-                    for x in languages:
-                        here[x] += before[x] * row[x]
-                forward.append(here)
-                if k % 16 == 0:  # keep long words within the range of doubles
-                    most = max(here)
-                    logs += math.log(most)
-                    first = max(0, k - 64)
-                    forward[first:] = [[max(y / most, 1e-280) for y in x] for x in forward[first:]]
-                    forward[:first] = [None] * first
-            out[w] = [math.log(x) + logs for x in forward[-1]]
+    def score(self, words: list[str], probs: np.ndarray) -> np.ndarray:
+        """Log probability of each word in each language, summed over its segmentations.
+
+        Words of one length go forward together, a place at a time.
+        """
+        out = np.empty((len(words), probs.shape[1]))
+        with_none = np.vstack([probs, np.zeros(probs.shape[1])])  # the last row stands for "no such piece"
+        lengths: dict[int, list[int]] = {}
+        for k, word in enumerate(words):
+            lengths.setdefault(len(word), []).append(k)
+        for n, places in lengths.items():
+            for at in range(0, len(places), max(1, 40_000 // (n + 1))):
+                some = places[at : at + max(1, 40_000 // (n + 1))]
+                out[some] = self.forward([words[k] for k in some], n + 1, with_none)
         return out
 
+    def forward(self, words: list[str], n: int, probs: np.ndarray) -> np.ndarray:
+        """The same for words of one length; ``n`` counts the mark before them."""
+        none, reach, wide, get = len(probs) - 1, min(n, self.longest), len(words), self.begins.get
+        flat, found = [], []  # at j, d, w: the piece of word w that ends at place j and began d places before
+        for w, word in enumerate(words):
+            text = "▁" + word
+            for i in range(n):
+                for j in range(i + 1, n + 1):
+                    if (k := get(text[i:j])) is None:
+                        break
+                    if k >= 0:
+                        flat.append((j * reach + j - i) * wide + w)
+                        found.append(k)
+                if text[i] not in self.index:
+                    flat.append(((i + 1) * reach + 1) * wide + w)
+                    found.append(self.unseen)
+        pieces = np.full((n + 2) * reach * wide, none, dtype=np.int32)
+        pieces[flat] = found
+        pieces = pieces[wide:].reshape(-1, wide)  # row j * reach + d - 1
+        forward = np.zeros((n + 1, wide, probs.shape[1]))
+        forward[0] = 1.0
+        logs = np.zeros(forward.shape[1:])
+        for j in range(1, n + 1):
+            for d in range(1, min(j, reach) + 1):
+                row = pieces[j * reach + d - 1]
+                used = np.nonzero(row != none)[0]
+                if len(used):
+                    forward[j, used] += forward[j - d, used] * probs[row[used]]
+            if j % 16 == 0:  # keep long words within the range of doubles
+                most = forward[j]
+                logs += np.log(most)
+                first = max(0, j - reach)
+                forward[first : j + 1] = forward[first : j + 1] / most
+        return np.log(forward[n]) + logs
+
     def expected(self, word: str, column: list[float], n: float, into: dict[int, float]) -> None:
         """Add the expected uses of each piece over ``n`` occurrences of a word of moderate length."""
         ends = self.arcs(word)
@@ -181,30 +213,49 @@ def blocks(text: str) -> Iterator[list[str]]:
 
 
 class Scorer:
-    def __init__(self, pieces: list[str], probs: np.ndarray, remember: int = 200_000):
-        self.lattice, self.rows = Lattice(pieces), probs.tolist()
+    """Scores of whole texts; words met before are remembered, up to a bound."""
+
+    def __init__(self, pieces: list[str], probs: np.ndarray, remember: int = 400_000):
+        self.lattice, self.probs = Lattice(pieces), probs
         self.remember, self.known = remember, {}
         self.table = np.empty((remember, probs.shape[1]))
 
-    def total(self, words: list[str]) -> np.ndarray:
-        new = [w for w in set(words) if w not in self.known]
+    def totals(self, parts: list[list[str]]) -> list[np.ndarray]:
+        """The summed score of each list of words."""
+        every = set().union(*parts)
+        new = [w for w in every if w not in self.known]
         if len(self.known) + len(new) > self.remember:
-            self.known, new = {}, list(set(words))
-        scores = self.lattice.score(new, self.rows)
+            self.known, new = {}, list(every)
         if len(new) > self.remember:
-            place = {w: k for k, w in enumerate(new)}
-            return scores[[place[w] for w in words]].sum(axis=0)
-        self.table[len(self.known) : len(self.known) + len(new)] = scores
+            self.remember = len(new)
+            self.table = np.empty((self.remember, self.probs.shape[1]))
+        self.table[len(self.known) : len(self.known) + len(new)] = self.lattice.score(new, self.probs)
         self.known |= {w: k for k, w in enumerate(new, len(self.known))}
-        return self.table[list(map(self.known.__getitem__, words))].sum(axis=0)
-
-    def text(self, text: str) -> np.ndarray | None:
-        found = None
-        for words in blocks(text.lower()):
-            if words:
-                part = self.total(words)
-                found = part if found is None else found + part
-        return found
+        return [self.table[list(map(self.known.__getitem__, p))].sum(axis=0) for p in parts]
+
+    def texts(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Scores by language, or None for a text without a letter; about ``BLOCK`` characters at a time."""
+        out: list[np.ndarray | None] = [None] * len(texts)
+        parts, owners, held = [], [], 0
+
+        def close():
+            for k, score in zip(owners, self.totals(parts), strict=True):
+                out[k] = score if out[k] is None else out[k] + score
+            parts.clear()
+            owners.clear()
+
+        for k, text in enumerate(texts):
+            for words in blocks((text or "").lower()):
+                if words:
+                    parts.append(words)
+                    owners.append(k)
+                    held += sum(map(len, words))
+                if held > BLOCK:
+                    close()
+                    held = 0
+        if parts:
+            close()
+        return out
 
 
 def predict(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], text_col: str = "text") -> DataFrame:
@@ -227,8 +278,8 @@ def predict(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], tex
         scorer = Scorer(*held.value)
         for batch in batches:
             names, scores = [], []
-            for text in batch.column(at):
-                logs = scorer.text(text.as_py() or "") if languages else None
+            texts = batch.column(at).to_pylist()
+            for logs in scorer.texts(texts) if languages else [None] * len(texts):
                 if logs is None:
                     names.append(UNKNOWN)
                     scores.append(0.0)
