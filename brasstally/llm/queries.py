@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from brasstally.llm.embedding_dedup import OP2_SQL, op2_embedding_dedup
 from brasstally.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from brasstally.llm.html_extract import op6_html_extract
 from brasstally.llm.language_id import op7_language_id
 from brasstally.llm.mixing import OP1_SQL, op1_mix_sources
 from brasstally.llm.packing import op8_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_html_extract": op6_html_extract,
     "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
     "op10_secret_scan": op10_secret_scan,
