@@ -11,6 +11,7 @@ from brasstally.llm.packing import op8_packing
 from brasstally.llm.pii import op3_pii
 from brasstally.llm.secrets import op10_secret_scan
 from brasstally.llm.simhash import op4_simhash
+from brasstally.llm.substring_dedup import op9_substring_dedup
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_html_extract": op6_html_extract,
     "op7_language_id": op7_language_id,
     "op8_packing": op8_packing,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 
