@@ -14,13 +14,20 @@ ADDRESS_FIELDS = ("firstName", "lastName", "email", "country", "state", "postalC
 
 
 def parse_json_map(c: Column | str) -> Column:
-    """Keys and values of a JSON object as text; null when it cannot be read."""
-    return F.from_json(_col(c), "map<string,string>", {"mode": "PERMISSIVE"})
+    """Keys and values of a JSON object as text; null unless the whole text is one object.
+
+    The object is read inside another whose last field must come through: what
+    follows an object, or a broken one, would take that field away. As the only
+    element of an array it can bring no field of its own along.
+    """
+    whole = F.from_json(F.concat(F.lit('{"v":'), _col(c), F.lit(',"end":1}')), "v map<string,string>, end int")
+    alone = F.json_array_length(F.concat(F.lit("["), _col(c), F.lit("]"))) == 1
+    return F.when((whole["end"] == 1) & alone, whole["v"])
 
 
 def json_text(c: Column | str, key: str) -> Column:
-    """Scalar under a top-level key; null for an object, an array or unreadable text."""
-    value = F.get_json_object(_col(c), f"$.{key}")
+    """Scalar under a top-level key, the last of repeated ones; null for an object, an array or unreadable text."""
+    value = parse_json_map(c)[key]
     return F.when(~F.startswith(value, F.lit("{")) & ~F.startswith(value, F.lit("[")), value)
 
 

@@ -24,9 +24,9 @@ def safe_number(c: Column | str) -> Column:
 
 
 def rate(amount: Column | str, quantity: Column | str) -> Column:
-    """Unit price at four places; null for no quantity or quantity zero."""
-    ratio = F.try_divide(_col(amount).cast("decimal(18,4)"), _col(quantity).cast("decimal(18,4)"))
-    return ratio.cast(RATE)
+    """Unit price at four places; null for no quantity, quantity zero or amounts beyond the type."""
+    ratio = F.try_divide(_col(amount).try_cast("decimal(18,4)"), _col(quantity).try_cast("decimal(18,4)"))
+    return ratio.try_cast(RATE)
 
 
 def classify_transaction(amount: Column | str) -> Column:

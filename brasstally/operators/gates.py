@@ -45,6 +45,31 @@ def recency_gate(
     return df.filter(any_of([F.coalesce(F.col(c) >= floor, F.lit(False)) for c in columns]))
 
 
+def with_changes(
+    versions: DataFrame,
+    key: str,
+    related: Sequence[tuple[str, DataFrame, str]],
+    as_of: datetime,
+    window: timedelta = SYNC_WINDOW,
+    *,
+    synced: str = "synced_at",
+) -> DataFrame:
+    """All versions of the keys of which any version, or any row related to one, was synced inside the window.
+
+    ``related`` has (column of versions, frame, its key). What a run ranks and joins
+    then follows what changed, not all history. A superset of what a recency gate
+    behind the joins would keep: the gate still decides.
+    """
+    floor = cutoff(as_of, window)
+    changed = versions.withColumn("_changed", F.coalesce(F.col(synced) >= floor, F.lit(False)))
+    for i, (column, rows, rows_key) in enumerate(related):
+        recent = rows.filter(F.col(synced) >= floor).select(F.col(rows_key).alias(f"_near{i}")).distinct()
+        changed = changed.join(recent, F.col(column) == F.col(f"_near{i}"), "left")
+        changed = changed.withColumn("_changed", F.col("_changed") | F.col(f"_near{i}").isNotNull())
+    keys = changed.filter("_changed").select(F.col(key).alias("_key")).distinct()
+    return versions.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+
+
 def synced_between(df: DataFrame, columns: Sequence[str], start: datetime, end: datetime) -> DataFrame:
     """Rows with any of the timestamps in [start, end)."""
     inside = [(F.col(c) >= stamp(start)) & (F.col(c) < stamp(end)) for c in columns]

@@ -1,4 +1,4 @@
-"""Joins to small tables given by the user: partner names, items, codes."""
+"""Joins to tables given by the user: partner names, items, codes."""
 
 from __future__ import annotations
 
@@ -6,32 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from brasstally.operators.skew import HotKeys, _all, enrich, hot_keys
+from brasstally.operators.skew import _all
 
-# A lookup up to this many rows is sent to every task; a larger one is joined by shuffle.
-LOOKUP_ROWS = 200_000
 
+def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]], *, how: str = "left") -> DataFrame:
+    """Join a lookup table and drop its key columns.
 
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[tuple[str, str]],
-    *,
-    spread: Sequence[str],
-    how: str = "left",
-    hot: HotKeys | None = None,
-    limit: int = LOOKUP_ROWS,
-) -> DataFrame:
-    """Join a table expected to be small, and drop its key columns.
-
-    A count that stops at ``limit`` decides: up to it the table is broadcast, so
-    the large side is not shuffled by a key with few values; beyond it the join is
-    the skew-safe one, with hot keys of the large side looked up if not given.
+    Spark broadcasts the table where its size in bytes allows; otherwise adaptive
+    execution splits the keys that many rows share.
     """
-    keys = [r for _, r in on]
-    if lookup.limit(limit + 1).count() <= limit:
-        match = _all([F.col(l) == F.col(r) for l, r in on])
-        return df.join(F.broadcast(lookup), match, how).drop(*keys)
-    first = on[0][0]
-    hot = hot if hot is not None else hot_keys(df, [first])[first]
-    return enrich(df, lookup, on, how=how, hot=hot, spread=spread).drop(*keys)
+    match = _all([F.col(l) == F.col(r) for l, r in on])
+    return df.join(lookup, match, how).drop(*[r for _, r in on])

@@ -1,24 +1,18 @@
 """Joins, group totals and numbering that survive a key holding a large share of all rows.
 
-``hot_keys`` finds such keys with one mergeable sketch: a single pass, no
-shuffle, and an answer bounded by ``1 / share`` values per column. With none
-found, the steps below are ordinary joins and windows. With some found, only
-their rows are spread over several tasks.
+There is one form of each, whatever the size. Totals are combined map-side and joined
+back, numbers are given within 256 parts of a group, and joins are Spark's own, whose
+hot keys adaptive execution splits. Where adaptive execution is off, a caller who
+knows the hot keys of a join from table statistics may name them.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key with fewer rows than this never makes a slow task.
-HOT_ROWS = 1_000_000
-HOT_SHARE = 0.01
-MAX_SPLITS = 1024
-
 
 @dataclass(frozen=True)
 class HotKeys:
@@ -43,31 +37,6 @@ class HotKeys:
 NONE_HOT = HotKeys()
 
 
-def hot_keys(
-    df: DataFrame, columns: Sequence[str], *, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> dict[str, HotKeys]:
-    """Heavy values of each column. Wrong only in speed if it misses one, never in result."""
-    top = math.ceil(1 / share)
-    tracked = min(1_000_000, 100 * top)
-    found = df.agg(
-        F.count("*").alias("rows"),
-        *[F.expr(f"approx_top_k(`{c}`, {top}, {tracked})").alias(f"top_{c}") for c in columns],
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns],
-    ).first()
-    floor = max(min_rows, found["rows"] * share)
-    out = {}
-    for c in columns:
-        heavy = [x for x in found[f"top_{c}"] or [] if x["item"] is not None and x["count"] >= floor]
-        nulls = found[f"nulls_{c}"]
-        most = max([x["count"] for x in heavy] + [nulls if nulls >= floor else 0])
-        out[c] = HotKeys(
-            tuple(x["item"] for x in heavy),
-            nulls >= floor,
-            max(2, min(MAX_SPLITS, math.ceil(most / min_rows))),
-        )
-    return out
-
-
 def enrich(
     left: DataFrame,
     right: DataFrame,
@@ -77,9 +46,9 @@ def enrich(
     hot: HotKeys | None = None,
     spread: Sequence[str] = (),
 ) -> DataFrame:
-    """Equi-join whose left side may be hot on its first key.
+    """Equi-join. Right columns must be named apart from left ones.
 
-    Right columns must be named apart from left ones. Rows of hot keys are dealt
+    With ``hot``, rows of these keys of the left side's first column are dealt
     over ``hot.splits`` slots by a hash of ``spread`` (columns that tell the rows
     apart); the right rows of those few keys are repeated once per slot. Null
     keys match nothing, so they are dealt out and nothing is repeated for them.
@@ -115,12 +84,9 @@ def group_totals(
 ) -> DataFrame:
     """Every row with aggregates of its whole group. Keys must not be null; ``totals`` are bare aggregates.
 
-    One shuffle with a window when no group is hot. Otherwise the aggregates are
-    combined map-side and joined back with the hot groups spread out.
+    The aggregates are combined map-side and joined back, so that no group need fit
+    in one task.
     """
-    if not hot:
-        group = Window.partitionBy(*keys)
-        return df.withColumns({name: agg.over(group) for name, agg in totals.items()})
     renamed = [f"_key_{k}" for k in keys]
     summed = df.groupBy(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).agg(
         *[agg.alias(name) for name, agg in totals.items()]
@@ -129,22 +95,18 @@ def group_totals(
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, into: str = "line_number", split: bool = True
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], *, into: str = "line_number"
 ) -> DataFrame:
     """1..n within each group, the same on every run. Keys must not be null.
 
     Rows are ordered by the first two hex digits of a digest of ``order``, then by
     ``order`` itself, which must tell the rows of a group apart. The digest cuts a
     group of any size into 256 near-equal parts that are numbered separately;
-    only the 256 counts of a group ever meet in one task. ``split=False`` gives
-    the same numbers from one window, for groups known to be small.
+    only the 256 counts of a group ever meet in one task.
     """
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]
     parted = df.withColumn("_part", F.substring(F.md5(F.concat_ws("|", *text)), 1, 2))
     ordered = [F.asc_nulls_first(c) for c in order]
-    if not split:
-        whole = Window.partitionBy(*keys).orderBy("_part", *ordered)
-        return parted.withColumn(into, F.row_number().over(whole).cast("long")).drop("_part")
     within = Window.partitionBy(*keys, "_part").orderBy(*ordered)
     before = Window.partitionBy(*[f"_key_{k}" for k in keys]).orderBy("_part_key")
     offsets = (

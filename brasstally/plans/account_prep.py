@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from brasstally.functions.address import flatten_address, parse_json_map
 from brasstally.functions.text import is_empty, strip
 from brasstally.operators.rules import missing_fields, open_judgement, refuse, required_fields
-from brasstally.operators.skew import HotKeys
 from brasstally.plans.orders import missing_order_fields
 from brasstally.plans.validation import with_partner
 from brasstally.result import Result
@@ -32,18 +31,17 @@ def prepare_accounts(
     *,
     countries: Mapping[str, str] | None = None,
     states: Mapping[str, str] | None = None,
-    hot: HotKeys | None = None,
 ) -> Result:
     """Customer rows with flat addresses, contract kind and partner; refused without the
     required fields, a mapped reseller or the e-mails their payer kind needs."""
     account = F.when(
         ~is_empty("billing_account_id"),
-        F.concat(F.lit(" (Billing Account ID: "), "billing_account_id", F.lit(")")),
+        F.concat(F.lit(" (account "), "billing_account_id", F.lit(")")),
     ).otherwise("")
-    kind = F.when(~is_empty("type"), F.concat(F.lit(" (Type: "), "type", F.lit(")"))).otherwise("")
+    kind = F.when(~is_empty("type"), F.concat(F.lit(" (type "), "type", F.lit(")"))).otherwise("")
 
     def message(names: Column) -> Column:
-        return F.concat(F.lit("Record rejected due to missing required fields: "), names, account, kind)
+        return F.concat(F.lit("lacks "), names, account, kind)
 
     checked = required_fields(open_judgement(accounts), missing_order_fields(), message)
     flat = flatten_address(checked, "billing_address", "billing", countries=countries, states=states)
@@ -52,7 +50,7 @@ def prepare_accounts(
         "billing_attention", "billaddress_attention"
     )
     contract = F.when(F.lower("contract_type") == SALES_ASSISTED, PREPAID).otherwise(SELF_SERVICE)
-    named = with_partner(flat, partner_names, hot).withColumns(
+    named = with_partner(flat, partner_names).withColumns(
         {
             "sales_rep": F.lit(""),
             "contract_type": F.when(is_empty("contract_type"), F.col("contract_type")).otherwise(contract),
@@ -63,21 +61,21 @@ def prepare_accounts(
         (F.col("payer_type") == "RESELLER") & F.col("partner_name").isNull(),
         "invalid_reseller_mapping",
         F.concat(
-            F.lit("Record rejected: RESELLER payer requires a mapped third_party_payer_id, but none was found for '"),
+            F.lit("no partner is known for payer '"),
             F.coalesce(strip("third_party_payer_id"), F.lit("")),
             F.lit("'."),
         ),
     )
     lacking = F.concat_ws(
         "; ",
-        F.when(is_empty("billing_email"), F.lit("billing_email missing")),
-        F.when(is_empty("shipping_email"), F.lit("shipping_email missing")),
+        F.when(is_empty("billing_email"), F.lit("billing_email")),
+        F.when(is_empty("shipping_email"), F.lit("shipping_email")),
     )
     mailed = refuse(
         gated,
         F.col("payer_type").isin(*EMAIL_PAYERS) & (lacking != ""),
         "missing_email",
-        F.concat(F.lit("Record rejected: "), lacking),
+        F.concat(F.lit("this payer needs mail: "), lacking),
     )
     partner = F.when(F.col("third_party_payer_id") == strip("third_party_payer_id"), F.col("partner_name"))
     flag = partner.isNotNull() & F.coalesce(F.col("payer_type").isin(*PARTNER_PAYERS), F.lit(False))
@@ -88,12 +86,12 @@ def prepare_accounts(
     )
 
 
-def prepare_product_accounts(accounts: DataFrame, *, fail_fast: bool = True) -> Result:
+def prepare_product_accounts(accounts: DataFrame) -> Result:
     """Customer rows of the product line: e-mail, country and zip from the billing address.
 
-    No address or an unreadable one refuses the row. A readable address lacking one
-    of the three stops the run with ``MissingBillingFields``, found by one limited
-    action; with ``fail_fast=False`` such rows are refused instead.
+    No address, an unreadable one or one that lacks one of the three refuses the row.
+    ``stop_on_missing`` turns refusals of the last kind into an error, once the rows
+    are written.
     """
     parsed = parse_json_map("billing_address")
     taken = {"billing_email": "email", "billing_country": "country", "billing_zip": "postalCode"}
@@ -101,26 +99,29 @@ def prepare_product_accounts(accounts: DataFrame, *, fail_fast: bool = True) ->
     read = read.withColumns({c: F.nullif(F.col("_address")[k], F.lit("")) for c, k in taken.items()})
     account = F.when(
         ~is_empty("billing_account_id"),
-        F.concat(F.lit(" (Billing Account ID: "), "billing_account_id", F.lit(")")),
+        F.concat(F.lit(" (account "), "billing_account_id", F.lit(")")),
     ).otherwise("")
     checked = refuse(
         read,
         is_empty("billing_address"),
         "missing_fields",
-        F.concat(F.lit("Record rejected due to missing required fields: billing_address"), account),
+        F.concat(F.lit("lacks billing_address"), account),
     )
     checked = refuse(
         checked,
         F.col("_address").isNull(),
         "invalid_billing_address",
-        F.concat(F.lit("Record rejected: failed to parse billing_address"), account),
+        F.concat(F.lit("billing_address is no JSON object"), account),
     )
     names = missing_fields([(c, F.col(c).isNull()) for c in taken])
-    fatal = F.concat(F.lit("missing or empty fields after parsing billing_address: ["), names, F.lit("]"), account)
+    fatal = F.concat(F.lit("billing_address holds none of ["), names, F.lit("]"), account)
     judged = refuse(checked, names != "", "fatal_missing_fields", fatal)
-    if fail_fast:
-        bad = judged.filter(F.col("reject_code") == "fatal_missing_fields").select("reject_message").head(1)
-        if bad:
-            raise MissingBillingFields(bad[0]["reject_message"])
     legal = F.when(is_empty("legal_name"), F.col("billing_email")).otherwise(F.col("legal_name"))
     return Result(judged.withColumn("legal_name", legal).drop("_address"))
+
+
+def stop_on_missing(judged: DataFrame) -> None:
+    """Raise if written product accounts hold a readable address without the fields it must have."""
+    bad = judged.filter(F.col("reject_code") == "fatal_missing_fields").select("reject_message").head(1)
+    if bad:
+        raise MissingBillingFields(bad[0]["reject_message"])

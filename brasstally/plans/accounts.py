@@ -16,6 +16,7 @@ from brasstally.operators.gates import (
     resolve_payer,
     synced_between,
     unexpired,
+    with_changes,
 )
 from brasstally.operators.latest import latest_version, prefixed
 from brasstally.operators.lookups import lookup_join
@@ -49,8 +50,9 @@ def account_sync(
     Expiry is judged before the newest version is picked, so an older open version
     may stand for a line. Deleted billing details are not left out.
     """
-    hot = skewed(hot, subs, "billing_account_id")["billing_account_id"]
-    live = subs.filter(unexpired(as_of))
+    hot = skewed(hot, "billing_account_id")["billing_account_id"]
+    near = [("billing_account_id", accounts, "id"), ("billing_account_id", info, "account_id")]
+    live = with_changes(subs, "crm_line_id", near, as_of, policy.window).filter(unexpired(as_of))
     newest = resolve_payer(
         latest_version(live, ["crm_line_id"], policy.newest_first()), policy.third_party_types
     )
@@ -77,6 +79,44 @@ def account_sync(
     return recency_gate(full, ["synced_at", "account_synced_at", "info_synced_at"], as_of, policy.window)
 
 
+def account_stage_counts(
+    subs: DataFrame, accounts: DataFrame, info: DataFrame, as_of: datetime, policy: Policy = Policy()
+) -> DataFrame:
+    """Lines left after each stage of the account feed, in order: where a row went that is looked for.
+
+    The recency of a line counts over the line, its account and its billing details.
+    """
+    floor = cutoff(as_of, policy.window)
+    open_ = unexpired(as_of)
+    before = subs.agg(
+        F.count("*").alias("1_raw"),
+        F.count_if(~F.col("is_deleted")).alias("2_live"),
+        F.count_if(~F.col("is_deleted") & open_).alias("3_unexpired"),
+    )
+    newest = latest_version(subs.filter(open_), ["crm_line_id"], policy.newest_first())
+    newest = newest.select("billing_account_id", "order_number", "type", "synced_at")
+    # One row per account, so that no line counts twice.
+    states = latest_version(accounts, ["id"], [F.desc_nulls_last("synced_at"), F.asc_nulls_last("status")], deleted=None)
+    details = info.groupBy("account_id").agg(F.max("synced_at").alias("synced_at"))
+    joined = newest.join(prefixed(states, "account"), F.col("billing_account_id") == F.col("account_id"), "left").join(
+        prefixed(details, "info"), F.col("billing_account_id") == F.col("info_account_id"), "left"
+    )
+    ordered = F.col("order_number").isNotNull() & not_in("type", policy.free_types)
+    on_account = ordered & F.col("account_id").isNotNull()
+    billed = on_account & billable_account(policy, exempt=True)
+    recent = any_of([F.coalesce(F.col(c) >= floor, F.lit(False)) for c in ("synced_at", "account_synced_at", "info_synced_at")])
+    after = joined.agg(
+        F.count("*").alias("4_newest"),
+        F.count_if(ordered).alias("5_ordered"),
+        F.count_if(on_account).alias("6_on_account"),
+        F.count_if(billed).alias("7_billed"),
+        F.count_if(billed & recent).alias("8_recent"),
+    )
+    return before.unpivot([], before.columns, "stage", "records").unionByName(
+        after.unpivot([], after.columns, "stage", "records")
+    )
+
+
 def missing_account_fields(
     subs: DataFrame,
     accounts: DataFrame,
@@ -88,7 +128,7 @@ def missing_account_fields(
     hot: Hot = None,
 ) -> DataFrame:
     """Billed accounts of which all of billing address, shipping address and legal name are blank."""
-    hot = skewed(hot, subs, "billing_account_id")["billing_account_id"]
+    hot = skewed(hot, "billing_account_id")["billing_account_id"]
     newest = latest_version(subs, ["crm_line_id"], policy.newest_first()).filter(not_in("type", policy.free_types))
     on_account = enrich(
         newest,
@@ -190,7 +230,7 @@ def product_account_sync(
 ) -> DataFrame:
     """Open subscriptions of one product line with payment details: newest per organisation,
     then one row per billing account, a known payment profile first."""
-    hot = skewed(hot, subs, "billing_account_id")["billing_account_id"]
+    hot = skewed(hot, "billing_account_id")["billing_account_id"]
     open_subs = subs.filter(
         ~F.col("is_deleted")
         & F.col("termination_date_utc").isNull()
@@ -203,8 +243,6 @@ def product_account_sync(
         members,
         [("billing_account_id", "billing_info_id")],
         how="inner",
-        hot=hot,
-        spread=["crm_line_id"],
     )
     newest = latest_version(in_line, ["org_id"], policy.newest_first(), deleted=None)
     paying = prefixed(
@@ -254,8 +292,8 @@ def owner_change_sync(
         F.col("id").alias("billed_id"), F.col("status")
     )
     # One owner may hold many accounts, so owners are joined as a lookup.
-    owned = lookup_join(newest, newer, [("new_value", "new_user")], how="inner", spread=["crm_account_id"])
-    owned = lookup_join(owned, older, [("old_value", "old_user")], spread=["crm_account_id"])
+    owned = lookup_join(newest, newer, [("new_value", "new_user")], how="inner")
+    owned = lookup_join(owned, older, [("old_value", "old_user")])
     out = (
         owned.join(mapped.select("crm_account_id", "billing_account_id"), "crm_account_id", "inner")
         .join(billed, F.col("billing_account_id") == F.col("billed_id"), "inner")

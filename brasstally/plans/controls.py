@@ -25,10 +25,10 @@ FINANCIAL_AMOUNTS = (
 def control_totals(df: DataFrame, amount: str = "amount", key: str = "billing_account_id") -> DataFrame:
     """One row: records, valid and invalid ones, total, id hash total, average of the valid.
 
-    An amount that is no number counts as 0 and is counted in ``bad_amounts``.
+    An amount that is no number, or too large for one, counts as 0 and is counted in ``bad_amounts``.
     """
     valid = ~is_blank(key)
-    number = safe_number(amount).cast("decimal(24,4)")
+    number = safe_number(amount).try_cast("decimal(24,4)")
     sums = df.agg(
         F.count("*").alias("record_count"),
         F.count_if(valid).alias("valid_records"),
@@ -68,7 +68,7 @@ def stamp_control_totals(df: DataFrame, amount: str = "amount", key: str = "bill
         {name: F.when(valid, F.col("_totals")[name]) for name in fields}
     )
     message = F.concat(
-        F.lit("Record rejected: Missing/invalid ID (ID: "), F.nvl(F.nullif(strip(key), F.lit("")), F.lit("N/A")), F.lit(")")
+        F.lit("blank key ("), F.nvl(F.nullif(strip(key), F.lit("")), F.lit("none")), F.lit(")")
     )
     return refuse(open_judgement(stamped.drop("_totals")), ~valid, "invalid_record", message)
 

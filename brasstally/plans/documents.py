@@ -11,7 +11,7 @@ from brasstally.functions.dates import day
 from brasstally.functions.text import file_name, is_empty, safe_folder, short_url
 from brasstally.operators.latest import latest_version
 from brasstally.operators.rules import open_judgement, refuse
-from brasstally.operators.skew import HotKeys, enrich, hot_keys
+from brasstally.operators.skew import HotKeys, enrich
 from brasstally.result import Result
 
 # What a PDF is known by.
@@ -38,15 +38,15 @@ def explode_manifests(manifests: DataFrame) -> DataFrame:
         open_judgement(rows.select(*rest, "_ok", "_lists", "_file.*")),
         ~F.col("_ok"),
         "upstream_failed",
-        F.lit("Payload indicates unsuccessful upstream operation. Aborting."),
+        F.lit("the batch was not made"),
     )
-    return refuse(judged, ~F.col("_lists"), "no_files", F.lit("No files found in payload.")).drop("_ok", "_lists")
+    return refuse(judged, ~F.col("_lists"), "no_files", F.lit("the batch lists no file")).drop("_ok", "_lists")
 
 
 def safe_url(url: Column | str, allowed: Sequence[str]) -> Column:
-    """Scheme and host of the URL are among the allowed ones."""
+    """Scheme and authority of the URL, port and user part included, are among the allowed ones."""
     url = F.col(url) if isinstance(url, str) else url
-    origin = F.concat(F.try_parse_url(url, F.lit("PROTOCOL")), F.lit("://"), F.try_parse_url(url, F.lit("HOST")))
+    origin = F.concat(F.try_parse_url(url, F.lit("PROTOCOL")), F.lit("://"), F.try_parse_url(url, F.lit("AUTHORITY")))
     return F.coalesce(origin.isin(*allowed), F.lit(False))
 
 
@@ -87,23 +87,22 @@ def document_manifest(
             ),
         }
     )
-    checked = refuse(named, is_empty("url"), "missing_url", F.lit("Missing URL"))
+    checked = refuse(named, is_empty("url"), "missing_url", F.lit("entry without url"))
     if allowed_origins is not None:
         checked = refuse(
-            checked, ~safe_url("url", allowed_origins), "url_not_allowed", F.lit("Invalid URL. Origin not allowed.")
+            checked, ~safe_url("url", allowed_origins), "url_not_allowed", F.lit("origin not on the list")
         )
     heads = contents.select(
         "content_url", "content_type", F.substring("content", 1, len(magic)).alias("head")
     )
     # Many entries may name one file, or none.
-    hot = hot if hot is not None else hot_keys(files, ["url"])["url"]
     found = enrich(checked, heads, [("url", "content_url")], hot=hot, spread=["batch_id", "id"])
-    found = refuse(found, F.col("content_url").isNull(), "not_found", F.lit("Failed to retrieve file."))
+    found = refuse(found, F.col("content_url").isNull(), "not_found", F.lit("not among the stored files"))
     found = refuse(
         found,
         ~is_document(F.col("content_type"), F.col("url"), F.col("head"), magic),
         "not_a_document",
-        F.lit("The retrieved file is not a PDF."),
+        F.lit("neither type, name nor first bytes tell a document"),
     )
     path = F.when(F.col("reject_code").isNull(), F.concat("folder", F.lit("/"), "file_name"))
     return Result(found.withColumn("file_path", path).drop("content_url", "head"))

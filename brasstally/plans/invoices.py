@@ -12,7 +12,7 @@ from brasstally.functions.text import is_empty, merge_emails
 from brasstally.operators.latest import latest_version
 from brasstally.operators.lookups import lookup_join
 from brasstally.operators.rules import open_judgement, refuse, required_fields
-from brasstally.operators.skew import hot_keys, number_rows
+from brasstally.operators.skew import number_rows
 from brasstally.result import Result
 
 # Usage kinds are told by words in the revenue type and numbered for the item table.
@@ -68,40 +68,20 @@ def priced(df: DataFrame) -> DataFrame:
     )
 
 
-# An ERP customer with this many billing accounts has its lines numbered in parts.
-LARGE_CUSTOMER = 10_000
-
-
-def has_large_customer(customers: DataFrame) -> bool:
-    """Whether an ERP customer stands for very many billing accounts.
-
-    After the rollup an account has few lines a month, so only such a customer
-    can make an invoice too long for one task.
-    """
-    return bool(hot_keys(customers, ["id"], share=0.001, min_rows=LARGE_CUSTOMER)["id"].values)
-
-
-def numbered(
-    df: DataFrame, customers: DataFrame, invoice_prefix: str, memo_prefix: str, order: Sequence[str]
-) -> Result:
+def numbered(df: DataFrame, invoice_prefix: str, memo_prefix: str, order: Sequence[str]) -> Result:
     """Adds the external id and the line number; rows without an ERP customer are refused first."""
     named = df.withColumn(
         "external_id",
         external_id("transaction_type", "erp_customer_id", "revenue_month_end", invoice_prefix, memo_prefix),
     )
-    known = number_rows(
-        named.filter(F.col("external_id").isNotNull()),
-        ["external_id", "transaction_type"],
-        order,
-        split=has_large_customer(customers),
-    )
+    known = number_rows(named.filter(F.col("external_id").isNotNull()), ["external_id", "transaction_type"], order)
     unknown = named.filter(F.col("external_id").isNull()).withColumn("line_number", F.lit(None).cast("long"))
     judged = open_judgement(known).unionByName(
         refuse(
             open_judgement(unknown),
             F.lit(True),
             "missing_erp_customer",
-            F.concat(F.lit("no ERP customer for billing account "), F.coalesce("billing_account_id", F.lit(""))),
+            F.concat(F.lit("account without customer: "), F.coalesce("billing_account_id", F.lit(""))),
         )
     )
     return Result(judged)
@@ -129,18 +109,22 @@ def usage_invoices(
         wanted.withColumn("revenue_type", F.col("type")),
         ["billing_account_id", "crm_account_id", "account_tier", "revenue_type", "status"],
     )
-    billed = accounts.select(F.col(account_key).alias("account_key"), "payment_profile_id")
-    buyers = customers.filter(~F.col("is_deleted")).select(
+    # One row per key of every table joined below: none drops or doubles revenue.
+    profile = [F.asc_nulls_last("payment_profile_id")]
+    billed = latest_version(accounts, [account_key], profile, deleted=None).select(
+        F.col(account_key).alias("account_key"), "payment_profile_id"
+    )
+    buyers = latest_version(customers, ["billing_account_id"], [F.asc("id")]).select(
         F.col("billing_account_id").alias("buyer_account"),
         F.col("id").cast("string").alias("erp_customer_id"),
         F.col("name").alias("erp_customer_name"),
         F.col("partner_id").alias("buyer_partner"),
         merge_emails("email", "alt_email").alias("to_be_emailed"),
     )
-    sellers = partners.filter(~F.col("is_deleted")).select(
+    sellers = latest_version(partners, ["id"], [F.asc_nulls_last("third_party_payer")]).select(
         F.col("id").alias("seller_key"), F.col("id").alias("seller_id"), "third_party_payer"
     )
-    tiers = items.select(
+    tiers = latest_version(items, ["account_tier", "usage_type"], [F.asc("id")], deleted=None).select(
         F.col("account_tier").alias("item_tier"), F.col("usage_type").alias("item_usage"), F.col("id").alias("item_id")
     )
     overage = F.upper("revenue_type").contains(OVERAGE_WORD)
@@ -149,9 +133,8 @@ def usage_invoices(
         .join(buyers, F.col("billing_account_id") == F.col("buyer_account"), "left")
         .withColumn("usage", F.when(overage, OVERAGE_USAGE).otherwise(SELF_USAGE).cast("long"))
     )
-    apart = ["billing_account_id", "revenue_month_start", "revenue_type", "status"]
-    sold = lookup_join(bought, sellers, [("buyer_partner", "seller_key")], spread=apart)
-    joined = lookup_join(sold, tiers, [("account_tier", "item_tier"), ("usage", "item_usage")], spread=apart)
+    sold = lookup_join(bought, sellers, [("buyer_partner", "seller_key")])
+    joined = lookup_join(sold, tiers, [("account_tier", "item_tier"), ("usage", "item_usage")])
     third_party = F.col("seller_id").isNotNull() & ~overage
     lines = priced(
         joined.withColumns(
@@ -166,7 +149,7 @@ def usage_invoices(
         ).drop("account_key", "buyer_account", "buyer_partner", "seller_id", "usage")
     )
     order = ["billing_account_id", "crm_account_id", "account_tier", "revenue_type", "status", "item_id"]
-    return numbered(lines, customers, invoice_prefix, memo_prefix, order)
+    return numbered(lines, invoice_prefix, memo_prefix, order)
 
 
 def active_customers(customers: DataFrame) -> DataFrame:
@@ -223,7 +206,7 @@ def product_invoices(
     if strict_one_row:
         first = [F.asc_nulls_first("revenue_type"), F.asc_nulls_first("status")]
         lines = latest_version(lines, ["billing_account_id", "revenue_month_start"], first, deleted=None)
-    return numbered(lines, customers, invoice_prefix, memo_prefix, order)
+    return numbered(lines, invoice_prefix, memo_prefix, order)
 
 
 def totals_by_type(lines: DataFrame) -> DataFrame:
@@ -241,6 +224,6 @@ def check_invoice_lines(lines: DataFrame, fields: Sequence[str] = INVOICE_FIELDS
 
     def message(names: Column) -> Column:
         account = F.coalesce("billing_account_id", F.lit(""))
-        return F.concat(F.lit("Missing required fields: ["), names, F.lit("] for billing account "), account)
+        return F.concat(F.lit("line lacks ["), names, F.lit("] for account "), account)
 
     return Result(required_fields(open_judgement(lines), missing, message))

@@ -12,7 +12,7 @@ from brasstally.functions.dates import as_date, term_band, term_months, with_bil
 from brasstally.functions.numbers import rate, safe_number
 from brasstally.functions.text import is_blank, is_empty, strip
 from brasstally.operators.rules import open_judgement, refuse, required_fields
-from brasstally.operators.skew import HotKeys, group_totals, hot_keys
+from brasstally.operators.skew import NONE_HOT, HotKeys, group_totals
 from brasstally.plans.validation import PARTNER_PAYERS, PAYER_NAMES, Lookups, payer_name, with_item, with_partner
 from brasstally.result import Result
 
@@ -57,9 +57,9 @@ def missing_order_fields() -> list[tuple[str, Column]]:
 
 def missing_fields_message(names: Column) -> Column:
     return F.concat(
-        F.lit("Record rejected due to missing required fields: "),
+        F.lit("lacks "),
         names,
-        F.lit(" (Billing Account ID: "),
+        F.lit(" (account "),
         F.coalesce("billing_account_id", F.lit("")),
         F.lit(")"),
     )
@@ -83,15 +83,16 @@ def service_dates(df: DataFrame) -> DataFrame:
     )
 
 
-def order_keys(df: DataFrame, hot: HotKeys | None) -> HotKeys:
-    """Hot order numbers, looked for if not given; missing numbers are grouped as the empty string."""
-    found = hot if hot is not None else hot_keys(df, ["order_number"])["order_number"]
-    return HotKeys((*found.values, ""), False, found.splits) if found.nulls else found
+def order_keys(hot: HotKeys | None) -> HotKeys:
+    """Known hot order numbers as group keys; missing numbers are a group of their own."""
+    found = hot or NONE_HOT
+    keyed = found.mapped(lambda v: f"={v}")
+    return HotKeys((*keyed.values, ""), False, found.splits) if found.nulls else keyed
 
 
 def by_order(df: DataFrame) -> DataFrame:
-    """Adds the group key of the order rules, once, so that they can share one shuffle."""
-    return df.withColumn("_order", F.coalesce("order_number", F.lit("")))
+    """Adds the group key of the order rules. A missing number is not the empty one."""
+    return df.withColumn("_order", F.coalesce(F.concat(F.lit("="), "order_number"), F.lit("")))
 
 
 def _dates_spanned(df: DataFrame, products: Sequence[str], hot: HotKeys, spread: Sequence[str]) -> DataFrame:
@@ -116,9 +117,10 @@ def _dates_spanned(df: DataFrame, products: Sequence[str], hot: HotKeys, spread:
 
 
 def _with_order_total(df: DataFrame, hot: HotKeys, spread: Sequence[str]) -> DataFrame:
-    counted = F.when(F.col("reject_code").isNull(), F.coalesce(safe_number("amount"), F.lit(0)))
+    number = safe_number("amount").try_cast("decimal(24,4)")
+    counted = F.when(F.col("reject_code").isNull(), F.coalesce(number, F.lit(0)))
     totalled = group_totals(
-        df, ["_order"], {"order_total": F.sum(counted.cast("decimal(24,4)"))}, hot=hot, spread=spread
+        df, ["_order"], {"order_total": F.sum(counted)}, hot=hot, spread=spread
     )
     return totalled.withColumn("order_total", F.col("order_total").cast("decimal(28,4)"))
 
@@ -128,7 +130,7 @@ def _refuse_totals(df: DataFrame, policy: str) -> DataFrame:
     message = F.concat(
         F.lit("Order "),
         F.coalesce("order_number", F.lit("null")),
-        F.lit(" has a total amount of "),
+        F.lit(" sums to "),
         F.col("order_total").cast("string"),
     )
     return refuse(df, bad, TOTAL_CODES[policy], message)
@@ -141,7 +143,7 @@ def group_date_span(
     of the product's accepted lines in the order."""
     if not products:
         return df
-    return _dates_spanned(by_order(df), products, order_keys(df, hot), spread).drop("_order")
+    return _dates_spanned(by_order(df), products, order_keys(hot), spread).drop("_order")
 
 
 def order_total_gate(
@@ -153,10 +155,17 @@ def order_total_gate(
 ) -> DataFrame:
     """Refuse every line of an order whose accepted amounts sum to zero (or less).
 
-    The sum runs over the whole table. An amount that is no number counts as 0;
-    lines without an order number are one order.
+    The sum runs over the whole table. An amount that is no number, or too large
+    for one, counts as 0; lines without an order number are one order, those with an
+    empty one another.
     """
-    return _refuse_totals(_with_order_total(by_order(df), order_keys(df, hot), spread), policy).drop("_order")
+    return _refuse_totals(_with_order_total(by_order(df), order_keys(hot), spread), policy).drop("_order")
+
+
+def flat_addresses(details: DataFrame, options: OrderOptions = OrderOptions()) -> DataFrame:
+    """Billing details with both addresses flat beside their text: parsed once per detail, not once per line."""
+    flat = flatten_address(details, "billing_address", "billing", countries=options.countries)
+    return flatten_address(flat, "shipping_address", "shipping", countries=options.countries)
 
 
 def prepare_subscription_orders(
@@ -168,20 +177,19 @@ def prepare_subscription_orders(
 ) -> Result:
     """Checked, addressed, priced, banded and dated order lines, judged line by line and order by order.
 
-    Banding faults are warnings: the line stays.
+    Banding faults are warnings: the line stays. Lines joined with ``flat_addresses``
+    of their billing details are not parsed again.
     """
-    hot = hot if hot is not None else hot_keys(subs, ["order_number", "third_party_payer_id"])
-    heavy_orders = order_keys(subs, hot["order_number"])
+    heavy_orders = order_keys((hot or {}).get("order_number"))
     checked = required_fields(open_judgement(subs), missing_order_fields(), missing_fields_message)
-    flat = flatten_address(checked, "billing_address", "billing", countries=options.countries)
-    flat = flatten_address(flat, "shipping_address", "shipping", countries=options.countries)
+    flat = checked if "billing_attention" in checked.columns else flat_addresses(checked, options)
     flat = flat.drop("billing_address", "shipping_address")
     if options.defaults:
         flat = flat.withColumns({k: F.lit(v) for k, v in options.defaults.items()})
 
     third = F.col("third_party_payer_id")
     trimmed = strip(third)
-    named = with_partner(flat, lookups.partner_names, hot["third_party_payer_id"]).withColumn(
+    named = with_partner(flat, lookups.partner_names).withColumn(
         "payer_type", payer_name("payer_type")
     )
     by_third = F.coalesce(F.col("payer_type").isin("Marketplace", "Reseller", "Reseller_Marketplace"), F.lit(False))
@@ -204,7 +212,7 @@ def prepare_subscription_orders(
         (F.col("payer_type") == PAYER_NAMES["RESELLER"]) & F.col("partner_name").isNull(),
         "invalid_reseller_mapping",
         F.concat(
-            F.lit("Record rejected: RESELLER payer requires a mapped third_party_payer_id, but got '"),
+            F.lit("no partner is known for payer '"),
             F.when(is_blank("third_party_payer_id"), "(empty)").otherwise(F.col("third_party_payer_id")),
             F.lit("'."),
         ),
@@ -242,7 +250,7 @@ def prepare_subscription_orders(
                         term_failed,
                         F.struct(
                             F.lit("term_calc_failed").alias("code"),
-                            F.lit("Term calculation failed (missing dates)").alias("message"),
+                            F.lit("no term without both dates").alias("message"),
                         ),
                     ).cast(warning),
                     F.when(
@@ -250,7 +258,7 @@ def prepare_subscription_orders(
                         F.struct(
                             F.lit("lookup_item_missing").alias("code"),
                             F.concat(
-                                F.lit("No item for product "), "_code", F.lit(" in band "), "term_band"
+                                F.lit("item table lacks "), "_code", F.lit(" for band "), "term_band"
                             ).alias("message"),
                         ),
                     ).cast(warning),

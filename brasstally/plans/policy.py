@@ -6,10 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, functions as F
 
 from brasstally.operators.gates import SYNC_WINDOW, THIRD_PARTY_TYPES
-from brasstally.operators.skew import HotKeys, hot_keys
+from brasstally.operators.skew import NONE_HOT, HotKeys
 
 Hot = Mapping[str, HotKeys] | None
 
@@ -36,6 +36,6 @@ class Policy:
         return [F.desc_nulls_last(c) for c in ("version", *self.tiebreak)]
 
 
-def skewed(hot: Hot, df: DataFrame, *columns: str) -> dict[str, HotKeys]:
-    """Known hot keys, or a look for them where the caller gave none."""
-    return dict(hot) if hot is not None else hot_keys(df, columns)
+def skewed(hot: Hot, *columns: str) -> dict[str, HotKeys]:
+    """The hot keys that the caller knows; none are looked for."""
+    return {c: (hot or {}).get(c, NONE_HOT) for c in columns}

@@ -15,6 +15,7 @@ from brasstally.operators.gates import (
     recency_gate,
     resolve_payer,
     synced_between,
+    with_changes,
 )
 from brasstally.operators.latest import latest_version, prefixed
 from brasstally.operators.lookups import lookup_join
@@ -51,6 +52,12 @@ def with_both_roles(
     )
 
 
+def newest_details(info: DataFrame) -> DataFrame:
+    """The newest live billing details of each account: one row, so that no line is doubled."""
+    newest = [F.desc_nulls_last(c) for c in ("updated_at", "synced_at", "id", "legal_name", "billing_address")]
+    return latest_version(info, ["account_id"], newest)
+
+
 def by_role(column: str, kinds) -> Column:
     """The payer's value where a third party pays, the customer's otherwise."""
     return F.when(paid_by_third_party(kinds=kinds), F.col(f"payer_info_{column}")).otherwise(
@@ -93,8 +100,10 @@ def subscription_sync(
 
     ``legal_name_from='payer'`` takes the legal name by role as the addresses are.
     """
-    hot = skewed(hot, subs, "third_party_payer_id", "billing_account_id")
-    lines = dated_lines(subs, created_from, policy).filter(orderable(policy))
+    hot = skewed(hot, "third_party_payer_id", "billing_account_id")
+    near = [("billing_account_id", info, "account_id"), ("third_party_payer_id", info, "account_id")]
+    changed = with_changes(subs, "crm_line_id", near, as_of, policy.window)
+    lines = dated_lines(changed, created_from, policy).filter(orderable(policy))
     joined = with_both_roles(lines, info, hot)
     recent = recency_gate(
         joined, ["synced_at", "customer_info_synced_at", "payer_info_synced_at"], as_of, policy.window
@@ -118,7 +127,7 @@ def missing_subscription_fields(
     Here the sync range is applied before the newest version is picked, and
     deleted billing details count.
     """
-    hot = skewed(hot, subs, "third_party_payer_id", "billing_account_id")
+    hot = skewed(hot, "third_party_payer_id", "billing_account_id")
     recent = synced_between(subs.filter(~F.col("is_evergreen")), ["synced_at"], start, end)
     newest = latest_version(recent, ["crm_line_id"], policy.newest_first())
     lines = newest.filter(not_in("type", policy.free_types) & F.col("order_number").isNotNull())
@@ -161,7 +170,7 @@ def reseller_rollup(
     subs: DataFrame, info: DataFrame, policy: Policy = Policy(), *, hot: Hot = None
 ) -> DataFrame:
     """Per CRM account sold by resellers: how many, which, and the names on both sides."""
-    hot = skewed(hot, subs, "third_party_payer_id", "billing_account_id")
+    hot = skewed(hot, "third_party_payer_id", "billing_account_id")
     sold = subs.filter(
         ~F.col("is_evergreen")
         & F.col("crm_line_id").isNotNull()
@@ -204,7 +213,7 @@ def reseller_rollup(
 
 def with_erp_item(lines: DataFrame, item_map: DataFrame) -> DataFrame:
     items = item_map.select(F.col("product_code").alias("item_product"), "erp_item_id")
-    return lookup_join(lines, items, [("product_code", "item_product")], spread=["crm_line_id"])
+    return lookup_join(lines, items, [("product_code", "item_product")])
 
 
 def order_backfill_rollup(
@@ -270,11 +279,16 @@ def join_coverage(
     created_from: datetime,
     policy: Policy = Policy(),
     *,
+    all_lines: bool = False,
     hot: Hot = None,
 ) -> DataFrame:
-    """Which billing details each line finds in either role, and its newest sync against the cutoff."""
-    hot = skewed(hot, subs, "third_party_payer_id", "billing_account_id")
-    joined = with_both_roles(dated_lines(subs, created_from, policy).filter(orderable(policy)), info, hot)
+    """Which billing details each line finds in either role, and its newest sync against the cutoff.
+
+    ``all_lines`` also shows lines that the feed leaves out for their type, order or product.
+    """
+    hot = skewed(hot, "third_party_payer_id", "billing_account_id")
+    lines = dated_lines(subs, created_from, policy)
+    joined = with_both_roles(lines if all_lines else lines.filter(orderable(policy)), info, hot)
     epoch = stamp("1970-01-01 00:00:00")
     newest = F.greatest(
         F.col("synced_at"),
@@ -304,7 +318,7 @@ def zero_total_orders(
 
     Only lines of the few orders found are listed.
     """
-    hot = skewed(hot, subs, "order_number")
+    hot = skewed(hot, "order_number")
     lines = dated_lines(subs, created_from, policy).filter(orderable(policy))
     lines = lines.select("order_number", "billing_account_id", "id", "type", "amount", "crm_line_id")
     # A missing account is a group of its own.

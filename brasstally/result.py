@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -32,7 +32,8 @@ class Result:
     @property
     def warnings(self) -> DataFrame:
         if "warnings" not in self.judged.columns:
-            return self.judged.limit(0)
+            none = F.lit(None).cast("array<struct<code:string,message:string>>")
+            return Result(self.judged.withColumn("warnings", none)).warnings
         kept = self.judged.filter(F.col("reject_code").isNull())
         rest = [c for c in kept.columns if c not in ("warnings", "reject_code", "reject_message")]
         return kept.select(*rest, F.explode("warnings").alias("warning")).select(
@@ -44,20 +45,22 @@ class Result:
     @property
     def metrics(self) -> DataFrame:
         """Rows in, rows kept, rows refused, and one row per refusal code."""
-        code = F.coalesce("reject_code", F.lit("ingested"))
+        code = F.coalesce("reject_code", F.lit(""))
         counts = self.judged.groupBy(code.alias("outcome")).agg(F.count("*").alias("records"))
-        kept = F.sum(F.when(F.col("outcome") == "ingested", F.col("records")).otherwise(0))
-        total = counts.agg(
-            F.coalesce(F.sum("records"), F.lit(0)).alias("input"), F.coalesce(kept, F.lit(0)).alias("kept")
-        )
-        wide = total.select(
-            F.col("input").alias("total_input"),
-            F.col("kept").alias("total_ingested"),
-            (F.col("input") - F.col("kept")).alias("total_errored"),
-            (F.col("kept") * 2 - F.col("input")).alias("difference_ingested_vs_errored"),
-        )
-        rows = wide.unpivot([], wide.columns, "metric", "records")
-        breakdown = counts.filter("outcome <> 'ingested'").select(
-            F.concat(F.lit("rejected_"), "outcome").alias("metric"), "records"
+        # Each outcome's count goes into every metric that it is part of: the rows are judged once.
+        kept, n = F.col("outcome") == "", F.col("records")
+
+        def metric(name: Column | str, value: Column) -> Column:
+            return F.struct((F.lit(name) if isinstance(name, str) else name).alias("metric"), value.alias("records"))
+
+        parts = F.array(
+            metric("total_input", n),
+            metric("total_ingested", F.when(kept, n).otherwise(0)),
+            metric("total_errored", F.when(kept, 0).otherwise(n)),
+            metric("difference_ingested_vs_errored", F.when(kept, n).otherwise(-n)),
+            metric(F.when(~kept, F.concat(F.lit("rejected_"), "outcome")), n),
         )
-        return rows.unionByName(breakdown)
+        totals = ("total_input", "total_ingested", "total_errored", "difference_ingested_vs_errored")
+        zeros = self.judged.sparkSession.createDataFrame([(m, 0) for m in totals], "metric string, records long")
+        rows = counts.select(F.explode(parts).alias("part")).select("part.*").filter("metric IS NOT NULL")
+        return rows.unionByName(zeros).groupBy("metric").agg(F.sum("records").alias("records"))

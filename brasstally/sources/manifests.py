@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 MANIFEST_SCHEMA = "batch_id string, success boolean, status string, files array<map<string,string>>"
 
 
-def read_manifests(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+def read_manifests(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
     """JSON manifests with their file lists typed; every entry is also kept whole as a map.
 
-    A pretty-printed file is read by one task. Large manifests should be JSON lines
-    (``multi_line=False``), which Spark splits.
+    JSON lines by default, which Spark splits. With ``multi_line`` a file is one
+    document, read whole by one task: for small pretty-printed manifests only.
     """
     raw = spark.read.schema(MANIFEST_SCHEMA).json(path, multiLine=multi_line)
     files = F.transform(

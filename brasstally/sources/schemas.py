@@ -1,158 +1,33 @@
-"""Column names, types and comments of the tables this library reads and writes."""
+"""Typed tables: the user's schema, with comments, as an empty table or as the form of a frame."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Sequence
 
-MONEY = "decimal(38,9)"
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-_COLUMNS: dict[str, list[tuple[str, str, str]]] = {
-    "subscription_version": [
-        ("id", "bigint", "Subscription id"),
-        ("billing_account_id", "string", "Account billed"),
-        ("crm_line_id", "string", "Line in the CRM; versions of a line share it"),
-        ("crm_account_id", "string", "Account in the CRM"),
-        ("order_number", "string", "Order the line belongs to"),
-        ("version", "bigint", "Higher is newer"),
-        ("type", "string", "Kind of subscription"),
-        ("product_code", "string", "Product sold"),
-        ("payer_type", "string", "Who pays: the customer or a third party"),
-        ("third_party_payer_id", "string", "The third party, where one pays"),
-        ("amount", MONEY, "Line amount"),
-        ("product_quantity", MONEY, "Units"),
-        ("billing_frequency", "string", "How often it is billed, as typed"),
-        ("start_date_utc", "timestamp_ntz", "Start of the billing period"),
-        ("end_date_utc", "timestamp_ntz", "End of the billing period"),
-        ("contract_start_date", "timestamp_ntz", "Start of the contract"),
-        ("contract_end_date", "timestamp_ntz", "End of the contract"),
-        ("termination_date_utc", "timestamp_ntz", "When it was terminated"),
-        ("is_evergreen", "boolean", "Renews monthly, without a term"),
-        ("created_at", "timestamp_ntz", "When the version was made"),
-        ("synced_at", "timestamp_ntz", "When the row was last synced"),
-        ("is_deleted", "boolean", "Deleted at the source"),
-    ],
-    "account": [
-        ("id", "string", "Billing account"),
-        ("status", "string", "State of the account"),
-        ("platform_tier", "string", "Plan"),
-        ("freeze_reason", "string", "Why it is frozen"),
-        ("payment_profile_id", "string", "Profile at the payment service"),
-        ("synced_at", "timestamp_ntz", "When the row was last synced"),
-        ("is_deleted", "boolean", "Deleted at the source"),
-    ],
-    "billing_info": [
-        ("id", "string", "Billing details"),
-        ("account_id", "string", "Account they belong to"),
-        ("legal_name", "string", "Name on the invoice"),
-        ("tax_id", "string", "Tax number"),
-        ("billing_address", "string", "Address as JSON"),
-        ("shipping_address", "string", "Address as JSON"),
-        ("payment_profile_id", "string", "Profile at the payment service"),
-        ("updated_at", "timestamp_ntz", "When the details were changed"),
-        ("synced_at", "timestamp_ntz", "When the row was last synced"),
-        ("is_deleted", "boolean", "Deleted at the source"),
-    ],
-    "revenue_record": [
-        ("billing_account_id", "string", "Account billed"),
-        ("crm_account_id", "string", "Account in the CRM"),
-        ("revenue_date_utc", "timestamp_ntz", "Day of the revenue"),
-        ("account_tier", "string", "Plan at the time"),
-        ("type", "string", "Kind of revenue"),
-        ("product_type", "string", "Product line"),
-        ("status", "string", "State of the record"),
-        ("credits_used", MONEY, "Units used"),
-        ("amount", MONEY, "Revenue; negative for a credit"),
-        ("is_deleted", "boolean", "Deleted at the source"),
-    ],
-    "financial_header": [
-        ("id", "string", "ERP id of the transaction"),
-        ("record_type", "string", "Kind of transaction"),
-        ("document_number", "string", "Transaction reference shown to people"),
-        ("transaction_number", "string", "Transaction number inside the ERP"),
-        ("status", "string", "Payment status"),
-        ("document_date", "date", "Date of the document"),
-        ("due_date", "date", "When payment is due"),
-        ("amount_net_of_tax", MONEY, "Amount before tax"),
-        ("amount_tax_total", MONEY, "Tax"),
-        ("amount_total", MONEY, "Amount with tax"),
-        ("billing_account_id", "string", "Account of the customer"),
-        ("third_party_account_id", "string", "Account of the reseller or marketplace"),
-        ("last_modified_at", "timestamp_ntz", "When it was last modified"),
-        ("currency", "string", "Transaction currency"),
-        ("amount_remaining", MONEY, "Still to be paid"),
-        ("amount_paid", MONEY, "Paid"),
-        ("created_at", "timestamp_ntz", "When the row was written"),
-    ],
-    "financial_line": [
-        ("id", "string", "ERP id of the transaction"),
-        ("billing_account_id", "string", "Account of the customer"),
-        ("third_party_account_id", "string", "Account of the reseller or marketplace"),
-        ("subscription_id", "string", "Subscription billed"),
-        ("record_type", "string", "Kind of transaction"),
-        ("last_modified_at", "timestamp_ntz", "When it was last modified"),
-        ("invoice_type", "string", "Prepaid, self service or overage"),
-        ("document_number", "string", "Transaction reference shown to people"),
-        ("status", "string", "Payment status"),
-        ("invoice_date", "date", "Date of the document"),
-        ("due_date", "date", "When payment is due"),
-        ("currency", "string", "Transaction currency"),
-        ("crm_account_id", "string", "Account in the CRM"),
-        ("line_id", "string", "Line in the ERP"),
-        ("crm_line_id", "string", "Line in the CRM"),
-        ("item", "string", "Product or service"),
-        ("amount", MONEY, "Amount"),
-        ("amount_remaining", MONEY, "Still to be paid"),
-        ("amount_paid", MONEY, "Paid"),
-        ("memo", "string", "Notes"),
-        ("order_number", "string", "Order"),
-        ("crm_order_id", "string", "Order in the CRM"),
-        ("created_from", "string", "Document it was made from"),
-        ("linked_amount", MONEY, "Amount of the linked line"),
-        ("applied_document_number", "string", "Document applied to it"),
-        ("applied_type", "string", "Kind of the applied document"),
-        ("applied_status", "string", "State of the applied document"),
-        ("applied_amount", MONEY, "Amount of the applied document"),
-        ("applied_paid", MONEY, "Paid on the applied document"),
-        ("applied_remaining", MONEY, "Still to be paid on the applied document"),
-        ("data_uri", "string", "Link to the transaction"),
-        ("transaction_number", "string", "Transaction number inside the ERP"),
-        ("contract_start_date", "date", "Start of the contract"),
-        ("contract_end_date", "date", "End of the contract"),
-        ("created_at", "timestamp_ntz", "When the row was written"),
-    ],
-    "pdf_status": [
-        ("pdf_generated", "boolean", "Whether the PDF was made"),
-        ("created_by", "string", "Who made the row"),
-        ("status", "string", "Status in words"),
-        ("recorded_at", "timestamp", "When it was recorded"),
-        ("id", "string", "Document"),
-    ],
-}
 
-TABLES = tuple(_COLUMNS)
+def described(columns: Sequence[tuple[str, str, str]]) -> T.StructType:
+    """A schema from (name, type, comment) triples; the comments become field metadata."""
+    return T.StructType([T.StructField(c, T.DataType.fromDDL(t), True, {"comment": note}) for c, t, note in columns])
 
 
-def table_schema(name: str) -> T.StructType:
-    """Schema with the comments as field metadata."""
-    return T.StructType(
-        [T.StructField(c, T.DataType.fromDDL(t), True, {"comment": note}) for c, t, note in _COLUMNS[name]]
-    )
+def create_table(spark: SparkSession, table: str, schema: T.StructType, *, format: str = "parquet") -> None:
+    """Make an empty catalog table of this schema; its columns carry their comments."""
 
+    def column(f: T.StructField) -> str:
+        note = f.metadata.get("comment", "").replace("\\", "\\\\").replace("'", "\\'")
+        return f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{note}'" if note else "")
 
-def create_table(spark: SparkSession, table: str, schema_name: str, *, format: str = "parquet") -> None:
-    """Make an empty typed catalog table whose columns carry their comments."""
-    columns = ", ".join(
-        f"`{c}` {t} COMMENT '{note.replace(chr(39), chr(92) + chr(39))}'" for c, t, note in _COLUMNS[schema_name]
-    )
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {format}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(map(column, schema.fields))}) USING {format}")
 
 
-def conform(df: DataFrame, schema_name: str) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns in order and type: missing ones null, others dropped, bad casts an error."""
     have = set(df.columns)
     return df.select(
         *[
             (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name, metadata=f.metadata)
-            for f in table_schema(schema_name).fields
+            for f in schema.fields
         ]
     )

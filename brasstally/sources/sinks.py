@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from brasstally.plans.documents import dispatch_summary
 from brasstally.result import Result
 
-# One folder's rows are written by up to this many tasks.
-FOLDER_SPLITS = 8
-
 
 def replace_table(df: DataFrame, table: str, *, format: str = "parquet") -> None:
     """Create or replace a catalog table from a frame."""
@@ -31,10 +28,9 @@ def write_result(result: Result, path: str, *, mode: str = "overwrite") -> None:
     result.judged.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").parquet(path)
 
 
-def write_manifest(df: DataFrame, path: str, *, folder: str = "folder", name: str = "file_name") -> None:
-    """Manifest rows laid out by folder; a large folder is written by several tasks."""
-    part = F.pmod(F.xxhash64(name), F.lit(FOLDER_SPLITS))
-    df.repartition(F.col(folder), part).write.mode("overwrite").partitionBy(folder).parquet(path)
+def write_manifest(df: DataFrame, path: str, *, folder: str = "folder") -> None:
+    """Manifest rows laid out by folder; adaptive execution cuts a large folder into as many tasks as it needs."""
+    df.hint("rebalance", folder).write.mode("overwrite").partitionBy(folder).parquet(path)
 
 
 def write_dispatch_audit(outcomes: DataFrame, path: str) -> None:

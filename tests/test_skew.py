@@ -3,10 +3,10 @@
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from brasstally.operators.lookups import lookup_join
-from brasstally.operators.skew import HotKeys, enrich, group_totals, hot_keys, number_rows
+from brasstally.operators.skew import HotKeys, enrich, group_totals, number_rows
 from brasstally.plans import orders, reconcile, subscriptions, validation
 from workload.queries import BANDED, GROUPED, POLICY, _lookups, _options, order_input
 from workload.views import AS_OF, CREATED_FROM, CREATED_FROM as SINCE, Views
@@ -32,18 +32,6 @@ def dim(spark):
     return spark.createDataFrame([("hot", 1), ("hot", 2), ("k2", 3), ("k5", 4), ("zzz", 5)], "dk string, d int")
 
 
-def test_hot_keys_found(skewed):
-    found = hot_keys(skewed, ["k", "row"], share=0.1, min_rows=10)
-    assert found["k"].values == ("hot",)
-    assert found["k"].nulls
-    assert found["k"].splits >= 2
-    assert not found["row"]
-
-
-def test_small_tables_have_no_hot_keys(skewed):
-    assert not hot_keys(skewed, ["k"])["k"]
-
-
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
 def test_enrich_same_as_join(skewed, dim, how):
     hot = HotKeys(("hot",), True, 7)
@@ -69,10 +57,20 @@ def test_group_totals_same_as_window(skewed):
     assert rows(plain) == rows(spread)
 
 
-def test_lookup_beyond_the_limit_is_joined_by_shuffle(skewed, dim):
-    small = lookup_join(skewed, dim, [("k", "dk")], spread=["row"])
-    large = lookup_join(skewed, dim, [("k", "dk")], spread=["row"], limit=1, hot=HotKeys(("hot",), True, 3))
-    assert rows(small) == rows(large)
+def test_lookup_is_a_left_join_without_its_keys(skewed, dim):
+    joined = lookup_join(skewed, dim, [("k", "dk")])
+    assert joined.columns == ["row", "k", "v", "d"]
+    assert rows(joined) == rows(enrich(skewed, dim, [("k", "dk")]).drop("dk"))
+
+
+def test_no_group_need_fit_in_one_task(spark):
+    """A key with one row in 200 is cut into parts, and totals use no window."""
+    df = spark.range(40_000).select(F.col("id").alias("row"), F.when(F.col("id") % 200 == 0, "k").otherwise(F.col("id").cast("string")).alias("k"))
+    parts = number_rows(df, ["k"], ["row"])
+    assert parts.filter("k = 'k'").agg(F.count("*"), F.max("line_number")).first() == (200, 200)
+    window = [x for x in number_rows(df, ["k"], ["row"])._jdf.queryExecution().analyzed().toString().splitlines() if "Window" in x]
+    assert any("_part" in x for x in window)
+    assert "Window" not in group_totals(df, ["k"], {"n": F.count("*")})._jdf.queryExecution().analyzed().toString()
 
 
 def test_number_rows_is_dense_unique_and_stable(skewed):
@@ -80,19 +78,21 @@ def test_number_rows_is_dense_unique_and_stable(skewed):
     first = number_rows(df, ["k"], ["row"])
     again = number_rows(df.repartition(5, "row"), ["k"], ["row"])
     assert rows(first) == rows(again)
-    assert rows(first) == rows(number_rows(df, ["k"], ["row"], split=False))
+    part = F.substring(F.md5(F.col("row").cast("string")), 1, 2)
+    whole = df.withColumn("line_number", F.row_number().over(Window.partitionBy("k").orderBy(part, "row")))
+    assert rows(first) == rows(whole)
     check = first.groupBy("k").agg(
         F.count("*").alias("n"), F.count_distinct("line_number").alias("d"), F.max("line_number").alias("m"), F.min("line_number").alias("lo")
     )
     assert check.filter("n <> d OR n <> m OR lo <> 1").count() == 0
 
 
-def test_reconcile_same_with_hot_keys(spark, small):
+def test_outer_match_is_a_full_outer_join(spark, small):
     v = Views(spark, small)
-    crm, erp = v.crm_orders(), v.erp_transactions()
-    none = (HotKeys(), HotKeys())
-    some = (HotKeys(("ord1", "ord7", "ord10-c"), True, 4), HotKeys(("ord1", "ord7-e"), True, 4))
-    assert rows(reconcile.reconcile_orders(crm, erp, hot=none)) == rows(reconcile.reconcile_orders(crm, erp, hot=some))
+    left, right = v.crm_orders().select(F.col("order_number").alias("a")), v.erp_transactions().select(F.lower("memo").alias("b"))
+    left = left.withColumn("a", F.lower(F.trim("a")))
+    want = left.join(right, left["a"] == right["b"], "full_outer")
+    assert rows(reconcile.outer_match(left, right, "a", "b")) == rows(want)
 
 
 def test_feeds_same_with_hot_keys(spark, small):
@@ -109,7 +109,7 @@ def test_feeds_same_with_hot_keys(spark, small):
 
 def test_orders_same_with_hot_keys(spark, small):
     v = Views(spark, small)
-    lines = order_input(v, HotKeys()).cache()
+    lines = order_input(v).cache()
     hot = {
         "third_party_payer_id": HotKeys(("1", "2", "5"), True, 6),
         "order_number": HotKeys(("10", "11", "12"), True, 3),

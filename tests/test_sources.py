@@ -9,7 +9,7 @@ from brasstally.operators.rules import open_judgement, required_fields
 from brasstally.functions.text import is_blank
 from brasstally.result import Result
 from brasstally.sources import manifests, schemas, sinks
-from brasstally.sources.registry import Sources, spread_out
+from brasstally.sources.registry import Sources
 from brasstally.streaming.pages import checkpoint_root, run_pages
 
 
@@ -20,28 +20,27 @@ def named(df):
 def test_registry_by_path_view_and_function(spark, small, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
     spark.range(4).createOrReplaceTempView("registry_view")
-    sources = Sources(spark, root=str(tmp_path), locations={"v": "registry_view", "f": lambda s: s.range(5)}, spread=("t",))
+    sources = Sources(spark, root=str(tmp_path), locations={"v": "registry_view", "f": lambda s: s.range(5)})
     assert [sources[n].count() for n in ("t", "v", "f")] == [3, 4, 5]
-    assert sources["t"].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 50)
-    assert spread_out(many) is many
+
+
+def parcel():
+    return schemas.described([("parcel", "string", "Number on the label"), ("weight", "decimal(38,9)", "Weight's figure"), ("sent", "date", "")])
 
 
 def test_schemas_have_comments_and_conform(spark):
-    assert len(schemas.table_schema("financial_header")) == 17
-    assert len(schemas.table_schema("financial_line")) == 35
-    assert len(schemas.table_schema("pdf_status")) == 5
-    df = schemas.conform(spark.createDataFrame([("1", "2.5", "x")], "id string, amount string, extra string"), "financial_line")
-    assert df.schema["amount"].dataType.simpleString() == "decimal(38,9)"
-    assert df.schema["amount"].metadata["comment"] == "Amount" and "extra" not in df.columns
-    assert df.first()["currency"] is None
+    df = schemas.conform(spark.createDataFrame([("1", "2.5", "x")], "parcel string, weight string, extra string"), parcel())
+    assert df.columns == ["parcel", "weight", "sent"]
+    assert df.schema["weight"].dataType.simpleString() == "decimal(38,9)"
+    assert df.schema["weight"].metadata["comment"] == "Weight's figure"
+    assert df.first()["sent"] is None
 
 
 def test_create_and_replace_table(spark):
-    name = "typed_pdf_status"
+    name = "typed_parcels"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    schemas.create_table(spark, name, "pdf_status")
-    assert {c.name: c.description for c in spark.catalog.listColumns(name)}["id"] == "Document"
+    schemas.create_table(spark, name, parcel())
+    assert {c.name: c.description for c in spark.catalog.listColumns(name)}["weight"] == "Weight's figure"
     sinks.replace_table(spark.range(2), "replaced")
     sinks.replace_table(spark.range(3), "replaced")
     assert spark.table("replaced").count() == 3
@@ -68,7 +67,7 @@ def test_manifests_and_documents_from_files(spark, tmp_path):
         {"id": 2, "fullUrl": urls["b"], "billingAccountId": ""},
     ]}
     (tmp_path / "m.json").write_text(json.dumps(batch, indent=1))
-    read = manifests.read_manifests(spark, str(tmp_path / "m.json"))
+    read = manifests.read_manifests(spark, str(tmp_path / "m.json"), multi_line=True)
     result = documents.document_manifest(read, manifests.read_documents(spark, str(tmp_path / "docs")))
     row = result.valid.first()
     assert row["file_path"] == "acc/x.pdf" and row["metadata"]["custom"] == "7" and "none" not in row["metadata"]

@@ -309,6 +309,48 @@ oracle(
     {SYNCED}""",
 )
 
+oracle(
+    "join_quality",
+    "sub_versions billing_info",
+    f"""
+    WITH {LINES}
+    SELECT l.id, l.billing_account_id, l.payer_type, l.third_party_payer_id, l.synced_at AS sub_synced_at,
+           p.account_id AS payer_join_hit, p.synced_at AS payer_synced_at,
+           c.account_id AS customer_join_hit, c.synced_at AS customer_synced_at,
+           {NEWEST_SYNC} AS latest_any_sync, {CUTOFF} AS sync_cutoff, {NEWEST_SYNC} >= {CUTOFF} AS inside_window
+    FROM lines l
+    LEFT JOIN live_info p ON l.third_party_payer_id = p.account_id
+    LEFT JOIN live_info c ON l.billing_account_id = c.account_id""",
+)
+
+UNEXPIRED = "(contract_end_date IS NULL OR CAST(contract_end_date AS DATE) >= DATE '2001-08-01')"
+ORDERED = "order_number IS NOT NULL AND type NOT IN ('FREE')"
+BILLED = (
+    ORDERED + " AND account IS NOT NULL AND (status IN ('Customer', 'Frozen', 'Partner') OR type = 'CROSS_SELL')"
+    " AND (platform_tier IS NULL OR platform_tier NOT IN ('Free'))"
+    " AND (freeze_reason IS NULL OR freeze_reason <> 'TRIAL_EXPIRED')"
+)
+oracle(
+    "stage_counts_accounts",
+    "sub_versions accounts billing_info",
+    f"""
+    WITH newest AS (SELECT * FROM sub_versions WHERE NOT is_deleted AND {UNEXPIRED} {NEWEST}),
+    joined AS (
+        SELECT n.order_number, n.type, n.synced_at, a.id AS account, a.status, a.platform_tier, a.freeze_reason,
+               a.synced_at AS account_synced,
+               (SELECT max(i.synced_at) FROM billing_info i WHERE i.account_id = n.billing_account_id) AS info_synced
+        FROM newest n LEFT JOIN accounts a ON n.billing_account_id = a.id)
+    SELECT '1_raw' AS stage, count(*) AS records FROM sub_versions
+    UNION ALL SELECT '2_live', count(*) FROM sub_versions WHERE NOT is_deleted
+    UNION ALL SELECT '3_unexpired', count(*) FROM sub_versions WHERE NOT is_deleted AND {UNEXPIRED}
+    UNION ALL SELECT '4_newest', count(*) FROM joined
+    UNION ALL SELECT '5_ordered', count(*) FROM joined WHERE {ORDERED}
+    UNION ALL SELECT '6_on_account', count(*) FROM joined WHERE {ORDERED} AND account IS NOT NULL
+    UNION ALL SELECT '7_billed', count(*) FROM joined WHERE {BILLED}
+    UNION ALL SELECT '8_recent', count(*) FROM joined WHERE {BILLED}
+        AND (synced_at >= {CUTOFF} OR account_synced >= {CUTOFF} OR info_synced >= {CUTOFF})""",
+)
+
 oracle(
     "zero_total_orders",
     "sub_versions",
@@ -391,17 +433,17 @@ RECONCILED = """
                e.transaction_id AS erp_transaction_id, e.transaction_date AS erp_transaction_date,
                e.transaction_status AS erp_status, e.amount AS erp_amount,
                e.billing_account_id AS erp_billing_account_id,
-               CASE WHEN c.order_number IS NOT NULL AND e.k IS NOT NULL THEN 'MATCHED'
-                    WHEN c.order_number IS NOT NULL THEN 'CRM ONLY' WHEN e.k IS NOT NULL THEN 'ERP ONLY' END
+               CASE WHEN c.order_number IS NOT NULL AND e.k IS NOT NULL THEN 'both'
+                    WHEN c.order_number IS NOT NULL THEN 'crm_only' WHEN e.k IS NOT NULL THEN 'erp_only' END
                  AS record_status,
                CAST(round(e.amount - TRY_CAST(c.total_amount AS DECIMAL(18,4)), 4) AS DECIMAL(18,4))
                  AS amount_variance,
-               CASE WHEN e.k IS NOT NULL THEN NULL WHEN c.skip_export = 'true' THEN 'Skip export flag set'
-                    WHEN c.test_mode = 'true' THEN 'Test mode record'
+               CASE WHEN e.k IS NOT NULL THEN NULL WHEN c.skip_export = 'true' THEN 'skip_flag'
+                    WHEN c.test_mode = 'true' THEN 'test_order'
                     WHEN c.synced_flag = 'false' AND c.erp_id IS NULL AND c.legacy_erp_id IS NULL
-                    THEN 'Never synced to ERP'
-                    WHEN c.synced_flag = 'true' AND c.erp_id IS NULL THEN 'Synced flag true but ERP ID missing'
-                    ELSE 'Unknown - investigate' END AS likely_reason
+                    THEN 'not_synced'
+                    WHEN c.synced_flag = 'true' AND c.erp_id IS NULL THEN 'synced_without_id'
+                    ELSE 'unknown' END AS likely_reason
         FROM crm c FULL OUTER JOIN erp e ON c.k = e.k)"""
 oracle("reconcile_orders", "crm_orders erp_transactions", f"WITH {RECONCILED} SELECT * FROM reconciled")
 oracle(
@@ -451,7 +493,10 @@ def json_name(column: str) -> str:
 
 
 VALIDATED = f"""
-    live_info AS (SELECT * FROM billing_info WHERE NOT is_deleted),
+    newest_info AS (SELECT * FROM billing_info WHERE NOT is_deleted
+                    QUALIFY row_number() OVER (PARTITION BY account_id
+                      ORDER BY updated_at DESC NULLS LAST, synced_at DESC NULLS LAST, id DESC NULLS LAST,
+                               legal_name DESC NULLS LAST, billing_address DESC NULLS LAST) = 1),
     lines AS (SELECT *, {PAYER} AS payer_account_id FROM sub_versions
               WHERE NOT is_deleted AND NOT is_evergreen AND created_at >= {SINCE}
                 AND created_at < TIMESTAMP '2001-08-01' {NEWEST}),
@@ -470,8 +515,8 @@ VALIDATED = f"""
         FROM lines l
         LEFT JOIN first_orders f ON lower(trim(l.order_number)) = f.memo_norm
         LEFT JOIN accounts a ON l.billing_account_id = a.id AND NOT a.is_deleted
-        LEFT JOIN live_info p ON l.third_party_payer_id = p.account_id
-        LEFT JOIN live_info c ON l.billing_account_id = c.account_id
+        LEFT JOIN newest_info p ON l.third_party_payer_id = p.account_id
+        LEFT JOIN newest_info c ON l.billing_account_id = c.account_id
         LEFT JOIN partner_names names ON l.third_party_payer_id = names.payer_id AND names.partner_name IS NOT NULL
         WHERE l.type NOT IN ('FREE') AND l.order_number IS NOT NULL),
     derived AS (
@@ -484,7 +529,8 @@ VALIDATED = f"""
                  AS rr_start_date,
                CASE WHEN j.product_code IN ('STANDARD', 'SMALL') THEN coalesce(contract_end_date, end_date_utc)
                     ELSE end_date_utc END AS rr_end_date,
-               CAST(sum(amount) OVER (PARTITION BY order_number) AS DECIMAL(28,2)) AS order_total_amount
+               (SELECT CAST(sum(amount) AS DECIMAL(28,2)) FROM lines l
+                WHERE l.order_number = j.order_number AND l.type NOT IN ('FREE')) AS order_total_amount
         FROM joined j),
     branded AS (
         SELECT d.*, coalesce(b.band_item_id, CASE WHEN d.product_code = 'MEDIUM' THEN 'IMEDIUM' END)
@@ -492,33 +538,33 @@ VALIDATED = f"""
         FROM derived d LEFT JOIN band_items b ON d.product_code = b.product_code AND d.term_band = b.term_band),
     ruled AS (
         SELECT *, concat_ws('; ',
-            CASE WHEN billing_address_json IS NULL THEN 'Missing billing_address' END,
-            CASE WHEN shipping_address_json IS NULL THEN 'Missing shipping_address' END,
-            CASE WHEN trim(coalesce(legal_name, '')) = '' THEN 'Missing legal_name' END,
-            CASE WHEN trim(coalesce(billing_account_id, '')) = '' THEN 'Missing billing_account_id' END,
-            CASE WHEN normalized_payer_type = 'Reseller' AND partner_name IS NULL THEN 'Invalid Reseller Mapping' END,
-            CASE WHEN order_total_amount = 0 THEN 'Zero Total Order' END,
+            CASE WHEN billing_address_json IS NULL THEN 'no_billing_address' END,
+            CASE WHEN shipping_address_json IS NULL THEN 'no_shipping_address' END,
+            CASE WHEN trim(coalesce(legal_name, '')) = '' THEN 'no_legal_name' END,
+            CASE WHEN trim(coalesce(billing_account_id, '')) = '' THEN 'no_billing_account' END,
+            CASE WHEN normalized_payer_type = 'Reseller' AND partner_name IS NULL THEN 'reseller_unmapped' END,
+            CASE WHEN order_total_amount = 0 THEN 'order_total_zero' END,
             CASE WHEN product_code IN ('ECONOMY', 'LARGE') AND product_code_branding IS NULL
-                 THEN 'Missing Banding Lookup: ' || product_code END,
-            CASE WHEN termination_date_utc IS NOT NULL THEN 'Subscription Terminated' END,
-            CASE WHEN CAST(contract_end_date AS DATE) < DATE '2001-08-01' THEN 'Contract Expired' END,
+                 THEN 'no_band_item:' || product_code END,
+            CASE WHEN termination_date_utc IS NOT NULL THEN 'terminated' END,
+            CASE WHEN CAST(contract_end_date AS DATE) < DATE '2001-08-01' THEN 'contract_over' END,
             CASE WHEN account_status NOT IN ('Customer', 'Frozen', 'Partner') AND type <> 'CROSS_SELL'
-                 THEN 'Invalid Account Status: ' || account_status END,
-            CASE WHEN account_freeze_reason = 'TRIAL_EXPIRED' THEN 'Account Frozen (Trial Expired)' END,
-            CASE WHEN account_platform_tier IN ('Free') THEN 'Invalid Platform Tier: ' || account_platform_tier END
+                 THEN 'account_status:' || account_status END,
+            CASE WHEN account_freeze_reason = 'TRIAL_EXPIRED' THEN 'trial_over' END,
+            CASE WHEN account_platform_tier IN ('Free') THEN 'account_tier:' || account_platform_tier END
         ) AS validation_error_message FROM branded),
     validated AS (
         SELECT *, CASE WHEN validation_error_message <> '' THEN 'INVALID' ELSE 'VALID' END AS validation_status,
-            CASE WHEN regexp_matches(validation_error_message, 'Missing (billing_address|shipping_address|legal_name)')
-                 THEN 'Data Quality Issue (Addresses/Names)'
+            CASE WHEN regexp_matches(validation_error_message, 'no_(billing_address|shipping_address|legal_name)')
+                 THEN 'addresses_and_names'
                  WHEN regexp_matches(validation_error_message,
-                      'Invalid Account Status|Account Frozen|Subscription Terminated|Contract Expired')
-                 THEN 'Account Eligibility Issue'
-                 WHEN regexp_matches(validation_error_message, 'Zero Total Order|Invalid Reseller Mapping')
-                 THEN 'Business Logic Failure'
-                 WHEN regexp_matches(validation_error_message, 'Missing Banding Lookup|Invalid Platform Tier')
-                 THEN 'Product Configuration Issue'
-                 WHEN validation_error_message <> '' THEN 'Other Validation Error' END AS rejection_category
+                      'account_status:|trial_over|terminated|contract_over')
+                 THEN 'eligibility'
+                 WHEN regexp_matches(validation_error_message, 'order_total_zero|reseller_unmapped')
+                 THEN 'order_rules'
+                 WHEN regexp_matches(validation_error_message, 'no_band_item:|account_tier:')
+                 THEN 'product_setup'
+                 WHEN validation_error_message <> '' THEN 'other' END AS rejection_category
         FROM ruled)"""
 VALIDATION_VIEWS = "sub_versions accounts billing_info erp_sales_orders partner_names band_items"
 oracle(
@@ -590,11 +636,22 @@ USAGE = f"""
     usage AS (SELECT *, {numbering(USAGE_ORDER)} FROM named WHERE external_id IS NOT NULL)"""
 USAGE_VIEWS = "revenue_records accounts erp_customers partners erp_items"
 oracle("usage_invoices", USAGE_VIEWS, f"WITH {USAGE} SELECT * FROM usage")
+oracle(
+    "usage_revenue_conserved",
+    "revenue_records accounts",
+    f"""WITH monthly AS (
+            SELECT r.billing_account_id, r.crm_account_id, r.account_tier, r.type, r.status,
+                   CAST(date_trunc('month', revenue_date_utc) AS DATE) AS revenue_month_start,
+                   CAST(sum(amount) AS DECIMAL(18,2)) AS amount
+            FROM revenue_records r WHERE upper(r.type) LIKE '%OVERAGE%' OR upper(r.type) LIKE '%SELF%' GROUP BY ALL)
+        SELECT revenue_month_start, count(*) AS lines, CAST(sum(amount) AS DECIMAL(28,2)) AS amount
+        FROM monthly WHERE billing_account_id IN (SELECT id FROM accounts) GROUP BY 1""",
+)
 oracle(
     "usage_invoice_rejects",
     USAGE_VIEWS,
     f"""WITH {USAGE} SELECT *, CAST(NULL AS BIGINT) AS line_number, 'missing_erp_customer' AS reject_code,
-        'no ERP customer for billing account ' || billing_account_id AS reject_message
+        'account without customer: ' || billing_account_id AS reject_message
         FROM named WHERE external_id IS NULL""",
 )
 oracle(
@@ -614,7 +671,7 @@ oracle(
     "invoice_line_rejects",
     USAGE_VIEWS,
     f"""WITH {USAGE} SELECT external_id, line_number, transaction_type, 'missing_fields' AS reject_code,
-        'Missing required fields: [' || {LACKS} || '] for billing account ' || billing_account_id AS reject_message
+        'line lacks [' || {LACKS} || '] for account ' || billing_account_id AS reject_message
         FROM usage WHERE {LACKS} <> ''""",
 )
 
@@ -764,10 +821,10 @@ def prepared(total_test: str, total_code: str) -> str:
                     WHEN payer_type = 'Reseller' AND partner_name IS NULL THEN 'invalid_reseller_mapping' END
                  AS early_code,
                CASE WHEN lacks <> ''
-                    THEN 'Record rejected due to missing required fields: ' || lacks || ' (Billing Account ID: '
+                    THEN 'lacks ' || lacks || ' (account '
                          || coalesce(billing_account_id, '') || ')'
                     WHEN payer_type = 'Reseller' AND partner_name IS NULL
-                    THEN 'Record rejected: RESELLER payer requires a mapped third_party_payer_id, but got '''
+                    THEN 'no partner is known for payer '''
                          || coalesce(third_party_payer_id, '(empty)') || '''.' END AS early_message,
                CASE WHEN product_code IN ('ECONOMY', 'LARGE')
                     THEN {months('CAST(contract_start_date AS DATE)',
@@ -780,21 +837,21 @@ def prepared(total_test: str, total_code: str) -> str:
         SELECT *, CAST(start_date_utc AS DATE) AS service_start_date, CAST(end_date_utc AS DATE) AS service_end_date,
                CASE WHEN product_code IN ('STANDARD', 'SMALL') AND early_code IS NULL
                     THEN min(CASE WHEN early_code IS NULL THEN CAST(start_date_utc AS DATE) END)
-                         OVER (PARTITION BY coalesce(order_number, ''), product_code)
+                         OVER (PARTITION BY order_number, product_code)
                     ELSE CAST(start_date_utc AS DATE) END AS rr_start_date,
                CASE WHEN product_code IN ('STANDARD', 'SMALL') AND early_code IS NULL
                     THEN max(CASE WHEN early_code IS NULL THEN CAST(end_date_utc AS DATE) END)
-                         OVER (PARTITION BY coalesce(order_number, ''), product_code)
+                         OVER (PARTITION BY order_number, product_code)
                     ELSE CAST(end_date_utc AS DATE) END AS rr_end_date,
                {schedule('contract_start_date', 'start_date_utc')},
-               sum(CASE WHEN early_code IS NULL THEN amount END) OVER (PARTITION BY coalesce(order_number, ''))
+               sum(CASE WHEN early_code IS NULL THEN amount END) OVER (PARTITION BY order_number)
                  AS order_total
         FROM branded),
     judged AS (
         SELECT * EXCLUDE (early_code, early_message, order_total), CAST(order_total AS DECIMAL(28,4)) AS order_total,
                coalesce(early_code, CASE WHEN order_total {total_test} THEN '{total_code}' END) AS reject_code,
                coalesce(early_message, CASE WHEN order_total {total_test}
-                 THEN 'Order ' || coalesce(order_number, 'null') || ' has a total amount of '
+                 THEN 'Order ' || coalesce(order_number, 'null') || ' sums to '
                       || CAST(CAST(order_total AS DECIMAL(28,4)) AS VARCHAR) END) AS reject_message
         FROM dated)"""
 
@@ -833,7 +890,7 @@ oracle(
     "orders_warnings",
     ORDER_VIEWS,
     f"""WITH {PREPARED} SELECT id, product_code, 'lookup_item_missing' AS warning_code,
-        'No item for product ' || product_code || ' in band ' || term_band AS warning_message
+        'item table lacks ' || product_code || ' for band ' || term_band AS warning_message
         FROM judged WHERE reject_code IS NULL AND product_code IN ('ECONOMY', 'LARGE') AND band_item_id IS NULL""",
 )
 oracle(
@@ -879,7 +936,7 @@ oracle(
                    ELSE CAST(start_date_utc AS DATE) END AS rr_start_date,
               CASE WHEN product_code IN ('STANDARD', 'SMALL') THEN max(CAST(end_date_utc AS DATE)) OVER w
                    ELSE CAST(end_date_utc AS DATE) END AS rr_end_date
-       FROM sub_versions WINDOW w AS (PARTITION BY coalesce(order_number, ''), product_code)""",
+       FROM sub_versions WINDOW w AS (PARTITION BY order_number, product_code)""",
 )
 oracle(
     "order_total_gate",
@@ -911,8 +968,8 @@ ACCOUNTS = f"""{ACCOUNT_INPUT},
         FROM account_input a LEFT JOIN partner_names names
           ON trim(a.third_party_payer_id) = names.payer_id AND names.partner_name IS NOT NULL),
     mailed AS (
-        SELECT *, concat_ws('; ', CASE WHEN billing_email IS NULL OR billing_email = '' THEN 'billing_email missing' END,
-                            CASE WHEN shipping_email IS NULL OR shipping_email = '' THEN 'shipping_email missing' END)
+        SELECT *, concat_ws('; ', CASE WHEN billing_email IS NULL OR billing_email = '' THEN 'billing_email' END,
+                            CASE WHEN shipping_email IS NULL OR shipping_email = '' THEN 'shipping_email' END)
                  AS mail_lacks,
                CASE WHEN third_party_payer_id = trim(third_party_payer_id) THEN name END AS partner
         FROM flat),
@@ -924,14 +981,14 @@ ACCOUNTS = f"""{ACCOUNT_INPUT},
                     WHEN payer_type = 'RESELLER' AND name IS NULL THEN 'invalid_reseller_mapping'
                     WHEN payer_type IN ('Customer', 'Reseller') AND mail_lacks <> '' THEN 'missing_email' END
                  AS reject_code,
-               CASE WHEN lacks <> '' THEN 'Record rejected due to missing required fields: ' || lacks
-                         || ' (Billing Account ID: ' || billing_account_id || ')'
-                         || coalesce(' (Type: ' || type || ')', '')
+               CASE WHEN lacks <> '' THEN 'lacks ' || lacks
+                         || ' (account ' || billing_account_id || ')'
+                         || coalesce(' (type ' || type || ')', '')
                     WHEN payer_type = 'RESELLER' AND name IS NULL
-                    THEN 'Record rejected: RESELLER payer requires a mapped third_party_payer_id, but none was found for '''
+                    THEN 'no partner is known for payer '''
                          || coalesce(trim(third_party_payer_id), '') || '''.'
                     WHEN payer_type IN ('Customer', 'Reseller') AND mail_lacks <> ''
-                    THEN 'Record rejected: ' || mail_lacks END AS reject_message
+                    THEN 'this payer needs mail: ' || mail_lacks END AS reject_message
         FROM mailed)"""
 oracle(
     "accounts_valid",
@@ -972,10 +1029,10 @@ oracle(
     "product_accounts_rejects",
     "billing_info",
     f"""WITH {PRODUCT_ACCOUNTS} SELECT id, updated_at, reject_code,
-        CASE reject_code WHEN 'missing_fields' THEN 'Record rejected due to missing required fields: billing_address'
-             WHEN 'invalid_billing_address' THEN 'Record rejected: failed to parse billing_address'
-             ELSE 'missing or empty fields after parsing billing_address: [' || lacks || ']' END
-        || ' (Billing Account ID: ' || account_id || ')' AS reject_message
+        CASE reject_code WHEN 'missing_fields' THEN 'lacks billing_address'
+             WHEN 'invalid_billing_address' THEN 'billing_address is no JSON object'
+             ELSE 'billing_address holds none of [' || lacks || ']' END
+        || ' (account ' || account_id || ')' AS reject_message
         FROM judged WHERE reject_code IS NOT NULL""",
 )
 
@@ -991,6 +1048,24 @@ oracle(
                    / count(billing_account_id), 2) AS DECIMAL(28,2)) AS average_amount
         FROM sub_versions""",
 )
+ROUGH = """CASE WHEN CAST(product_quantity AS BIGINT) % 7 = 0 THEN repeat('9', 22)
+                 WHEN CAST(product_quantity AS BIGINT) % 7 = 1 THEN 'twelve'
+                 WHEN CAST(product_quantity AS BIGINT) % 7 = 2 THEN '' ELSE CAST(amount AS VARCHAR) END"""
+oracle(
+    "control_totals_rough",
+    "sub_versions",
+    f"""WITH rough AS (
+            SELECT billing_account_id, {ROUGH} AS raw,
+                   CASE WHEN {ROUGH} = '' THEN 0 ELSE TRY_CAST({ROUGH} AS DECIMAL(24,4)) END AS n FROM sub_versions)
+        SELECT count(*) AS record_count, count(billing_account_id) AS valid_records,
+               count(*) - count(billing_account_id) AS invalid_records,
+               count(*) FILTER (billing_account_id IS NOT NULL AND n IS NULL AND raw IS NOT NULL) AS bad_amounts,
+               CAST(sum(CASE WHEN billing_account_id IS NOT NULL THEN n END) AS DECIMAL(28,2)) AS total_amount,
+               CAST(sum({CHARACTER_SUM.format('billing_account_id')}) AS BIGINT) AS hash_total,
+               CAST(round(CAST(sum(CASE WHEN billing_account_id IS NOT NULL THEN n END) AS DOUBLE)
+                          / count(billing_account_id), 2) AS DECIMAL(28,2)) AS average_amount
+        FROM rough""",
+)
 oracle(
     "control_totals_stamped",
     "accounts",
@@ -1005,7 +1080,7 @@ oracle(
            CASE WHEN payment_profile_id IS NOT NULL THEN CAST(1250.5 AS DECIMAL(28,2)) END AS control_average_amount,
            CASE WHEN payment_profile_id IS NULL THEN 'invalid_record' END AS reject_code,
            CASE WHEN payment_profile_id IS NULL
-                THEN 'Record rejected: Missing/invalid ID (ID: N/A)' END AS reject_message
+                THEN 'blank key (none)' END AS reject_message
     FROM accounts, totals""",
 )
 
@@ -1052,9 +1127,9 @@ MANIFEST = f"""
                     THEN 'not_a_document' END AS reject_code
         FROM entries e LEFT JOIN file_contents c ON e.url = c.content_url),
     messages(reject_code, reject_message) AS (VALUES
-        ('upstream_failed', 'Payload indicates unsuccessful upstream operation. Aborting.'),
-        ('missing_url', 'Missing URL'), ('not_found', 'Failed to retrieve file.'),
-        ('not_a_document', 'The retrieved file is not a PDF.'))"""
+        ('upstream_failed', 'the batch was not made'),
+        ('missing_url', 'entry without url'), ('not_found', 'not among the stored files'),
+        ('not_a_document', 'neither type, name nor first bytes tell a document'))"""
 oracle(
     "document_manifest",
     "manifest_files file_contents",
