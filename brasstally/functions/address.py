@@ -18,11 +18,16 @@ def parse_json_map(c: Column | str) -> Column:
 
     The object is read inside another whose last field must come through: what
     follows an object, or a broken one, would take that field away. As the only
-    element of an array it can bring no field of its own along.
+    element of an array it can bring no field of its own along. Of repeated keys the
+    last counts.
     """
     whole = F.from_json(F.concat(F.lit('{"v":'), _col(c), F.lit(',"end":1}')), "v map<string,string>, end int")
     alone = F.json_array_length(F.concat(F.lit("["), _col(c), F.lit("]"))) == 1
-    return F.when((whole["end"] == 1) & alone, whole["v"])
+    found = F.when((whole["end"] == 1) & alone, whole["v"])
+    backwards = F.reverse(F.map_entries(found))
+    keys = F.transform(backwards, lambda e: e["key"])
+    last = F.map_from_entries(F.filter(backwards, lambda e, i: F.array_position(keys, e["key"]) == i + 1))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), last).otherwise(found)
 
 
 def json_text(c: Column | str, key: str) -> Column:
