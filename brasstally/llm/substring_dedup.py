@@ -33,12 +33,11 @@ LEAST_WORDS = 50
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 10, 4
-STRETCH, SPAN = 40, 12
+STRETCH, SPAN = 38, 14
 #: Names a null id while identifiers are compared.
 NO_ID = -(1 << 63)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNITS = "line boolean, doc long, start int, end int, words int, hash long, bands array<long>, shingles array<int>"
-BATCH_ROWS = 20_000
 
 
 def inverse(odd: int) -> int:
@@ -64,53 +63,93 @@ def stretch_hashes(sums: np.ndarray, back: np.ndarray, n: int) -> np.ndarray:
 
 
 def anchors(shingles: np.ndarray) -> np.ndarray:
-    if len(shingles) < SPAN:
+    """Places that hold the smallest hash of some ``SPAN`` places in a row."""
+    n = len(shingles)
+    if n < SPAN:
         return np.zeros(0, dtype=np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(shingles, SPAN)
-    return np.unique(np.concatenate([np.arange(at, min(at + 65536, len(views))) + views[at : at + 65536].argmin(axis=1) for at in range(0, len(views), 65536)]))
+    least = shingles
+    for k in halvings(SPAN):
+        least = np.minimum(least[:-k], least[k:])
+    # A place is one if a stretch around it has no smaller hash: the largest of those stretches' smallest is its own.
+    edge = np.zeros(SPAN - 1, dtype=np.uint64)
+    most = np.concatenate([edge, least, edge])
+    for k in halvings(SPAN):
+        most = np.maximum(most[:-k], most[k:])
+    return np.nonzero(most == shingles)[0]
+
+
+def halvings(n: int) -> list[int]:
+    """Steps by which a value over single places grows into one over ``n`` places."""
+    steps, width = [], 1
+    while width < n:
+        steps.append(min(width, n - width))
+        width += steps[-1]
+    return steps
 
 
 def permutations() -> tuple[np.ndarray, np.ndarray]:
     r = np.random.default_rng(7)
-    return r.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1), r.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+    return r.integers(1, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64) | np.uint64(1), r.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64)
 
 
-def paragraphs(text: str, a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
-    """A text's lines and stretches as rows of (start, end, words, hash[, bands, shingles])."""
+class Powers:
+    """Powers of the base and of its inverse, as many as the longest text so far has needed."""
+
+    def __init__(self):
+        self.up = self.back = np.ones(1, dtype=np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) <= n:
+            size = max(1 << 14, 2 * n)
+            self.up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, BASE, dtype=np.uint64)]), dtype=np.uint64)
+            self.back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, BACK, dtype=np.uint64)]), dtype=np.uint64)
+        return self.up, self.back
+
+
+def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The keys of a shingle set's bands."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(shingles), 4096):
+        least = np.minimum(least, (shingles[None, at : at + 4096] * a + b).min(axis=1))
+    least = least.reshape(BANDS, ROWS)
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for k in range(ROWS):
+        keys = mixed(keys * BASE + least[:, k])
+    return keys.view(np.int64)
+
+
+def paragraphs(text: str, a: np.ndarray, b: np.ndarray, powers: Powers) -> tuple[list, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """A text's lines as rows of (start, end, words, hash, bands, shingles), its stretches as arrays of starts, ends and hashes."""
     import xxhash
 
+    none = np.zeros(0, dtype=np.int64)
     signs = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    space = (signs == 32) | (signs >= 9) & (signs <= 13)
-    edge = np.diff(np.concatenate([[1], space.view(np.int8), [1]]))
+    space = (signs == 32) | (signs - np.uint32(9) < 5)
+    edge = np.diff(space.view(np.int8), prepend=np.int8(1), append=np.int8(1))
     starts, ends = np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
     n = len(starts)
     if n < min(LEAST_WORDS, STRETCH):
-        return [], []
-    hashes = np.array(list(map(xxhash.xxh3_64_intdigest, text.encode("utf-8", "surrogatepass").lower().split())), dtype=np.uint64)
+        return [], (none, none, none)
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=n)
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(n + 1, BASE, dtype=np.uint64)) * BACK
-        back = np.cumprod(np.full(n + 1, BACK, dtype=np.uint64)) * BASE
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers[:n], dtype=np.uint64)])
+        up, back = powers.of(n + 1)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[:n], dtype=np.uint64)])
         shingles = stretch_hashes(sums, back, SHINGLE)
-        whole = stretch_hashes(sums, back, STRETCH)
         at = anchors(shingles)
         at = at[at + STRETCH <= n]
-        stretches = list(zip(starts[at].tolist(), ends[at + STRETCH - 1].tolist(), whole[at].view(np.int64).tolist(), strict=True))
+        whole = mixed((sums[at + STRETCH] - sums[at]) * back[at])
+        lines = []
         breaks = np.nonzero(signs == 10)[0]
         first = np.searchsorted(starts, np.concatenate([[0], breaks + 1]))
         last = np.concatenate([first[1:], [n]])
-        lines = []
-        for i, j in zip(first.tolist(), last.tolist(), strict=True):
-            if j - i >= LEAST_WORDS:
-                own = np.unique(shingles[i : j - SHINGLE + 1])
-                least = np.array([mixed(own * x + y).min() for x, y in zip(a, b, strict=True)]).reshape(BANDS, ROWS)
-                keys = np.zeros(BANDS, dtype=np.uint64)
-                for k in range(ROWS):
-                    keys = mixed(keys * BASE + least[:, k])
-                keys = mixed(keys + np.arange(1, BANDS + 1, dtype=np.uint64))
-                total = mixed((sums[j] - sums[i]) * back[i] + np.uint64(j - i))
-                lines.append((int(starts[i]), int(ends[j - 1]), j - i, int(total.view(np.int64)), keys.view(np.int64), (own >> np.uint64(32)).astype(np.uint32).view(np.int32)))
-    return lines, stretches
+        long = np.nonzero(last - first >= LEAST_WORDS)[0]
+        for i, j in zip(first[long].tolist(), last[long].tolist(), strict=True):
+            own = np.unique(shingles[i : j - SHINGLE + 1])
+            total = mixed((sums[j : j + 1] - sums[i]) * back[i] + np.uint64(j - i))
+            short = (own >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            lines.append((int(starts[i]), int(ends[j - 1]), j - i, int(total.view(np.int64)[0]), signature(own, a, b), short))
+    return lines, (starts[at], ends[at + STRETCH - 1], whole.view(np.int64))
 
 
 def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -120,22 +159,36 @@ def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     schema = to_arrow_schema(_parse_datatype_string(UNITS))
 
-    def batch_of(rows: list) -> pa.RecordBatch:
+    def lines_of(rows: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
+    def stretches_of(found: list) -> pa.RecordBatch:
+        docs, starts, ends, hashes = (np.concatenate(c) for c in zip(*found))
+        n = len(docs)
+        values = [np.zeros(n, dtype=bool), docs, starts.astype(np.int32), ends.astype(np.int32), np.full(n, STRETCH, dtype=np.int32), hashes]
+        arrays = [pa.array(v, f.type) for v, f in zip(values, schema)] + [pa.nulls(n, f.type) for f in list(schema)[6:]]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = permutations()
-        rows = []
+        powers, rows, found, n = Powers(), [], [], 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                lines, stretches = paragraphs(text.as_py() or "", a, b)
+                lines, stretches = paragraphs(text.as_py() or "", a, b, powers)
                 rows += [(True, doc, *x) for x in lines]
-                rows += [(False, doc, s, e, STRETCH, h, None, None) for s, e, h in stretches]
-                while len(rows) >= BATCH_ROWS:
-                    yield batch_of(rows[:BATCH_ROWS])
-                    rows = rows[BATCH_ROWS:]
+                if len(stretches[0]):
+                    found.append((np.full(len(stretches[0]), doc, dtype=np.int64), *stretches))
+                    n += len(stretches[0])
+                if len(rows) >= 2_000:
+                    yield lines_of(rows)
+                    rows = []
+                if n >= 100_000:
+                    yield stretches_of(found)
+                    found, n = [], 0
         if rows:
-            yield batch_of(rows)
+            yield lines_of(rows)
+        if found:
+            yield stretches_of(found)
 
     key = F.coalesce(docs[f"`{id_col}`"].cast("long"), F.lit(NO_ID))
     return docs.select(key.alias("doc"), docs[f"`{text_col}`"].cast("string").alias("text")).mapInArrow(run, UNITS)

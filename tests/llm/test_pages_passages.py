@@ -6,7 +6,7 @@ from llm.frames import clashing, documents, nothing, odd
 
 import __spark_entry__ as entry
 from brasstally.llm.html_extract import extract, low_nodes, main_text
-from brasstally.llm.substring_dedup import repeated_passages, without_repeats
+from brasstally.llm.substring_dedup import STRETCH, repeated_passages, without_repeats
 
 
 def article_of(page):
@@ -86,7 +86,7 @@ def test_passages_by_brute_force(spark):
     got = entry.queries()["op9_substring_dedup"](spark, folder).toPandas()
     assert shared_by_documents(pdf, 51) <= set(got.doc_id)
     text = dict(zip(pdf.doc_id, pdf.text))
-    assert all(len(text[r.doc_id][r.start : r.end].split()) >= 40 and r.component_id <= r.doc_id for r in got.itertuples())
+    assert all(len(text[r.doc_id][r.start : r.end].split()) >= STRETCH and r.component_id <= r.doc_id for r in got.itertuples())
     assert (got.kept == (got.doc_id == got.component_id)).all()
 
 
@@ -99,7 +99,7 @@ def test_planted_passages(spark):
     edited = words(100, 220).replace("w150", "other")
     rows = [
         (1, "start " + passage + " end"), (2, words(0, 30, "x") + " " + passage + " " + words(0, 30, "y")), (3, words(0, 45, "c")),
-        (4, "z " + words(100, 220)), (5, edited), (6, words(0, 39) + " stop"), (7, None), (8, ""), (9, passage * 1 + "\n" + words(0, 60, "q") + "\n" + words(0, 60, "q")),
+        (4, "z " + words(100, 220)), (5, edited), (6, words(0, STRETCH - 1) + " stop"), (7, None), (8, ""), (9, passage * 1 + "\n" + words(0, 60, "q") + "\n" + words(0, 60, "q")),
         (None, "lone " + words(0, 70, "n")),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as doc", "2 as hash", "3 as row")
