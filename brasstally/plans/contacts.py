@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, functions as F
 
+from brasstally.functions.dates import stamp
 from brasstally.functions.text import norm_email
 
 # Actions of the plan.
@@ -23,11 +26,13 @@ def contact_upsert_plan(
     *,
     level: int,
     self_service_email: str,
+    as_of: datetime | None = None,
 ) -> DataFrame:
     """For each active customer with a rep e-mail: what to do with the rep's contact and recipient.
 
     Contacts and recipients are cut to one per key by aggregation before the joins.
-    An existing recipient of a self-service rep is deactivated.
+    An existing recipient of a self-service rep is deactivated. Every customer in the
+    plan is stamped: with ``as_of`` as its update time, and its last error cleared.
     """
     active = customers.filter((F.col("inactive") == "F") & (norm_email("rep_email") != "")).select(
         "customer_id", norm_email("rep_email").alias("rep_email")
@@ -59,4 +64,5 @@ def contact_upsert_plan(
         .otherwise(NO_RECIPIENT)
         .alias("recipient_action"),
         F.when(usable, F.lit(level)).alias("recipient_level"),
+        *([stamp(as_of).alias("customer_updated_at"), F.lit("").alias("customer_error")] if as_of else []),
     )

@@ -205,13 +205,28 @@ def retention_summary(candidates: DataFrame) -> DataFrame:
 
 
 def redact(
-    df: DataFrame, sensitive: Sequence[str] = SENSITIVE_WORDS, urls: Sequence[str] = ("url",)
+    df: DataFrame, sensitive: Sequence[str] = SENSITIVE_WORDS, urls: Sequence[str] = ("url", "fullUrl")
 ) -> DataFrame:
-    """Columns with a sensitive word in their name masked, long URLs shortened."""
-    out = {}
-    for f in df.schema.fields:
-        if any(word in f.name.lower() for word in sensitive):
-            out[f.name] = F.lit(MASK)
-        elif f.name in urls and isinstance(f.dataType, T.StringType):
-            out[f.name] = short_url(f.name)
+    """Fields with a sensitive word in their name masked, long URLs shortened, inside structs and arrays too."""
+
+    def safe(value: Column, kind: T.DataType, name: str) -> Column | None:
+        """What stands for a value; None where it may stay as it is."""
+        if any(word in name.lower() for word in sensitive):
+            return F.lit(MASK)
+        if name in urls and isinstance(kind, T.StringType):
+            return short_url(value)
+        if isinstance(kind, T.ArrayType):
+            if safe(F.lit(None), kind.elementType, "") is None:
+                return None
+            return F.transform(value, lambda x: safe(x, kind.elementType, ""))
+        if isinstance(kind, T.StructType):
+            inner = {f.name: safe(value[f.name], f.dataType, f.name) for f in kind.fields}
+            if all(x is None for x in inner.values()):
+                return None
+            fields = [(value[f] if x is None else x).alias(f) for f, x in inner.items()]
+            return F.when(value.isNotNull(), F.struct(*fields))
+        return None
+
+    out = {f.name: safe(F.col(f"`{f.name}`"), f.dataType, f.name) for f in df.schema.fields}
+    out = {name: x for name, x in out.items() if x is not None}
     return df.withColumns(out) if out else df

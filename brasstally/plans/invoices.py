@@ -15,17 +15,13 @@ from brasstally.operators.rules import open_judgement, refuse, required_fields
 from brasstally.operators.skew import number_rows
 from brasstally.result import Result
 
-# Usage kinds are told by words in the revenue type and numbered for the item table.
+# Usage kinds are told by words in the revenue type.
 OVERAGE_WORD, SELF_WORD = "OVERAGE", "SELF"
-OVERAGE_USAGE, SELF_USAGE = 2, 3
 SELF_SERVICE_TYPE = "SELF_SERVICE"
 
 # Payment terms.
 AUTOPAY, NET_30 = "Autopay", "Net 30"
 
-# Fixed value: ERP entity status of a customer.
-ENTITY_CUSTOMER = 13
-
 # Fields an invoice line cannot be sent without.
 INVOICE_FIELDS = (
     "external_id",
@@ -96,12 +92,14 @@ def usage_invoices(
     *,
     invoice_prefix: str,
     memo_prefix: str,
+    overage_usage: int,
+    self_usage: int,
     account_key: str = "id",
 ) -> Result:
     """Overage and self-service revenue per account and month as invoice lines.
 
-    The item is found by tier and usage kind; a partner counts only for
-    self-service. The revenue type is compared in upper case throughout.
+    The item is found by tier and usage kind, as the item table numbers the two; a
+    partner counts only for self-service. The revenue type is compared in upper case throughout.
     """
     kind = F.upper("type")
     wanted = revenue.filter(kind.contains(OVERAGE_WORD) | kind.contains(SELF_WORD))
@@ -131,7 +129,7 @@ def usage_invoices(
     bought = (
         monthly.join(billed, F.col("billing_account_id") == F.col("account_key"), "inner")
         .join(buyers, F.col("billing_account_id") == F.col("buyer_account"), "left")
-        .withColumn("usage", F.when(overage, OVERAGE_USAGE).otherwise(SELF_USAGE).cast("long"))
+        .withColumn("usage", F.when(overage, overage_usage).otherwise(self_usage).cast("long"))
     )
     sold = lookup_join(bought, sellers, [("buyer_partner", "seller_key")])
     joined = lookup_join(sold, tiers, [("account_tier", "item_tier"), ("usage", "item_usage")])
@@ -152,12 +150,12 @@ def usage_invoices(
     return numbered(lines, invoice_prefix, memo_prefix, order)
 
 
-def active_customers(customers: DataFrame) -> DataFrame:
+def active_customers(customers: DataFrame, entity_status: int) -> DataFrame:
     """Live companies in customer state, one per billing account: the lowest id."""
     active = customers.filter(
         ~F.col("is_deleted")
         & (F.col("inactive") == "F")
-        & (F.col("entity_status") == ENTITY_CUSTOMER)
+        & (F.col("entity_status") == entity_status)
         & (F.col("is_person") == "F")
     )
     return latest_version(active, ["billing_account_id"], [F.asc("id")], deleted=None)
@@ -174,6 +172,7 @@ def product_invoices(
     invoice_prefix: str,
     memo_prefix: str,
     billing_sync: str,
+    entity_status: int,
     strict_one_row: bool = False,
 ) -> Result:
     """Revenue of one product line per account and month as autopay invoice lines of one item.
@@ -190,7 +189,7 @@ def product_invoices(
     details = latest_version(
         info, ["id"], [F.desc_nulls_last("updated_at"), F.desc_nulls_last("payment_profile_id")]
     ).select(F.col("id").alias("info_id"), "payment_profile_id")
-    buyers = active_customers(customers).select(
+    buyers = active_customers(customers, entity_status).select(
         F.col("billing_account_id").alias("buyer_account"),
         F.col("id").cast("string").alias("erp_customer_id"),
         F.col("name").alias("erp_customer_name"),

@@ -34,12 +34,14 @@ class OrderOptions:
     total_policy: '<=0' refuses orders whose lines sum to zero or less, '==0' only zero.
     branding: 'item' puts the ERP item of the term band on the line, 'code' the product code.
     schedules: whether to suggest billing schedules.
+    frequencies: columns that may tell how often is billed; the first filled one counts.
     grouped_products: products whose revenue dates span the whole order.
     """
 
     total_policy: str = "<=0"
     branding: str = "item"
     schedules: bool = True
+    frequencies: Sequence[str] = ("billing_frequency", "subscription_billing_frequency", "billing_schedule")
     banded_products: Sequence[str] = ()
     grouped_products: Sequence[str] = ()
     countries: Mapping[str, str] = field(default_factory=dict)
@@ -269,7 +271,8 @@ def prepare_subscription_orders(
     dated = service_dates(branded)
     if options.schedules:
         contract = F.coalesce(as_date("contract_start_date"), F.col("rr_start_date"))
-        dated = with_billing_schedule(dated, "billing_frequency", contract, "service_start_date")
+        told = [F.when(~is_blank(c), F.col(c)) for c in options.frequencies if c in dated.columns]
+        dated = with_billing_schedule(dated, F.coalesce(*told, F.lit(None).cast("string")), contract, "service_start_date")
     if options.grouped_products:
         dated = _dates_spanned(dated, options.grouped_products, heavy_orders, ["crm_line_id"])
     return Result(_refuse_totals(dated, options.total_policy).drop("_order"))

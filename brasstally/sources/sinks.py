@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brasstally.plans.documents import dispatch_summary
 from brasstally.result import Result
@@ -33,6 +35,17 @@ def write_manifest(df: DataFrame, path: str, *, folder: str = "folder") -> None:
     df.hint("rebalance", folder).write.mode("overwrite").partitionBy(folder).parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, order: Sequence[Column | str], *, mode: str = "overwrite") -> None:
+    """Rows in a total order over all files, dealt by ranges; ``text_id`` makes a key of a number kept as text."""
+    df.sort(*order).write.mode(mode).parquet(path)
+
+
+def text_id(column: str) -> Column:
+    """Order of ids kept as text: numbers by value, then the others by text."""
+    number = F.col(column).try_cast("decimal(38,0)")
+    return F.struct(number.isNull().alias("text"), number.alias("number"), F.col(column).alias("id"))
+
+
 def write_dispatch_audit(outcomes: DataFrame, path: str) -> None:
     """Successes, errors and a summary as JSON; the outcomes are computed once and written first."""
     outcomes.write.mode("overwrite").parquet(f"{path}/outcomes")

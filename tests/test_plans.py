@@ -224,6 +224,8 @@ def usage(spark, lines, customers=None):
         spark.createDataFrame([(50, "i2", "T", 2, False), (51, "i3", "T", 3, False)], ITEMS),
         invoice_prefix="INV",
         memo_prefix="CM",
+        overage_usage=2,
+        self_usage=3,
     )
 
 
@@ -283,7 +285,7 @@ def test_product_invoices_keep_all_revenue(spark):
         (1, "A1", "n", "a", None, None, "T", 13, "F", False), (2, "A1", "n", "a", None, None, "F", 6, "F", False), (3, "A1", "n", "a", None, None, "F", 13, "T", False),
     )
     items = spark.createDataFrame([(60, "ITEM", "T", 1, True), (61, "ITEM", "T", 1, False)], ITEMS)
-    options = dict(product_type="LINE", item_code="ITEM", invoice_prefix="P", memo_prefix="M", billing_sync="tag")
+    options = dict(product_type="LINE", item_code="ITEM", invoice_prefix="P", memo_prefix="M", billing_sync="tag", entity_status=13)
     got = invoices.product_invoices(revenue(spark, *lines), info, people, items, **options).valid
     assert rows(got, "external_id", "revenue_type", "amount", "item_id", "payment_profile_id", "billing_sync") == [
         ("P5202406", "a", Decimal("2.00"), 61, "NEW", "tag"), ("P5202406", "b", Decimal("3.00"), 61, "NEW", "tag"),
@@ -620,6 +622,22 @@ def test_redact(spark):
     assert row[0] == row[1] == "[REDACTED]" and row[2] == "u" * 50 + "..." + "u" * 30 and row[3] == 1
 
 
+def test_redact_inside_arrays_of_structs(spark):
+    files = [("u" * 120, "k1", [1, 2]), (None, None, None)]
+    schema = "id int, files array<struct<fullUrl:string,api_key:string,n:array<int>>>, one struct<token:string,x:int>"
+    df = spark.createDataFrame([(1, files, ("t", 5)), (2, None, None)], schema)
+    first, second = documents.redact(df).orderBy("id").collect()
+    assert [tuple(f) for f in first["files"]] == [("u" * 50 + "..." + "u" * 30, "[REDACTED]", [1, 2]), (None, "[REDACTED]", None)]
+    assert tuple(first["one"]) == ("[REDACTED]", 5) and second["files"] is None and second["one"] is None
+
+
+def test_contact_plan_stamps_customers(spark):
+    people = spark.createDataFrame([(1, "F", "a@x")], "customer_id int, inactive string, rep_email string")
+    none = spark.createDataFrame([], "customer_id int, contact_id int, email string, recipient_id int, level int")
+    row = contacts.contact_upsert_plan(people, none, none, level=3, self_service_email="s@x", as_of=DAY).first()
+    assert row["customer_updated_at"] == DAY and row["customer_error"] == ""
+
+
 def test_contact_plan(spark):
     people = spark.createDataFrame([(1, "F", " A@x "), (2, "F", "self@x"), (3, "T", "a@x"), (4, "F", None), (5, "F", "b@x"), (6, "F", "Self@X")], "customer_id int, inactive string, rep_email string")
     known = spark.createDataFrame([(1, 10, "a@X"), (1, 11, "A@x"), (5, 12, "z@x")], "customer_id int, contact_id int, email string")

@@ -50,6 +50,14 @@ def test_create_and_replace_table(spark):
     spark.sql("DROP TABLE replaced")
 
 
+def test_inline_rows_and_sorted_files(spark, tmp_path):
+    sources = Sources(spark, locations={"ids": ([("10",), ("9",), ("x",), ("100",), (None,)], "id string")})
+    sinks.write_sorted(sources["ids"], str(tmp_path / "sorted"), [sinks.text_id("id")])
+    files = sorted((tmp_path / "sorted").glob("part-*"))
+    found = [r["id"] for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert found == ["9", "10", "100", None, "x"]
+
+
 def test_result_is_written_in_one_pass(spark, tmp_path):
     df = spark.createDataFrame([("a",), (" ",), (None,)], "name string")
     sinks.write_result(named(df), str(tmp_path / "out"))

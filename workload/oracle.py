@@ -1204,7 +1204,8 @@ oracle(
            CASE WHEN a.rep_email <> 'self.service@example.com'
                 THEN CASE WHEN l.recipient_id IS NULL THEN 'create_recipient' ELSE 'update_recipient' END
                 WHEN l.recipient_id IS NULL THEN 'none' ELSE 'deactivate_recipient' END AS recipient_action,
-           CASE WHEN a.rep_email <> 'self.service@example.com' THEN 3 END AS recipient_level
+           CASE WHEN a.rep_email <> 'self.service@example.com' THEN 3 END AS recipient_level,
+           TIMESTAMP '2001-08-01' AS customer_updated_at, '' AS customer_error
     FROM active a LEFT JOIN known k ON a.customer_id = k.customer_id AND a.rep_email = k.email
     LEFT JOIN listed l ON a.customer_id = l.customer_id""",
 )

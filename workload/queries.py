@@ -46,6 +46,7 @@ COUNTRIES = {"UK": "GB", "USA": "US"}
 STATES = {"Old State": "New State"}
 SELF_SERVICE = "self.service@example.com"
 PREFIXES = {"invoice_prefix": "INV", "memo_prefix": "CM"}
+USAGES = {"overage_usage": 2, "self_usage": 3}
 LINK = "https://erp.example.com/customer?id="
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -284,7 +285,7 @@ def order_validation_by_category(v: Views) -> DataFrame:
 
 def _usage(v: Views):
     return invoices.usage_invoices(
-        v.revenue_records(), v.accounts(), v.erp_customers(), v.partners(), v.erp_items(), **PREFIXES
+        v.revenue_records(), v.accounts(), v.erp_customers(), v.partners(), v.erp_items(), **PREFIXES, **USAGES
     )
 
 
@@ -297,6 +298,7 @@ def _product(v: Views, **options):
         product_type="LINE_B",
         item_code="ITEM3",
         billing_sync="monthly_product_revenue",
+        entity_status=13,
         invoice_prefix="PINV",
         memo_prefix="PCM",
         **options,
@@ -312,7 +314,7 @@ def usage_revenue_conserved(v: Views) -> DataFrame:
 
     again = v.erp_customers().withColumn("id", F.col("id") + 1_000_000_000)
     result = invoices.usage_invoices(
-        v.revenue_records(), v.accounts(), v.erp_customers().union(again), twice(v.partners()), twice(v.erp_items()), **PREFIXES
+        v.revenue_records(), v.accounts(), v.erp_customers().union(again), twice(v.partners()), twice(v.erp_items()), **PREFIXES, **USAGES
     )
     return result.judged.groupBy("revenue_month_start").agg(
         F.count("*").alias("lines"), F.sum("amount").cast("decimal(28,2)").alias("amount")
@@ -607,7 +609,7 @@ def redact(v: Views) -> DataFrame:
 @query
 def contact_upsert_plan(v: Views) -> DataFrame:
     return contacts.contact_upsert_plan(
-        v.reps(), v.contacts(), v.recipients(), level=3, self_service_email=SELF_SERVICE
+        v.reps(), v.contacts(), v.recipients(), level=3, self_service_email=SELF_SERVICE, as_of=AS_OF
     )
 
 
