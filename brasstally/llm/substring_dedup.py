@@ -14,7 +14,9 @@ components, and each cluster keeps one paragraph, that of the smallest document
 
 Colliding lines are first compared with the most frequent line of their bucket only.
 Then, in buckets whose lines are not yet one component, lines of different components
-are compared, so that no link which the bands offer is lost to the shortcut.
+are compared, so that no link which the bands offer is lost to the shortcut. That is
+done inside tasks, a tile of a bucket at a time, and gives a forest of the links: no
+pairs are written out, however many lines a bucket holds.
 """
 
 from __future__ import annotations
@@ -22,18 +24,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brasstally.llm.common import table, written
+from brasstally.llm.common import table, tasks, written
 from brasstally.llm.components import components
 
 LEAST_WORDS = 50
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, ROWS = 10, 4
-STRETCH, SPAN = 38, 14
+STRETCH, SPAN = 37, 15
+#: Lines of an open bucket that one task compares with as many others.
+TILE = 512
 #: Names a null id while identifiers are compared.
 NO_ID = -(1 << 63)
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -202,6 +207,66 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return both.where(common >= SIMILAR * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def tile_links(own: np.ndarray, hashes: np.ndarray, parts: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between lines of different components whose shingle sets are similar enough; one is enough to join two groups."""
+    sizes = np.array([len(x) for x in sets])
+    known, places = np.unique(np.concatenate(sets), return_inverse=True)
+    rows = np.repeat(np.arange(len(sets)), sizes)
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for at in range(0, len(known), 4096):
+        inside = (places >= at) & (places < at + 4096)
+        member = np.zeros((len(sets), min(4096, len(known) - at)), dtype=np.float32)
+        member[rows[inside], places[inside] - at] = 1
+        common += member @ member.T
+    near = common >= SIMILAR * (sizes[:, None] + sizes[None, :] - common)
+    near &= parts[:, None] != parts[None, :]
+    if own.min() != own.max():
+        near &= own[:, None] != own[None, :]
+    joined, out = {}, []
+
+    def root(x):
+        while joined.setdefault(x, x) != x:
+            joined[x] = x = joined[joined[x]]
+        return x
+
+    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1)))):
+        a, b = root(parts[i]), root(parts[j])
+        if a != b:
+            joined[max(a, b)] = min(a, b)
+            out.append((int(hashes[i]), int(hashes[j])))
+    return out
+
+
+def open_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted tiles of open buckets to links; a task holds one tile at a time."""
+    last, held = None, []
+
+    def close() -> list[tuple[int, int]]:
+        tile = pd.concat(held)
+        if len(tile) < 2:
+            return []
+        return tile_links(tile["own"].to_numpy(), tile["hash"].to_numpy(), tile["component"].to_numpy(), tile["shingles"].tolist())
+
+    found: list[tuple[int, int]] = []
+    for pdf in batches:
+        marks = pdf[["key", "low", "high"]].to_numpy()
+        cuts = (np.nonzero((marks[1:] != marks[:-1]).any(axis=1))[0] + 1).tolist()
+        for a, z in zip([0, *cuts], [*cuts, len(pdf)]):
+            if a == z:
+                continue
+            here = tuple(marks[a].tolist())
+            if here != last and held:
+                found += close()
+                held = []
+            last = here
+            held.append(pdf.iloc[a:z])
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"])
+            found = []
+    if held and (found := close()):
+        yield pd.DataFrame(found, columns=["a", "b"])
+
+
 def line_components(classes: DataFrame) -> DataFrame:
     """(``node``, ``component``) of the line classes that are linked to another."""
     banded = classes.select("hash", "n", F.explode("bands").alias("key"))
@@ -211,13 +276,19 @@ def line_components(classes: DataFrame) -> DataFrame:
     first = shared.where("hash <> hub").select(F.col("hub").alias("a"), F.col("hash").alias("b")).distinct()
     links = written(verified(first, sets), "links")
     joined = components(links)
-    # Buckets whose lines lie in several components: all pairs across them that were not compared yet.
+    # Buckets whose lines lie in several components: lines of different ones are compared, tile by tile.
     named = shared.join(joined.withColumnRenamed("node", "hash"), "hash", "left").withColumn("component", F.coalesce("component", "hash"))
     mixed_keys = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     open_ = written(named.join(mixed_keys, "key", "left_semi").where("hash <> hub"), "open")
-    left, right = open_.select("key", F.col("hash").alias("a"), F.col("component").alias("p")), open_.select("key", F.col("hash").alias("b"), F.col("component").alias("q"))
-    rest = left.join(right, "key").where("p <> q and a < b").select("a", "b").distinct()
-    more = written(verified(rest, sets), "links")
+    tiles = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    own = F.pmod(F.xxhash64("hash"), F.col("tiles")).cast("int")
+    placed = open_.join(tiles, "key").withColumn("own", own).join(sets, "hash")
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    paired = placed.withColumn("other", other).select(
+        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "hash", "component", "shingles"
+    )
+    dealt = paired.repartition(tasks(classes.sparkSession), "key", "low", "high").sortWithinPartitions("key", "low", "high")
+    more = written(dealt.mapInPandas(open_links, "a long, b long"), "links")
     return components(links.unionByName(more)) if more.head(1) else joined
 
 

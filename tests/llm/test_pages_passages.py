@@ -5,6 +5,7 @@ import pytest
 from llm.frames import clashing, documents, nothing, odd
 
 import __spark_entry__ as entry
+from brasstally.llm import substring_dedup as passages
 from brasstally.llm.html_extract import extract, low_nodes, main_text
 from brasstally.llm.substring_dedup import STRETCH, repeated_passages, without_repeats
 
@@ -90,6 +91,52 @@ def test_passages_by_brute_force(spark):
     assert (got.kept == (got.doc_id == got.component_id)).all()
 
 
+def test_tiles_find_all_links_across_components(spark, monkeypatch):
+    """Variants of one line, most of them too far from each other, against all pairs."""
+    import random
+
+    import numpy as np
+
+    r = random.Random(2)
+    base = [f"w{i}" for i in range(70)]
+    texts = []
+    for _ in range(250):
+        line = list(base)
+        for _ in range(r.randint(0, 4)):
+            line[r.randrange(70)] = f"x{r.randrange(10**6)}"
+        texts.append(" ".join(line))
+    texts = sorted(set(texts))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(66)} for t in texts]
+    names = {g: k for k, g in enumerate(sorted(set().union(*sets)))}
+    arrays = [np.array(sorted(names[g] for g in s), dtype=np.int32) for s in sets]
+    ids = np.arange(len(texts))
+    found = passages.tile_links(np.zeros(len(ids)), ids, ids, arrays)
+    parent = list(ids)
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def roots(pairs):
+        parent[:] = list(ids)
+        for a, b in pairs:
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+        return [root(x) for x in ids]
+
+    want = [(i, j) for i in ids for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert roots(found) == roots(want)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    linked = {i for i, r in enumerate(roots(want)) if roots(want).count(r) > 1}
+    outcomes = []
+    for tile in (512, 20):
+        monkeypatch.setattr(passages, "TILE", tile)
+        outcomes.append({tuple(r) for r in repeated_passages(docs).collect()})
+        assert linked <= {r[0] for r in outcomes[-1]}
+    assert outcomes[0] == outcomes[1]
+
+
 def words(a, b, name="w"):
     return " ".join(f"{name}{i}" for i in range(a, b))
 
