@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brasstally.functions.address import flatten_address
 from brasstally.functions.dates import as_date, term_band, term_months, with_billing_schedule
 from brasstally.functions.numbers import rate, safe_number
 from brasstally.functions.text import is_blank, is_empty, strip
 from brasstally.operators.rules import open_judgement, refuse, required_fields
-from brasstally.operators.skew import NONE_HOT, HotKeys, group_totals
+from brasstally.operators.skew import NONE_HOT, HotKeys, enrich, group_totals
 from brasstally.plans.validation import PARTNER_PAYERS, PAYER_NAMES, Lookups, payer_name, with_item, with_partner
 from brasstally.result import Result
 
@@ -76,10 +76,15 @@ def term_columns(df: DataFrame, banded: Column) -> DataFrame:
     )
 
 
+def service_period() -> tuple[Column, Column]:
+    """Start and end of service: the billing period, else the contract."""
+    start = F.coalesce(as_date("start_date_utc"), as_date("contract_start_date"))
+    return start, F.coalesce(as_date("end_date_utc"), as_date("contract_end_date"))
+
+
 def service_dates(df: DataFrame) -> DataFrame:
     """Service dates from the billing period, else the contract; revenue dates start equal to them."""
-    start = F.coalesce(as_date("start_date_utc"), as_date("contract_start_date"))
-    end = F.coalesce(as_date("end_date_utc"), as_date("contract_end_date"))
+    start, end = service_period()
     return df.withColumns(
         {"service_start_date": start, "service_end_date": end, "rr_start_date": start, "rr_end_date": end}
     )
@@ -127,6 +132,27 @@ def _with_order_total(df: DataFrame, hot: HotKeys, spread: Sequence[str]) -> Dat
     return totalled.withColumn("order_total", F.col("order_total").cast("decimal(28,4)"))
 
 
+def _order_figures(df: DataFrame, hot: HotKeys) -> DataFrame:
+    """Adds ``order_total``, and ``_first`` and ``_last`` service date of the line's product in its order.
+
+    One aggregate per order and product serves both; an order has no more of its
+    rows than it has products.
+    """
+    counted = F.col("reject_code").isNull()
+    start, end = service_period()
+    number = F.coalesce(safe_number("amount").try_cast("decimal(24,4)"), F.lit(0))
+    keyed = df.withColumn("_product", F.coalesce(strip("product_code"), F.lit("")))
+    parts = keyed.groupBy(F.col("_order").alias("_key_order"), F.col("_product").alias("_key_product")).agg(
+        F.sum(F.when(counted, number)).alias("_part"),
+        F.min(F.when(counted, start)).alias("_first"),
+        F.max(F.when(counted, end)).alias("_last"),
+    )
+    total = F.sum("_part").over(Window.partitionBy("_key_order")).cast("decimal(28,4)")
+    figures = parts.withColumn("order_total", total).drop("_part")
+    on = [("_order", "_key_order"), ("_product", "_key_product")]
+    return enrich(keyed, figures, on, hot=hot, spread=["crm_line_id"]).drop("_key_order", "_key_product")
+
+
 def _refuse_totals(df: DataFrame, policy: str) -> DataFrame:
     bad = F.col("order_total") <= 0 if policy == "<=0" else F.col("order_total") == 0
     message = F.concat(
@@ -220,10 +246,9 @@ def prepare_subscription_orders(
         ),
     ).drop("partner_name")
 
-    # The total comes before the row-level rest: narrower rows are shuffled, the rule by order and
-    # product finds them in place, and no generated method grows too large for the JIT compiler.
-    totalled = _with_order_total(by_order(gated), heavy_orders, ["crm_line_id"])
-    coded = totalled.withColumn("_code", F.coalesce(strip("product_code"), F.lit("")))
+    # The figures come before the row-level rest: narrower rows are shuffled, and no generated
+    # method grows too large for the JIT compiler.
+    coded = _order_figures(by_order(gated), heavy_orders).withColumn("_code", F.coalesce(strip("product_code"), F.lit("")))
     banded = F.col("_code").isin(*options.banded_products) if options.banded_products else F.lit(False)
     itemed = with_item(term_columns(coded, banded), lookups, options.banded_products, "_code")
     term_failed = banded & F.col("term_months").isNull()
@@ -274,8 +299,14 @@ def prepare_subscription_orders(
         told = [F.when(~is_blank(c), F.col(c)) for c in options.frequencies if c in dated.columns]
         dated = with_billing_schedule(dated, F.coalesce(*told, F.lit(None).cast("string")), contract, "service_start_date")
     if options.grouped_products:
-        dated = _dates_spanned(dated, options.grouped_products, heavy_orders, ["crm_line_id"])
-    return Result(_refuse_totals(dated, options.total_policy).drop("_order"))
+        listed = F.col("_product").isin(*options.grouped_products) & F.col("reject_code").isNull()
+        dated = dated.withColumns(
+            {
+                "rr_start_date": F.when(listed, F.col("_first")).otherwise(F.col("rr_start_date")),
+                "rr_end_date": F.when(listed, F.col("_last")).otherwise(F.col("rr_end_date")),
+            }
+        )
+    return Result(_refuse_totals(dated, options.total_policy).drop("_order", "_product", "_first", "_last"))
 
 
 def refused_orders(judged: DataFrame, policy: str = "<=0") -> DataFrame:
