@@ -229,7 +229,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One document of each group, the one with the smallest id, with all columns of ``docs``."""
-    groups = simhash_groups(docs, id_col, text_col, shingle)
+    return first_of_groups(docs, simhash_groups(docs, id_col, text_col, shingle), id_col)
+
+
+def first_of_groups(docs: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id names its group, once each; ``groups`` has ``doc_id`` and ``component_id``."""
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key_of(F.col("doc_id")).alias("key")).distinct()
     marked = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), key_of(docs[f"`{id_col}`"]).alias("key"))
     # Rows that repeat a kept id stay once.

@@ -267,12 +267,15 @@ def open_links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(found, columns=["a", "b"])
 
 
-def line_components(classes: DataFrame) -> DataFrame:
-    """(``node``, ``component``) of the line classes that are linked to another."""
+def line_components(classes: DataFrame, sets_of: DataFrame | None = None) -> DataFrame:
+    """(``node``, ``component``) of the line classes that are linked to another.
+
+    ``sets_of`` has one row of (``hash``, ``shingles``) for each class where ``classes`` has none.
+    """
     banded = classes.select("hash", "n", F.explode("bands").alias("key"))
     hubs = banded.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.max(F.struct("n", "hash")).alias("hub")).where("many > 1")
     shared = written(banded.join(hubs, "key").select("key", "hash", F.col("hub.hash").alias("hub")), "buckets")
-    sets = written(classes.join(shared.select("hash").distinct(), "hash", "left_semi").select("hash", "shingles"), "shingles")
+    sets = written((classes if sets_of is None else sets_of).join(shared.select("hash").distinct(), "hash", "left_semi").select("hash", "shingles"), "shingles")
     first = shared.where("hash <> hub").select(F.col("hub").alias("a"), F.col("hash").alias("b")).distinct()
     links = written(verified(first, sets), "links")
     joined = components(links)
