@@ -303,10 +303,26 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs.select("doc_id", "text"), model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def with_letter(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of which ``predict`` would find a word in the text."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([WORD.search((t.as_py() or "").lower()) is not None for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents whose language can be told, with all their columns: only texts without a letter go."""
+    """The documents whose language can be told, with all their columns: only texts without a letter go.
+
+    Where no row teaches a language, every text with a letter stays.
+    """
     model = fit(docs.where(~held_out("doc_id")))
-    marked = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["text"].alias("text"))
+    marked = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"))
+    if not model[0]:
+        return with_letter(marked).select("row.*")
     return predict(marked, model).where(F.col("lang_pred") != UNKNOWN).select("row.*")
 
 
