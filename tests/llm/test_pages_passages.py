@@ -63,6 +63,15 @@ def test_copies_of_one_page_keep_their_text(spark):
     assert {r["text"] for r in extract(pages).collect()} == {"Title\nSame text everywhere"}
 
 
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<div class=box>{}</div>"])
+@pytest.mark.parametrize("unique", [0, 4, 30])
+def test_copied_bodies_under_own_titles_keep_their_text(spark, frame, unique):
+    want = {i: (f"Title {i}", f"Own text {i}" if i < unique else "Same text everywhere") for i in range(100)}
+    rows = [(i, f"http://a.example/{i}", frame.format("<h1>{}</h1><p>{}</p>".format(*x))) for i, x in want.items()]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in extract(pages).collect()} == {i: "\n".join(x) for i, x in want.items()}
+
+
 @pytest.mark.parametrize("page", ["<" * 100_000, "<p>" * 50_000, "<div>" * 50_000 + "x", '<a "' * 50_000, "<!--" * 50_000, "<script>" * 20_000, "<li>" * 50_000])
 def test_broken_pages_take_linear_time(page):
     import time
