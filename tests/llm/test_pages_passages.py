@@ -63,6 +63,19 @@ def test_copies_of_one_page_keep_their_text(spark):
     assert {r["text"] for r in extract(pages).collect()} == {"Title\nSame text everywhere"}
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<article><h2 id=related-work>R</h2><p>x<h2 id='legal-history'>L</h2><section id=discussion><p>y</section></article>", "R\nx\nL\ny"),
+        ("<main><h2 id='search-methods'>S</h2><div class='legal notice'>z</div></main>", "S\nz"),
+        ("<h2 id=feedback>F</h2><p>x", "F\nx"),
+        ("<article><p>x</p><div class=comments>c</div><div class=share-box>s</div><div role=search>q</div><nav>n</nav></article>", "x"),
+    ],
+)
+def test_slugs_and_common_words_keep_article_text(page, text):
+    assert main_text(page) == text
+
+
 @pytest.mark.parametrize("frame", ["<article>{}</article>", "<div class=box>{}</div>"])
 @pytest.mark.parametrize("unique", [0, 4, 30])
 def test_copied_bodies_under_own_titles_keep_their_text(spark, frame, unique):
