@@ -73,6 +73,8 @@ DOT_BEFORE = re.compile(rf"{DOT}$", re.I)
 #: A label holds no sign that a spelled ``at`` or ``dot`` hangs on.
 LABEL = re.compile(r"(?:[A-Za-z0-9%+]|[_-](?!(?:at|dot)[\s_-]))++", re.I)
 LABEL_END = re.compile(r"[A-Za-z0-9%+_-]")
+#: Every spelled address has one of these, whatever else its text holds.
+ADDRESS_SIGN = re.compile(r"dot|[\[({<]\s{0,3}(?:at|@|punkt|point|punto|\.)|@\s|\s@|[\s_-]at[\s_-]", re.I)
 #: No longer stretch of source stands for one dot.
 REACH = 16
 
@@ -213,8 +215,7 @@ def name_before(text: str, at: int, low: int) -> tuple[int, list[tuple[int, int]
 
 def plain_addresses(r: Rewritten) -> None:
     text = r.text
-    folded = text.lower()
-    if "dot" not in folded and not re.search(r"[\[({<]\s{0,3}(?:at|@)|@\s|\s@|[0-9_%+-]\s{1,3}at\s", folded):
+    if not ADDRESS_SIGN.search(text):
         return
     edits, low = [], 0
     for at in AT.finditer(text):

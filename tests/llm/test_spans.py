@@ -98,6 +98,12 @@ def test_long_texts_take_linear_time(text):
     assert time.time() - began < 5
 
 
+@pytest.mark.parametrize("part", ["john.doe at example.com", "john.doe_at_example.com", "jane.roe-at-example.org", "jo@mail[punkt]example[punkt]com"])
+def test_spelled_addresses_do_not_hang_on_other_words(part):
+    for text in (f"write to {part}", f"an anecdote: write to {part}"):
+        assert ("email", text.index(part), text.index(part) + len(part)) in pii.all_spans(text)[1]
+
+
 def test_ledger_scans_only_what_is_new(spark):
     first = spark.createDataFrame([("a", 1, "token = abcdefghijklmnop"), ("b", 1, "token = abcdefghijklmnop"), ("a", 2, None)], "path string, version int, text string")
     found, ledger = secrets.scan_history(first)
