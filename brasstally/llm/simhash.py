@@ -59,15 +59,16 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp`` of every row; null texts are empty."""
+    """``doc_id``, ``digest`` (SHA-256 of the text) and ``fp`` of every row; null texts are empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py() or "", shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["doc_id", "digest", "fp"])
 
-    rows = docs.select(docs[f"`{id_col}`"].alias("doc_id"), docs[f"`{text_col}`"].cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    text = F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit(""))
+    rows = docs.select(docs[f"`{id_col}`"].alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, digest binary, fp long")
 
 
 def band_masks(free: int, bands: int = BANDS) -> list[int]:
@@ -210,11 +211,12 @@ def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` (the smallest id reachable over links) of every row.
+    """``doc_id``, ``digest`` (SHA-256 of the text), ``fp``, ``component_id`` (the smallest id
+    reachable over links) and ``root`` (the group's own key: a fingerprint in it) of every row.
 
     Null texts and texts without words share fingerprint 0 and are linked like others.
-    A null id never names a group unless the group has no other. Repeated rows each
-    give a row; an empty table gives none.
+    A null id never names a group unless the group has no other. Rows that repeat an id
+    each give a row, in the group of their own text; an empty table gives none.
     """
     spark = docs.sparkSession
     rows = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
@@ -223,21 +225,30 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = components(blocks.mapInPandas(links, "a long, b long"))
     named = classes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = named.join(least, "root").select("fp", "component_id")
-    return rows.join(by_class, "fp").select("doc_id", "fp", "component_id")
+    by_class = named.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(by_class, "fp").select("doc_id", "digest", "fp", "component_id", "root")
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all columns of ``docs``."""
-    return first_of_groups(docs, simhash_groups(docs, id_col, text_col, shingle), id_col)
+    """One row of each group, with all columns of ``docs``: the one with the smallest id.
 
-
-def first_of_groups(docs: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``docs`` whose id names its group, once each; ``groups`` has ``doc_id`` and ``component_id``."""
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key_of(F.col("doc_id")).alias("key")).distinct()
-    marked = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), key_of(docs[f"`{id_col}`"]).alias("key"))
-    # Rows that repeat a kept id stay once.
-    return marked.join(kept, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    A null id stays only where its group has no other id; of rows that share the
+    smallest id, the smallest text digest stays; of rows equal in id and text, the first
+    by their other columns. A text's group follows from the text alone, so that rows
+    which share an id or have none, but differ in text, do not stand for each other.
+    """
+    groups = simhash_groups(docs, id_col, text_col, shingle)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first"))
+    kept = first.select(key_of(F.col("first.doc_id")).alias("key"), F.col("first.digest").alias("digest"))
+    text = F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit(""))
+    marked = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+        key_of(docs[f"`{id_col}`"]).alias("key"),
+        F.unhex(F.sha2(text, 256)).alias("digest"),
+    )
+    stay = marked.join(kept, ["key", "digest"], "left_semi")
+    others = F.to_json(F.struct(*[F.col("row").getField(c).alias(f"c{n}") for n, c in enumerate(docs.columns) if c != text_col]))
+    return stay.groupBy("key", "digest").agg(F.min_by("row", others).alias("row")).select("row.*")
 
 
 def key_of(id_: Column) -> Column:

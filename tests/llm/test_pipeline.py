@@ -3,6 +3,8 @@ import re
 import pytest
 from llm.frames import clashing, nothing, odd
 from llm.test_dedup import slow_components, slow_fingerprint
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -55,3 +57,19 @@ def test_stages_bear_odd_rows(spark, small, frame):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, small), "odd")
     assert docs.count() >= (frame is not nothing)
+
+
+def test_nothing_to_learn_keeps_texts_with_letters(spark, small):
+    docs = spark.createDataFrame([(1, "plain text", None), (2, "12 34 !!", None), (3, None, None), (4, "ж", None)], "doc_id long, text string, lang string")
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, small)
+    assert kept.columns == docs.columns and {x["doc_id"] for x in kept.collect()} == {1, 4}
+
+
+def test_near_copies_do_not_stand_for_other_texts(spark, small):
+    """Rows that share an id, or have none, but differ in text."""
+    one, two, three = ("one two three four five six", "red green blue black white grey", "north south east west up down")
+    rows = [(1, one, "a"), (1, two, "b"), (1, one, "a"), (1, one, "A"), (2, two, "c"), (None, three, "d"), (None, one, "e"), (None, "lone text here", "f"), (3, three, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    for frame in (docs, docs.repartition(5), docs.orderBy(F.desc("row"))):
+        kept = sorted(dict(corpus_pipeline.STAGES)["simhash"](spark, frame, small).collect(), key=str)
+        assert [tuple(x) for x in kept] == sorted([(1, one, "A"), (1, two, "b"), (3, three, "g"), (None, "lone text here", "f")], key=lambda r: str(Row(doc_id=r[0], text=r[1], row=r[2])))
