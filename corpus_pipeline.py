@@ -13,8 +13,8 @@ from brasstally.llm.common import table, written
 from brasstally.llm.exact_dedup import exact_dedup
 from brasstally.llm.language_id import keep_identified
 from brasstally.llm.mixing import mixed
-from brasstally.llm.near_dedup import near_dedup
 from brasstally.llm.packing import pack
+from brasstally.llm.simhash import simhash_dedup
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8), the document with the smallest id."""
-    return near_dedup(docs)
+    """Of each group of near copies by SimHash (three-word shingles, at most 2 bits apart), the smallest id."""
+    return simhash_dedup(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
