@@ -6,6 +6,7 @@ from brasstally.llm.embedding_dedup import OP2_SQL, op2_embedding_dedup
 from brasstally.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from brasstally.llm.html_extract import op6_html_extract
 from brasstally.llm.language_id import op7_language_id
+from brasstally.llm.lexical_search import OP13_SQL, op13_lexical_search
 from brasstally.llm.mixing import OP1_SQL, op1_mix_sources
 from brasstally.llm.packing import op8_packing
 from brasstally.llm.pii import op3_pii
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE = {
     "op1_mix_sources": OP1_SQL,
     "op2_embedding_dedup": OP2_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
