@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from brasstally.llm.conversation_trie import OP12_SQL, op12_conversation_trie
 from brasstally.llm.embedding_dedup import OP2_SQL, op2_embedding_dedup
 from brasstally.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from brasstally.llm.html_extract import op6_html_extract
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_lexical_search": op13_lexical_search,
 }
 
@@ -32,5 +34,6 @@ ORACLE = {
     "op1_mix_sources": OP1_SQL,
     "op2_embedding_dedup": OP2_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op12_conversation_trie": OP12_SQL,
     "op13_lexical_search": OP13_SQL,
 }
