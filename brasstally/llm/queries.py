@@ -14,6 +14,7 @@ from brasstally.llm.pii import op3_pii
 from brasstally.llm.secrets import op10_secret_scan
 from brasstally.llm.simhash import op4_simhash
 from brasstally.llm.substring_dedup import op9_substring_dedup
+from brasstally.llm.toxicity import op11_toxicity
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_toxicity": op11_toxicity,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_lexical_search": op13_lexical_search,
 }
