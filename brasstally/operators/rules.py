@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brasstally.operators.gates import all_of, any_of
 from brasstally.functions.text import is_blank
+from brasstally.result import known_codes
 
 Rule = tuple[Column, Column | str]
 
@@ -32,17 +33,20 @@ def missing_fields(fields: Sequence[tuple[str, Column]]) -> Column:
 
 def open_judgement(df: DataFrame) -> DataFrame:
     """Adds empty reject columns for ``refuse`` to fill."""
-    return df.withColumns(
-        {"reject_code": F.lit(None).cast("string"), "reject_message": F.lit(None).cast("string")}
-    )
+    none = F.lit(None).cast("string")
+    return df.withColumns({"reject_code": none.alias("reject_code", metadata={"codes": []}), "reject_message": none})
 
 
 def refuse(df: DataFrame, condition: Column, code: str, message: Column) -> DataFrame:
-    """Mark rows not refused before. The first refusal stands."""
+    """Mark rows not refused before. The first refusal stands.
+
+    The code is noted on the column, so that a write knows what it may count.
+    """
     fresh = F.col("reject_code").isNull() & F.coalesce(condition, F.lit(False))
+    codes = list(dict.fromkeys([*known_codes(df), code]))
     return df.withColumns(
         {
-            "reject_code": F.when(fresh, code).otherwise(F.col("reject_code")),
+            "reject_code": F.when(fresh, code).otherwise(F.col("reject_code")).alias("reject_code", metadata={"codes": codes}),
             "reject_message": F.when(fresh, message).otherwise(F.col("reject_message")),
         }
     )
@@ -51,7 +55,7 @@ def refuse(df: DataFrame, condition: Column, code: str, message: Column) -> Data
 def required_fields(
     df: DataFrame,
     fields: Sequence[tuple[str, Column]],
-    message: Callable[[Column], Column] = lambda names: F.concat(F.lit("missing required fields: "), names),
+    message: Callable[[Column], Column] = lambda names: F.concat(F.lit("needs "), names),
 ) -> DataFrame:
     """Refuse rows lacking a field with code ``missing_fields``; ``message`` gets the names."""
     named = df.withColumn("_lacks", missing_fields(fields))

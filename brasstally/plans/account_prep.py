@@ -21,6 +21,10 @@ EMAIL_PAYERS = ("Customer", "Reseller")
 PARTNER_PAYERS = ("MARKETPLACE", "RESELLER_MARKETPLACE")
 
 
+# The refusal that ends a run.
+FATAL = "fatal_missing_fields"
+
+
 class MissingBillingFields(ValueError):
     """A readable address lacks a field without which no customer may be written."""
 
@@ -90,8 +94,8 @@ def prepare_product_accounts(accounts: DataFrame) -> Result:
     """Customer rows of the product line: e-mail, country and zip from the billing address.
 
     No address, an unreadable one or one that lacks one of the three refuses the row.
-    ``stop_on_missing`` turns refusals of the last kind into an error, once the rows
-    are written.
+    Refusals of the last kind end a run: ``result.stop_on(FATAL)`` ends the job that writes
+    the rows, before its commit; ``stop_on_missing`` looks at rows that are written already.
     """
     parsed = parse_json_map("billing_address")
     taken = {"billing_email": "email", "billing_country": "country", "billing_zip": "postalCode"}
@@ -115,13 +119,13 @@ def prepare_product_accounts(accounts: DataFrame) -> Result:
     )
     names = missing_fields([(c, F.col(c).isNull()) for c in taken])
     fatal = F.concat(F.lit("billing_address holds none of ["), names, F.lit("]"), account)
-    judged = refuse(checked, names != "", "fatal_missing_fields", fatal)
+    judged = refuse(checked, names != "", FATAL, fatal)
     legal = F.when(is_empty("legal_name"), F.col("billing_email")).otherwise(F.col("legal_name"))
     return Result(judged.withColumn("legal_name", legal).drop("_address"))
 
 
 def stop_on_missing(judged: DataFrame) -> None:
     """Raise if written product accounts hold a readable address without the fields it must have."""
-    bad = judged.filter(F.col("reject_code") == "fatal_missing_fields").select("reject_message").head(1)
+    bad = judged.filter(F.col("reject_code") == FATAL).select("reject_message").head(1)
     if bad:
         raise MissingBillingFields(bad[0]["reject_message"])

@@ -20,6 +20,7 @@ from brasstally.operators.gates import (
 )
 from brasstally.operators.latest import latest_version, prefixed
 from brasstally.operators.lookups import lookup_join
+from brasstally.operators.rollups import counted_stages
 from brasstally.operators.rules import blank_flags
 from brasstally.operators.skew import enrich
 from brasstally.plans.policy import Hot, Policy, skewed
@@ -87,33 +88,38 @@ def account_stage_counts(
     The recency of a line counts over the line, its account and its billing details.
     """
     floor = cutoff(as_of, policy.window)
-    open_ = unexpired(as_of)
-    before = subs.agg(
-        F.count("*").alias("1_raw"),
-        F.count_if(~F.col("is_deleted")).alias("2_live"),
-        F.count_if(~F.col("is_deleted") & open_).alias("3_unexpired"),
-    )
-    newest = latest_version(subs.filter(open_), ["crm_line_id"], policy.newest_first())
-    newest = newest.select("billing_account_id", "order_number", "type", "synced_at")
-    # One row per account, so that no line counts twice.
+    live = ~F.col("is_deleted")
+    open_ = live & unexpired(as_of)
+    # One pass over the versions: a line's counts and its newest open version come from one aggregate,
+    # and go through the joins to one row per account together.
+    newest = F.struct("billing_account_id", "order_number", "type", "synced_at")
+    lines = subs.groupBy("crm_line_id").agg(
+        F.count("*").alias("raw"),
+        F.count_if(live).alias("live"),
+        F.count_if(open_).alias("open"),
+        F.max_by(newest, F.when(open_, F.struct(*policy.newest_by()))).alias("newest"),
+    ).select("raw", "live", "open", "newest.*", F.col("newest").isNotNull().alias("found"))
     states = latest_version(accounts, ["id"], [F.desc_nulls_last("synced_at"), F.asc_nulls_last("status")], deleted=None)
     details = info.groupBy("account_id").agg(F.max("synced_at").alias("synced_at"))
-    joined = newest.join(prefixed(states, "account"), F.col("billing_account_id") == F.col("account_id"), "left").join(
+    joined = lines.join(prefixed(states, "account"), F.col("billing_account_id") == F.col("account_id"), "left").join(
         prefixed(details, "info"), F.col("billing_account_id") == F.col("info_account_id"), "left"
     )
-    ordered = F.col("order_number").isNotNull() & not_in("type", policy.free_types)
+    ordered = F.col("found") & F.col("order_number").isNotNull() & not_in("type", policy.free_types)
     on_account = ordered & F.col("account_id").isNotNull()
     billed = on_account & billable_account(policy, exempt=True)
     recent = any_of([F.coalesce(F.col(c) >= floor, F.lit(False)) for c in ("synced_at", "account_synced_at", "info_synced_at")])
-    after = joined.agg(
-        F.count("*").alias("4_newest"),
-        F.count_if(ordered).alias("5_ordered"),
-        F.count_if(on_account).alias("6_on_account"),
-        F.count_if(billed).alias("7_billed"),
-        F.count_if(billed & recent).alias("8_recent"),
-    )
-    return before.unpivot([], before.columns, "stage", "records").unionByName(
-        after.unpivot([], after.columns, "stage", "records")
+    return counted_stages(
+        joined,
+        {
+            "1_raw": F.coalesce(F.sum("raw"), F.lit(0)),
+            "2_live": F.coalesce(F.sum("live"), F.lit(0)),
+            "3_unexpired": F.coalesce(F.sum("open"), F.lit(0)),
+            "4_newest": F.count_if("found"),
+            "5_ordered": F.count_if(ordered),
+            "6_on_account": F.count_if(on_account),
+            "7_billed": F.count_if(billed),
+            "8_recent": F.count_if(billed & recent),
+        },
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brasstally.functions.numbers import clean_amount, invoice_type, safe_number
 from brasstally.functions.text import hash_total, inactive_flag, is_blank, strip
@@ -22,20 +22,39 @@ FINANCIAL_AMOUNTS = (
 )
 
 
+def control_aggregates(amount: str = "amount", key: str = "billing_account_id") -> dict[str, Column]:
+    """The control sums as bare aggregates, for a job that observes them while it writes the rows."""
+    valid, number = ~is_blank(key), safe_number(amount).try_cast("decimal(24,4)")
+    return {
+        "record_count": F.count(F.lit(1)),
+        "valid_records": F.count_if(valid),
+        "invalid_records": F.count_if(~valid),
+        "bad_amounts": F.count_if(valid & number.isNull() & F.col(amount).isNotNull()),
+        "total": F.coalesce(F.sum(F.when(valid, number)), F.lit(0)).cast("decimal(28,4)"),
+        "hash_total": F.coalesce(F.sum(F.when(valid, hash_total(strip(key)))), F.lit(0)).cast("long"),
+    }
+
+
 def control_totals(df: DataFrame, amount: str = "amount", key: str = "billing_account_id") -> DataFrame:
     """One row: records, valid and invalid ones, total, id hash total, average of the valid.
 
     An amount that is no number, or too large for one, counts as 0 and is counted in ``bad_amounts``.
+    Rows are summed per id first (map-side), so that each id is hashed once, not once a row.
     """
-    valid = ~is_blank(key)
     number = safe_number(amount).try_cast("decimal(24,4)")
-    sums = df.agg(
-        F.count("*").alias("record_count"),
-        F.count_if(valid).alias("valid_records"),
-        F.count_if(~valid).alias("invalid_records"),
-        F.count_if(valid & number.isNull() & F.col(amount).isNotNull()).alias("bad_amounts"),
-        F.coalesce(F.sum(F.when(valid, number)), F.lit(0)).cast("decimal(28,4)").alias("total"),
-        F.coalesce(F.sum(F.when(valid, hash_total(strip(key)))), F.lit(0)).cast("long").alias("hash_total"),
+    per_id = df.groupBy(strip(key).alias("id")).agg(
+        F.count("*").alias("n"),
+        F.count_if(number.isNull() & F.col(amount).isNotNull()).alias("bad"),
+        F.sum(number).cast("decimal(28,4)").alias("total"),
+    )
+    valid = ~is_blank("id")
+    sums = per_id.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("record_count"),
+        F.coalesce(F.sum(F.when(valid, F.col("n"))), F.lit(0)).alias("valid_records"),
+        F.coalesce(F.sum(F.when(~valid, F.col("n"))), F.lit(0)).alias("invalid_records"),
+        F.coalesce(F.sum(F.when(valid, F.col("bad"))), F.lit(0)).alias("bad_amounts"),
+        F.coalesce(F.sum(F.when(valid, F.col("total"))), F.lit(0)).cast("decimal(28,4)").alias("total"),
+        F.coalesce(F.sum(F.when(valid, F.col("n") * hash_total("id"))), F.lit(0)).cast("long").alias("hash_total"),
     )
     average = F.coalesce(F.try_divide("total", F.col("valid_records").cast("decimal(20,0)")), F.lit(0))
     return sums.select(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from brasstally.functions.dates import day
 from brasstally.functions.text import file_name, is_empty, safe_folder, short_url
+from brasstally.operators.gates import any_of
 from brasstally.operators.latest import latest_version
 from brasstally.operators.rules import open_judgement, refuse
 from brasstally.operators.skew import HotKeys, enrich
@@ -50,27 +51,42 @@ def safe_url(url: Column | str, allowed: Sequence[str]) -> Column:
     return F.coalesce(origin.isin(*allowed), F.lit(False))
 
 
+def told_by_name(content_type: Column, url: Column) -> Column:
+    """Known as a document without a look at its bytes: by its type or the end of its URL."""
+    return F.coalesce(F.contains(F.lower(content_type), F.lit(PDF_CONTENT_TYPE)), F.lit(False)) | F.coalesce(
+        F.endswith(F.lower(url), F.lit(PDF_SUFFIX)), F.lit(False)
+    )
+
+
 def is_document(content_type: Column, url: Column, content: Column, magic: bytes = PDF_MAGIC) -> Column:
     """Known by its type, the end of its URL or its first bytes: any one is enough."""
-    return (
-        F.coalesce(F.contains(F.lower(content_type), F.lit(PDF_CONTENT_TYPE)), F.lit(False))
-        | F.coalesce(F.endswith(F.lower(url), F.lit(PDF_SUFFIX)), F.lit(False))
-        | F.coalesce(F.substring(content, 1, len(magic)) == F.lit(magic), F.lit(False))
-    )
+    first = F.coalesce(F.substring(content, 1, len(magic)) == F.lit(magic), F.lit(False))
+    return told_by_name(content_type, url) | first
+
+
+def undecided(entries: DataFrame, stored: DataFrame) -> DataFrame:
+    """``content_url`` of the stored files that some entry names and that neither type nor URL tells, once each."""
+    asked = entries.filter(F.col("reject_code").isNull()).select(F.col("url").alias("content_url"))
+    unsure = stored.filter(~told_by_name(F.col("content_type"), F.col("content_url")))
+    return unsure.select("content_url").distinct().join(asked, "content_url", "left_semi")
 
 
 def document_manifest(
     manifests: DataFrame,
     contents: DataFrame,
     *,
+    heads: Callable[[DataFrame, int], DataFrame] | None = None,
     allowed_origins: Sequence[str] | None = None,
     magic: bytes = PDF_MAGIC,
     hot: HotKeys | None = None,
 ) -> Result:
     """Where each listed file goes and with which metadata, or why it does not.
 
-    ``contents`` (content_url, content_type, content) are files already in storage,
-    such as a ``binaryFile`` scan; only the first bytes of each are carried.
+    ``contents`` (content_url, content_type) lists the files already in storage, such as
+    ``manifests.list_documents``. Only files that neither type nor URL decides are opened:
+    ``heads`` (such as ``manifests.read_heads``) takes their ``content_url`` and a number of
+    bytes and gives ``content_url`` and ``head``. Where ``contents`` has the bytes itself, as
+    ``content``, its first ones are taken.
     """
     files = explode_manifests(manifests)
     # A manifest read from JSON keeps each entry whole; otherwise the known fields make the metadata.
@@ -92,11 +108,15 @@ def document_manifest(
         checked = refuse(
             checked, ~safe_url("url", allowed_origins), "url_not_allowed", F.lit("origin not on the list")
         )
-    heads = contents.select(
-        "content_url", "content_type", F.substring("content", 1, len(magic)).alias("head")
-    )
+    if "content" in contents.columns:
+        stored = contents.select("content_url", "content_type", F.substring("content", 1, len(magic)).alias("head"))
+    else:
+        stored = contents.select("content_url", "content_type")
+        opened = heads(undecided(checked, stored), len(magic)) if heads else None
+        none = F.lit(None).cast("binary")
+        stored = stored.join(opened, "content_url", "left") if opened else stored.withColumn("head", none)
     # Many entries may name one file, or none.
-    found = enrich(checked, heads, [("url", "content_url")], hot=hot, spread=["batch_id", "id"])
+    found = enrich(checked, stored, [("url", "content_url")], hot=hot, spread=["batch_id", "id"])
     found = refuse(found, F.col("content_url").isNull(), "not_found", F.lit("not among the stored files"))
     found = refuse(
         found,
@@ -207,7 +227,27 @@ def retention_summary(candidates: DataFrame) -> DataFrame:
 def redact(
     df: DataFrame, sensitive: Sequence[str] = SENSITIVE_WORDS, urls: Sequence[str] = ("url", "fullUrl")
 ) -> DataFrame:
-    """Fields with a sensitive word in their name masked, long URLs shortened, inside structs and arrays too."""
+    """Fields with a sensitive word in their name masked, long URLs shortened, inside structs, arrays and maps too.
+
+    A map's entries are judged by their keys, row by row. What a map holds under a sensitive
+    key becomes the mask where it is text, and null where it can't hold the mask.
+    """
+
+    def by_key(entries: Column, kind: T.MapType) -> Column | None:
+        inner = safe(F.lit(None), kind.valueType, "")
+        if not isinstance(kind.keyType, T.StringType):
+            return None if inner is None else F.transform_values(entries, lambda _, v: safe(v, kind.valueType, ""))
+        text = isinstance(kind.valueType, T.StringType)
+
+        def entry(key: Column, value: Column) -> Column:
+            low = F.lower(key)
+            masked = F.when(value.isNotNull(), F.lit(MASK)) if text else F.lit(None).cast(kind.valueType)
+            out = F.when(any_of([F.contains(low, F.lit(word)) for word in sensitive]), masked)
+            if text and urls:
+                out = out.when(key.isin(*urls), short_url(value))
+            return out.otherwise(value if inner is None else safe(value, kind.valueType, ""))
+
+        return F.transform_values(entries, entry)
 
     def safe(value: Column, kind: T.DataType, name: str) -> Column | None:
         """What stands for a value; None where it may stay as it is."""
@@ -219,6 +259,8 @@ def redact(
             if safe(F.lit(None), kind.elementType, "") is None:
                 return None
             return F.transform(value, lambda x: safe(x, kind.elementType, ""))
+        if isinstance(kind, T.MapType):
+            return by_key(value, kind)
         if isinstance(kind, T.StructType):
             inner = {f.name: safe(value[f.name], f.dataType, f.name) for f in kind.fields}
             if all(x is None for x in inner.values()):

@@ -14,6 +14,7 @@ from brasstally.operators.lookups import lookup_join
 from brasstally.operators.rules import open_judgement, refuse, required_fields
 from brasstally.operators.skew import number_rows
 from brasstally.result import Result
+from brasstally.sources.staging import staged
 
 # Usage kinds are told by words in the revenue type.
 OVERAGE_WORD, SELF_WORD = "OVERAGE", "SELF"
@@ -65,20 +66,25 @@ def priced(df: DataFrame) -> DataFrame:
 
 
 def numbered(df: DataFrame, invoice_prefix: str, memo_prefix: str, order: Sequence[str]) -> Result:
-    """Adds the external id and the line number; rows without an ERP customer are refused first."""
+    """Adds the external id and the line number; rows without an ERP customer are refused and have no number.
+
+    The lines are written once (``staged``), so that numbering and its counts evaluate what is behind them once.
+    """
     named = df.withColumn(
         "external_id",
         external_id("transaction_type", "erp_customer_id", "revenue_month_end", invoice_prefix, memo_prefix),
     )
-    known = number_rows(named.filter(F.col("external_id").isNotNull()), ["external_id", "transaction_type"], order)
-    unknown = named.filter(F.col("external_id").isNull()).withColumn("line_number", F.lit(None).cast("long"))
-    judged = open_judgement(known).unionByName(
-        refuse(
-            open_judgement(unknown),
-            F.lit(True),
-            "missing_erp_customer",
-            F.concat(F.lit("account without customer: "), F.coalesce("billing_account_id", F.lit(""))),
-        )
+    # Rows of no invoice are a group of their own, and a kind is never null in a key.
+    keyed = staged(named, "invoice-lines").withColumns(
+        {"_invoice": F.coalesce(F.concat(F.lit("="), "external_id"), F.lit("")), "_kind": F.coalesce("transaction_type", F.lit(""))}
+    )
+    lines = number_rows(keyed, ["_invoice", "_kind"], order).drop("_invoice", "_kind")
+    unknown = F.col("external_id").isNull()
+    judged = refuse(
+        open_judgement(lines.withColumn("line_number", F.when(~unknown, F.col("line_number")))),
+        unknown,
+        "missing_erp_customer",
+        F.concat(F.lit("account without customer: "), F.coalesce("billing_account_id", F.lit(""))),
     )
     return Result(judged)
 

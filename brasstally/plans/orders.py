@@ -15,6 +15,7 @@ from brasstally.operators.rules import open_judgement, refuse, required_fields
 from brasstally.operators.skew import NONE_HOT, HotKeys, enrich, group_totals
 from brasstally.plans.validation import PARTNER_PAYERS, PAYER_NAMES, Lookups, payer_name, with_item, with_partner
 from brasstally.result import Result
+from brasstally.sources.staging import staged
 
 # How a line's item was found.
 NOT_BANDED = "default_no_banding"
@@ -246,9 +247,10 @@ def prepare_subscription_orders(
         ),
     ).drop("partner_name")
 
-    # The figures come before the row-level rest: narrower rows are shuffled, and no generated
-    # method grows too large for the JIT compiler.
-    coded = _order_figures(by_order(gated), heavy_orders).withColumn("_code", F.coalesce(strip("product_code"), F.lit("")))
+    # The lines are written once: their orders' figures and the lines themselves are read from
+    # there, so that what is behind them is evaluated once. The figures come before the row-level
+    # rest: narrower rows are shuffled, and no generated method grows too large for the JIT compiler.
+    coded = _order_figures(by_order(staged(gated, "order-lines")), heavy_orders).withColumn("_code", F.coalesce(strip("product_code"), F.lit("")))
     banded = F.col("_code").isin(*options.banded_products) if options.banded_products else F.lit(False)
     itemed = with_item(term_columns(coded, banded), lookups, options.banded_products, "_code")
     term_failed = banded & F.col("term_months").isNull()

@@ -32,8 +32,11 @@ class Policy:
     window: timedelta = SYNC_WINDOW
     tiebreak: Sequence[str] = ("id",)
 
+    def newest_by(self) -> tuple[str, ...]:
+        return ("version", *self.tiebreak)
+
     def newest_first(self) -> list[Column]:
-        return [F.desc_nulls_last(c) for c in ("version", *self.tiebreak)]
+        return [F.desc_nulls_last(c) for c in self.newest_by()]
 
 
 def skewed(hot: Hot, *columns: str) -> dict[str, HotKeys]:

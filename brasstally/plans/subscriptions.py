@@ -19,7 +19,7 @@ from brasstally.operators.gates import (
 )
 from brasstally.operators.latest import latest_version, prefixed
 from brasstally.operators.lookups import lookup_join
-from brasstally.operators.rollups import distinct_rollup
+from brasstally.operators.rollups import counted_stages, distinct_rollup
 from brasstally.operators.rules import blank_flags
 from brasstally.operators.skew import HotKeys, enrich, group_totals
 from brasstally.plans.policy import Hot, Policy, skewed
@@ -347,21 +347,29 @@ def zero_total_orders(
 def stage_counts(
     subs: DataFrame, as_of: datetime, created_from: datetime, policy: Policy = Policy()
 ) -> DataFrame:
-    """Rows left after each stage of the subscription feed's own table, in order."""
-    since = stamp(created_from)
-    dated = ~F.col("is_deleted") & ~F.col("is_evergreen") & (F.col("created_at") >= since)
-    before = subs.agg(
-        F.count("*").alias("1_raw"),
-        F.count_if(~F.col("is_deleted")).alias("2_live"),
-        F.count_if(dated).alias("3_fixed_term_since"),
-    )
-    keep = orderable(policy)
-    recent = F.col("synced_at") >= cutoff(as_of, policy.window)
-    after = dated_lines(subs, created_from, policy).agg(
-        F.count("*").alias("4_newest"),
-        F.count_if(keep).alias("5_orderable"),
-        F.count_if(keep & recent).alias("6_recent"),
+    """Rows left after each stage of the subscription feed's own table, in order.
+
+    One pass: the versions of a line are counted and its newest one found in the same aggregate.
+    """
+    dated = ~F.col("is_deleted") & ~F.col("is_evergreen") & (F.col("created_at") >= stamp(created_from))
+    recent = F.coalesce(F.col("synced_at") >= cutoff(as_of, policy.window), F.lit(False))
+    state = F.struct(F.coalesce(orderable(policy), F.lit(False)).alias("keep"), recent.alias("recent"))
+    lines = subs.groupBy("crm_line_id").agg(
+        F.count("*").alias("raw"),
+        F.count_if(~F.col("is_deleted")).alias("live"),
+        F.count_if(dated).alias("dated"),
+        F.max_by(state, F.when(dated, F.struct(*policy.newest_by()))).alias("newest"),
     )
-    return before.unpivot([], before.columns, "stage", "records").unionByName(
-        after.unpivot([], after.columns, "stage", "records")
+    keep = F.col("newest.keep")
+    return counted_stages(
+        lines,
+        {
+            "1_raw": F.coalesce(F.sum("raw"), F.lit(0)),
+            "2_live": F.coalesce(F.sum("live"), F.lit(0)),
+            "3_fixed_term_since": F.coalesce(F.sum("dated"), F.lit(0)),
+            "4_newest": F.count("newest"),
+            "5_orderable": F.count_if(keep),
+            "6_recent": F.count_if(keep & F.col("newest.recent")),
+        },
     )
+

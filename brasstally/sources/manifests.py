@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# The reader of heads travels to the executors by value: these need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MANIFEST_SCHEMA = "batch_id string, success boolean, status string, files array<map<string,string>>"
 
 
@@ -33,3 +41,35 @@ def read_documents(spark: SparkSession, path: str, *, glob: str = "*") -> DataFr
     return found.load(path).select(
         F.col("path").alias("content_url"), F.lit(None).cast("string").alias("content_type"), "content"
     )
+
+
+def list_documents(spark: SparkSession, path: str, *, glob: str = "*") -> DataFrame:
+    """Stored files by path and size, as the document check lists them; no file is opened."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    return found.load(path).select(F.col("path").alias("content_url"), F.lit(None).cast("string").alias("content_type"), "length")
+
+
+def first_bytes(path: str, n: int) -> bytes:
+    """The first ``n`` bytes of a stored file, by one read of that range."""
+    from pyarrow import fs
+
+    # Hadoop writes file:/a/b where others want file:///a/b.
+    one_slash = path.startswith("file:/") and not path.startswith("file://")
+    store, inside = fs.FileSystem.from_uri("file://" + path[5:] if one_slash else path)
+    with store.open_input_file(inside) as f:
+        return f.read_at(min(n, f.size()), 0)
+
+
+def read_heads(urls: DataFrame, n: int, *, read: Callable[[str, int], bytes] = first_bytes) -> DataFrame:
+    """``content_url`` and ``head``: the first ``n`` bytes of each file, whatever its size.
+
+    ``read`` is given a path and a number of bytes; the default knows the schemes that
+    Arrow knows (file, s3, gs, hdfs). A file that can't be opened fails the job.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [read(path, n) for path in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(heads, pa.binary())], names=["content_url", "head"])
+
+    return urls.select("content_url").mapInArrow(run, "content_url string, head binary")

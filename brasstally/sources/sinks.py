@@ -2,17 +2,101 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from brasstally.plans.documents import dispatch_summary
-from brasstally.result import Result
-
-
-def replace_table(df: DataFrame, table: str, *, format: str = "parquet") -> None:
-    """Create or replace a catalog table from a frame."""
-    df.write.mode("overwrite").format(format).saveAsTable(table)
+from brasstally.result import Result, observed_metrics
+
+
+def _storage(spark: SparkSession, path: str):
+    """The path as the cluster's file system sees it, and that file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _shown(fs, folder) -> list:
+    """What readers see in a folder: names that begin with neither ``_`` nor a dot, and the success mark."""
+    if not fs.exists(folder):
+        return []
+    found = [s.getPath() for s in fs.listStatus(folder)]
+    return [p for p in found if p.getName()[0] not in "_." or p.getName() == "_SUCCESS"]
+
+
+def replace_files(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
+    """Put the rows in place of all that readers see at ``path``, once they are written.
+
+    They are written beside it first, in a folder that readers skip, so that a job that
+    fails leaves the old rows; a repeated run leaves the same ones. The exchange moves
+    whole files or partition folders. What a broken run left behind goes with the next one.
+    """
+    spark = df.sparkSession
+    folder, fs = _storage(spark, path)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    coming, going = (jpath(folder, f"_{n}-{uuid.uuid4().hex}") for n in ("coming", "going"))
+    try:
+        df.write.partitionBy(*partition_by).parquet(coming.toString())
+    except BaseException:
+        fs.delete(coming, True)
+        raise
+    fs.mkdirs(going)
+    for old in _shown(fs, folder):
+        fs.rename(old, jpath(going, old.getName()))
+    for new in _shown(fs, coming):
+        fs.rename(new, jpath(folder, new.getName()))
+    for left in fs.listStatus(folder):
+        if left.getPath().getName().startswith(("_coming-", "_going-")):
+            fs.delete(left.getPath(), True)
+
+
+def replace_months(df: DataFrame, path: str, *, month: str = "revenue_month_start") -> None:
+    """Put the rows in place of those of the same months; other months stay.
+
+    Spark's dynamic partition overwrite: the months change when the job commits, so that
+    a failed run leaves the old rows and a repeated one the same. A month without a row
+    in ``df`` is another month. Columns of another type than those that stay are an error.
+    """
+    spark = df.sparkSession
+    folder, fs = _storage(spark, path)
+    if _shown(fs, folder):
+        told = {f.name: f.dataType for f in spark.read.parquet(path).schema if f.name != month}
+        if told != {f.name: f.dataType for f in df.schema if f.name != month}:
+            raise ValueError(f"the rows at {path} have other columns: {told}")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)
+
+
+def replace_table(df: DataFrame, table: str, root: str | None = None, *, format: str = "parquet") -> str:
+    """Create or replace a catalog table from a frame; gives the folder of its new rows.
+
+    Every version has a folder of its own under ``root`` (by default one in the warehouse). The table is pointed to it once
+    it is whole, so that readers see the old rows or the new ones, and a failed run
+    leaves the old. The version before stays for readers that have begun; older ones go.
+    With other columns or another format, the table is defined anew instead.
+    """
+    spark = df.sparkSession
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_versions/{table}"
+    version = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.format(format).save(version)
+    before = None
+    if spark.catalog.tableExists(table):
+        told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        before = told.get("Location")
+        same = [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in df.schema]
+        if same and told.get("Provider", "").lower() == format.lower():
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        else:
+            spark.sql(f"DROP TABLE {table}")
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=version, source=format, schema=df.schema)
+    spark.catalog.refreshTable(table)
+    folder, fs = _storage(spark, root)
+    keep = {version.rsplit("/", 1)[-1], (before or "").rstrip("/").rsplit("/", 1)[-1]}
+    for old in fs.listStatus(folder):
+        if old.getPath().getName() not in keep:
+            fs.delete(old.getPath(), True)
+    return version
 
 
 def publish_view(df: DataFrame, name: str) -> None:
@@ -24,10 +108,30 @@ def dry_run(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
-def write_result(result: Result, path: str, *, mode: str = "overwrite") -> None:
-    """Accepted and refused rows in one pass, as ``outcome=valid`` and ``outcome=rejected`` folders."""
-    outcome = F.when(F.col("reject_code").isNull(), "valid").otherwise("rejected")
-    result.judged.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").parquet(path)
+def _by_outcome(judged: DataFrame) -> DataFrame:
+    return judged.withColumn("outcome", F.when(F.col("reject_code").isNull(), "valid").otherwise("rejected"))
+
+
+def write_result(result: Result, path: str) -> None:
+    """Accepted and refused rows in one pass, as ``outcome=valid`` and ``outcome=rejected`` folders.
+
+    They take the place of what was at ``path`` when all are written; a fatal row ends
+    the job and leaves it as it was.
+    """
+    replace_files(_by_outcome(result.checked), path, partition_by=["outcome"])
+
+
+def write_with_metrics(result: Result, path: str, **also: Column) -> tuple[DataFrame, dict]:
+    """``write_result``, and what it wrote counted in the same job.
+
+    Gives the rows of ``Result.metrics``, without a second evaluation, and the values of
+    the aggregates ``also`` (such as ``controls.control_aggregates()``).
+    """
+    rows, seen = result.observed(**also)
+    replace_files(_by_outcome(rows), path, partition_by=["outcome"])
+    values = seen.get
+    metrics = result.judged.sparkSession.createDataFrame(observed_metrics(values), "metric string, records long")
+    return metrics, {name: values.get(name) for name in also}
 
 
 def write_manifest(df: DataFrame, path: str, *, folder: str = "folder") -> None:

@@ -217,6 +217,14 @@ oracle(
     FROM newest WHERE coalesce(product_code, '') NOT LIKE 'Free%' GROUP BY crm_account_id""",
 )
 
+oracle(
+    "id_map_values",
+    "sub_versions",
+    """SELECT DISTINCT crm_account_id, list, value FROM (
+        SELECT crm_account_id, 'billing_account_id' AS list, CAST(billing_account_id AS VARCHAR) AS value FROM sub_versions
+        UNION ALL SELECT crm_account_id, 'product_code', CAST(product_code AS VARCHAR) FROM sub_versions
+        UNION ALL SELECT crm_account_id, 'version', CAST(version AS VARCHAR) FROM sub_versions) AS values_""",
+)
 oracle(
     "reseller_rollup",
     "sub_versions billing_info",
@@ -703,6 +711,14 @@ PRODUCT_VIEWS = "revenue_records billing_info erp_customers erp_items"
 PRODUCT = f"""{PRODUCT_LINES}, named AS (SELECT *, {PRODUCT_NAME} FROM lines),
     product AS (SELECT *, {numbering(PRODUCT_ORDER)} FROM named WHERE external_id IS NOT NULL)"""
 oracle("product_invoices", PRODUCT_VIEWS, f"WITH {PRODUCT} SELECT * FROM product")
+oracle(
+    "invoice_months_replaced",
+    PRODUCT_VIEWS,
+    f"""WITH {PRODUCT}, last AS (SELECT max(revenue_month_start) AS m FROM product)
+    SELECT CAST(revenue_month_start AS DATE) AS revenue_month_start, count(*) AS line_count,
+           CAST(sum(amount + CASE WHEN revenue_month_start = m THEN 1 ELSE 0 END) AS DECIMAL(28,2)) AS amount
+    FROM product, last GROUP BY ALL""",
+)
 oracle(
     "product_invoices_one_row",
     PRODUCT_VIEWS,
@@ -886,6 +902,17 @@ METRICS = """
     UNION ALL SELECT 'rejected_' || reject_code, count(*) FROM judged WHERE reject_code IS NOT NULL
               GROUP BY reject_code"""
 oracle("orders_metrics", ORDER_VIEWS, f"WITH {PREPARED} {METRICS}")
+oracle("orders_written_metrics", ORDER_VIEWS, f"WITH {PREPARED} {METRICS}")
+oracle(
+    "orders_reject_samples",
+    ORDER_VIEWS,
+    f"""WITH {PREPARED}, ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY reject_code ORDER BY order_number NULLS FIRST, id NULLS FIRST, version NULLS FIRST,
+            tie_part NULLS FIRST, tie_supplier NULLS FIRST, crm_line_id NULLS FIRST) AS sample_number
+        FROM judged WHERE reject_code IS NOT NULL)
+    SELECT reject_code, CAST(sample_number AS INTEGER) AS sample_number, order_number, id, version, tie_part, tie_supplier, crm_line_id
+    FROM ranked WHERE sample_number <= 3""",
+)
 oracle(
     "orders_warnings",
     ORDER_VIEWS,
@@ -1066,22 +1093,32 @@ oracle(
                           / count(billing_account_id), 2) AS DECIMAL(28,2)) AS average_amount
         FROM rough""",
 )
+oracle(
+    "control_totals_observed",
+    "sub_versions",
+    f"""SELECT count(*) AS record_count, count(billing_account_id) AS valid_records,
+        count(*) - count(billing_account_id) AS invalid_records, 0 AS bad_amounts,
+        CAST(sum(CASE WHEN billing_account_id IS NOT NULL THEN amount END) AS DECIMAL(28,4)) AS total,
+        CAST(sum({CHARACTER_SUM.format('billing_account_id')}) AS BIGINT) AS hash_total,
+        count(*) - count(billing_account_id) AS errored FROM sub_versions""",
+)
 oracle(
     "control_totals_stamped",
-    "accounts",
+    "sub_versions",
     f"""
-    WITH totals AS (SELECT count(*) AS n, count(payment_profile_id) AS k,
-                           CAST(sum({CHARACTER_SUM.format('payment_profile_id')}) AS BIGINT) AS h FROM accounts)
-    SELECT id, payment_profile_id, '1,250.5' AS amount,
-           CASE WHEN payment_profile_id IS NOT NULL THEN n END AS control_record_count,
-           CASE WHEN payment_profile_id IS NOT NULL THEN k END AS control_valid_records,
-           CASE WHEN payment_profile_id IS NOT NULL THEN CAST(k * 1250.5 AS DECIMAL(28,2)) END AS control_total_amount,
-           CASE WHEN payment_profile_id IS NOT NULL THEN h END AS control_hash_total,
-           CASE WHEN payment_profile_id IS NOT NULL THEN CAST(1250.5 AS DECIMAL(28,2)) END AS control_average_amount,
-           CASE WHEN payment_profile_id IS NULL THEN 'invalid_record' END AS reject_code,
-           CASE WHEN payment_profile_id IS NULL
-                THEN 'blank key (none)' END AS reject_message
-    FROM accounts, totals""",
+    WITH totals AS (SELECT count(*) AS n, count(billing_account_id) AS k,
+                           CAST(sum(CASE WHEN billing_account_id IS NOT NULL THEN amount END) AS DECIMAL(28,2)) AS t,
+                           CAST(sum({CHARACTER_SUM.format('billing_account_id')}) AS BIGINT) AS h FROM sub_versions)
+    SELECT id, version, tie_part, tie_supplier, billing_account_id, amount,
+           CASE WHEN billing_account_id IS NOT NULL THEN n END AS control_record_count,
+           CASE WHEN billing_account_id IS NOT NULL THEN k END AS control_valid_records,
+           CASE WHEN billing_account_id IS NOT NULL THEN t END AS control_total_amount,
+           CASE WHEN billing_account_id IS NOT NULL THEN h END AS control_hash_total,
+           CASE WHEN billing_account_id IS NOT NULL
+                THEN CAST(round(CAST(t AS DOUBLE) / k, 2) AS DECIMAL(28,2)) END AS control_average_amount,
+           CASE WHEN billing_account_id IS NULL THEN 'invalid_record' END AS reject_code,
+           CASE WHEN billing_account_id IS NULL THEN 'blank key (none)' END AS reject_message
+    FROM sub_versions, totals""",
 )
 
 
@@ -1099,6 +1136,12 @@ oracle(
                   WHEN lower(item) LIKE '%evergreen%' THEN 'Self Service' ELSE 'Overage' END END AS invoice_type
         FROM financial_lines""",
 )
+oracle(
+    "conformed_accounts",
+    "accounts",
+    """SELECT status, CAST(id AS DECIMAL(18,0)) AS id, CAST(synced_at AS DATE) AS synced_at, CAST(NULL AS VARCHAR) AS note,
+              CAST(CASE status WHEN 'Customer' THEN 1 WHEN 'Lead' THEN 2 END AS INTEGER) AS rank FROM accounts""",
+)
 oracle(
     "inactive_flags",
     "accounts",
@@ -1136,6 +1179,17 @@ oracle(
     f"""WITH {MANIFEST} SELECT j.*, CASE WHEN j.reject_code IS NULL THEN folder || '/' || file_name END AS file_path,
         m.reject_message FROM judged j LEFT JOIN messages m ON j.reject_code = m.reject_code""",
 )
+ORACLE["document_manifest_listed"] = ORACLE["document_manifest"]
+ORACLE["url_origins"] = """
+    WITH shown AS (
+        SELECT page_id, regexp_extract(url, '^https?://([^/?#]*)', 1) AS host FROM pages),
+    tried AS (
+        SELECT page_id, CASE WHEN page_id % 7 = 6 THEN 'no url' ELSE CASE WHEN page_id % 3 = 0 THEN 'http://' ELSE 'https://' END
+               || CASE page_id % 4 WHEN 1 THEN 'user@' || host WHEN 2 THEN host || ':8443' ELSE host END || '/a?b=1' END AS tried
+        FROM shown)
+    SELECT page_id, tried, starts_with(tried, 'https://m.ththth.example.net/') OR starts_with(tried, 'https://m.ththth.example.net:8443/')
+           OR starts_with(tried, 'http://ththre.example.com/') OR starts_with(tried, 'https://therin.example.net/') AS allowed
+    FROM tried"""
 oracle(
     "batch_outcome",
     "manifest_files file_contents",
@@ -1189,6 +1243,13 @@ ORACLE["redact"] = """
            '[REDACTED]' AS session_token, '[REDACTED]' AS api_key_id
     FROM (SELECT page_id, url || '?' || repeat('x', page_id % 90) AS u FROM pages) AS long_urls"""
 
+ORACLE["redact_maps"] = """
+    SELECT page_id, '[REDACTED]' AS authtoken, url AS host,
+           CASE WHEN length(u) > 100 THEN substr(u, 1, 50) || '...' || right(u, 30) ELSE u END AS fullurl,
+           CASE WHEN page_id % 2 = 0 THEN '[REDACTED]' END AS password, CASE WHEN page_id % 2 = 1 THEN 'abc' END AS word,
+           CAST(NULL AS VARCHAR) AS apikey, true AS secret_gone, '[REDACTED]' AS inner_token, page_id AS inner_n
+    FROM (SELECT page_id, url, url || '?' || repeat('x', page_id % 90) AS u FROM pages) AS long_urls"""
+
 oracle(
     "contact_upsert_plan",
     "reps contacts recipients",

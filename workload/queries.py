@@ -8,10 +8,11 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brasstally.functions.dates import with_billing_schedule
-from brasstally.functions.text import inactive_flag
+from brasstally.functions.text import inactive_flag, is_blank
 from brasstally.operators.gates import recency_gate, resolve_payer, run_mode
 from brasstally.operators.latest import latest_version
-from brasstally.operators.rules import open_judgement
+from brasstally.operators.rollups import distinct_values
+from brasstally.operators.rules import open_judgement, refuse
 from brasstally.plans import (
     account_prep,
     accounts,
@@ -27,6 +28,11 @@ from brasstally.plans import (
     validation,
 )
 from brasstally.plans.policy import Policy
+from brasstally.result import Result
+from brasstally.sources.registry import Sources
+from brasstally.sources.schemas import conform, described
+from brasstally.sources.sinks import replace_months, write_with_metrics
+from brasstally.sources.staging import staged_path
 from workload.views import AS_OF, CREATED_FROM, EVENTS_AS_OF, Views
 
 POLICY = Policy(
@@ -168,6 +174,12 @@ def id_map(v: Views) -> DataFrame:
     return subscriptions.id_map(v.sub_versions(), POLICY)
 
 
+@query
+def id_map_values(v: Views) -> DataFrame:
+    """The values behind the lists of ``id_map``, as rows."""
+    return distinct_values(v.sub_versions(), ["crm_account_id"], ["billing_account_id", "product_code", "version"])
+
+
 @query
 def reseller_rollup(v: Views) -> DataFrame:
     return subscriptions.reseller_rollup(v.sub_versions(), v.billing_info(), POLICY)
@@ -336,6 +348,19 @@ def product_invoices(v: Views) -> DataFrame:
     return _product(v).valid
 
 
+@query
+def invoice_months_replaced(v: Views) -> DataFrame:
+    """Months of an earlier run, with other amounts, of which a later run replaces all but the last one."""
+    lines = _product(v).valid.select("revenue_month_start", "external_id", "line_number", "amount")
+    path = staged_path(v.spark, "months")
+    replace_months(lines.withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)")), path)
+    last = lines.agg(F.max("revenue_month_start").alias("m")).scalar()
+    replace_months(lines.filter(F.col("revenue_month_start") < last), path)
+    return v.spark.read.parquet(path).groupBy(F.col("revenue_month_start").cast("date").alias("revenue_month_start")).agg(
+        F.count("*").alias("line_count"), F.sum("amount").cast("decimal(28,2)").alias("amount")
+    )
+
+
 @query
 def product_invoices_one_row(v: Views) -> DataFrame:
     return _product(v, strict_one_row=True).valid
@@ -408,6 +433,19 @@ def orders_metrics(v: Views) -> DataFrame:
     return _orders(v).metrics
 
 
+@query
+def orders_written_metrics(v: Views) -> DataFrame:
+    """The metrics, counted by the job that writes the rows."""
+    metrics, _ = write_with_metrics(_orders(v), staged_path(v.spark, "orders"))
+    return metrics
+
+
+@query
+def orders_reject_samples(v: Views) -> DataFrame:
+    order = ["order_number", "id", "version", "tie_part", "tie_supplier", "crm_line_id"]
+    return _orders(v).samples(order, 3).select("reject_code", "sample_number", *order)
+
+
 @query
 def orders_warnings(v: Views) -> DataFrame:
     return _orders(v).warnings.select("id", "product_code", "warning_code", "warning_message")
@@ -538,9 +576,22 @@ def control_totals_rough(v: Views) -> DataFrame:
     return controls.control_totals(v.sub_versions().withColumn("amount", rough))
 
 
+@query
+def control_totals_observed(v: Views) -> DataFrame:
+    """Control sums of rows, taken by the job that writes them."""
+    judged = refuse(open_judgement(v.sub_versions()), is_blank("billing_account_id"), "invalid_record", F.lit("blank key"))
+    sums = controls.control_aggregates()
+    metrics, seen = write_with_metrics(Result(judged), staged_path(v.spark, "versions"), **sums)
+    errored = metrics.filter("metric = 'total_errored'").select("records").scalar()
+    kinds = [f"{name} {'decimal(28,4)' if name == 'total' else 'long'}" for name in sums]
+    one = v.spark.createDataFrame([tuple(seen[name] for name in sums)], ", ".join(kinds))
+    return one.withColumn("errored", errored)
+
+
 @query
 def control_totals_stamped(v: Views) -> DataFrame:
-    return controls.stamp_control_totals(v.accounts().select("id", "payment_profile_id", F.lit("1,250.5").alias("amount")), key="payment_profile_id")
+    rows = v.sub_versions().select("id", "version", "tie_part", "tie_supplier", "billing_account_id", "amount")
+    return controls.stamp_control_totals(rows)
 
 
 @query
@@ -548,6 +599,16 @@ def clean_financial_lines(v: Views) -> DataFrame:
     return controls.clean_financial_lines(v.financial_lines())
 
 
+@query
+def conformed_accounts(v: Views) -> DataFrame:
+    """Accounts in the form of a described table, with items given as inline rows."""
+    schema = described(
+        [("status", "string", "State of the account"), ("id", "decimal(18,0)", "Account"), ("synced_at", "date", "Day of sync"), ("note", "string", "Not kept yet")]
+    )
+    sources = Sources(v.spark, locations={"states": ([("Customer", 1), ("Lead", 2)], "state string, rank int")})
+    return conform(v.accounts(), schema).join(sources["states"], F.col("status") == F.col("state"), "left").drop("state")
+
+
 @query
 def inactive_flags(v: Views) -> DataFrame:
     rows = v.accounts().withColumn("active_status", F.when(F.col("status") == "Customer", "Yes").when(F.col("status") == "Lead", "No"))
@@ -565,6 +626,31 @@ def document_manifest(v: Views) -> DataFrame:
     )
 
 
+@query
+def document_manifest_listed(v: Views) -> DataFrame:
+    """The same check from a listing: only files that type and name leave open are looked into."""
+    stored = v.file_contents()
+
+    def heads(urls: DataFrame, n: int) -> DataFrame:
+        return urls.join(stored, "content_url").select("content_url", F.substring("content", 1, n).alias("head"))
+
+    listing = stored.select("content_url", "content_type")
+    judged = documents.document_manifest(v.file_manifests(), listing, heads=heads, magic=b"<!DOC").judged
+    return judged.select("batch_id", "id", "file_name", "folder", "file_path", "content_type", "reject_code", "reject_message")
+
+
+@query
+def url_origins(v: Views) -> DataFrame:
+    """URLs with and without port and user part against a list of origins."""
+    page = F.col("page_id")
+    host = F.regexp_extract("url", "^https?://([^/?#]*)", 1)
+    shown = F.when(page % 4 == 1, F.concat(F.lit("user@"), host)).when(page % 4 == 2, F.concat(host, F.lit(":8443"))).otherwise(host)
+    url = F.when(page % 7 == 6, "no url").otherwise(F.concat(F.when(page % 3 == 0, "http://").otherwise("https://"), shown, F.lit("/a?b=1")))
+    hosts = v.given("pages").select("page_id", "url", url.alias("tried"))
+    allowed = ["https://m.ththth.example.net", "https://m.ththth.example.net:8443", "http://ththre.example.com", "https://therin.example.net"]
+    return hosts.select("page_id", "tried", documents.safe_url("tried", allowed).alias("allowed"))
+
+
 @query
 def batch_outcome(v: Views) -> DataFrame:
     return documents.batch_outcome(_manifest(v).judged)
@@ -606,6 +692,28 @@ def redact(v: Views) -> DataFrame:
     return documents.redact(rows)
 
 
+@query
+def redact_maps(v: Views) -> DataFrame:
+    """Entries of maps, judged by their keys."""
+    long_url = F.concat("url", F.lit("?"), F.repeat(F.lit("x"), F.col("page_id").cast("int") % 90))
+    texts = F.create_map(
+        F.lit("authToken"), F.col("url"), F.lit("host"), F.col("url"), F.lit("fullUrl"), long_url,
+        F.when(F.col("page_id") % 2 == 0, "Password").otherwise("word"), F.lit("abc"), F.lit("apiKey"), F.lit(None),
+    )
+    inner = F.struct(F.col("url").alias("session_token"), F.col("page_id").alias("n"))
+    rows = v.given("pages").select(
+        "page_id", texts.alias("metadata"), F.create_map(F.lit("secretIds"), inner, F.lit("ids"), inner).alias("nested")
+    )
+    out = documents.redact(rows)
+    return out.select(
+        "page_id",
+        *[F.col("metadata")[k].alias(k.lower()) for k in ("authToken", "host", "fullUrl", "Password", "word", "apiKey")],
+        F.col("nested")["secretIds"].isNull().alias("secret_gone"),
+        F.col("nested")["ids"]["session_token"].alias("inner_token"),
+        F.col("nested")["ids"]["n"].alias("inner_n"),
+    )
+
+
 @query
 def contact_upsert_plan(v: Views) -> DataFrame:
     return contacts.contact_upsert_plan(
@@ -618,6 +726,7 @@ def quality_checks(v: Views) -> DataFrame:
     lines = _product(v).valid
     usage = _usage(v).valid
     live_orgs = v.product_orgs().filter(~F.col("is_deleted"))
+    revenue = v.revenue_records()
     return quality.quality_checks(
         [
             quality.isolation("usage_rows_of_product_orgs", usage, "billing_account_id", live_orgs, "billing_info_id"),
@@ -633,7 +742,7 @@ def quality_checks(v: Views) -> DataFrame:
             quality.row_checks(
                 usage, {"usage_with_product_prefix": quality.prefixed("external_id", ["PINV", "PCM"])}
             ),
-            quality.row_count("revenue_rows_against_baseline", v.revenue_records(), 1000),
-            quality.distinct_values("product_types_unexpected", v.revenue_records(), "product_type", ["LINE_A"]),
+            quality.row_count("revenue_rows_against_baseline", revenue, 1000),
+            quality.distinct_values("product_types_unexpected", revenue, "product_type", ["LINE_A"]),
         ]
     )

@@ -52,6 +52,7 @@ class Views:
     """The stand-in tables of one data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
         self.sources = Sources(spark, root=folder)
         self._made: dict[str, DataFrame] = {}
 
