@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brasstally.sources.staging import shared_folder
+
 # The white space of the contracts.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -16,18 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    held = spark.sparkContext.getCheckpointDir()
-    if held is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="brasstally-"))
-        held = spark.sparkContext.getCheckpointDir()
-    return held
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends here, and a lost executor loses none of it.
 

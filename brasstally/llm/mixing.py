@@ -227,18 +227,31 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
     Within a task, rows are in the order of shard and turn. A document that is cut keeps
     its first words, joined by one space. Rows that repeat an id are told apart by text
-    and source; rows equal in all three are taken alike.
+    and source (by SHA-256); rows equal in all three are numbered in the order of their
+    other columns, and the copies that fall to them are dealt out in that order.
     """
-    key = [F.xxhash64(*[docs[f"`{c}`"] for c in (id_col, source_col, text_col)])]
+    parts = [docs[f"`{c}`"].cast("string") for c in (id_col, source_col, text_col)]
+    told = F.concat(*[F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")) for x in parts])
+    key = F.sha2(told, 256)
     marked = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
         docs[f"`{text_col}`"].alias("text"),
         docs[f"`{source_col}`"].alias("source"),
-        key[0].alias("doc_id"),
+        key.alias("doc_id"),
     )
     plan = mix(marked, "doc_id", "text", "source", **options).where(F.size("copies") > 0).select("doc_id", "size", "copies")
-    once = plan.groupBy("doc_id").agg(F.first("size").alias("size"), F.first("copies").alias("copies"))
-    taken = marked.select("doc_id", "row").join(once, "doc_id").select("row", "size", F.explode("copies").alias("c"))
+    alike = plan.groupBy("doc_id", "size", "copies").agg(F.count(F.lit(1)).alias("n"))
+    once = alike.groupBy("doc_id").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("copies", "n")), False).alias("owed"))
+    rest = F.to_json(F.struct(*[F.col("row").getField(c).alias(f"c{k}") for k, c in enumerate(docs.columns) if c != text_col]))
+    twins = Window.partitionBy("doc_id").orderBy(rest)
+    joined = marked.select("doc_id", "row").join(once, "doc_id").withColumn("twin", F.row_number().over(twins))
+    none = F.struct(F.col("twin").cast("long").alias("left"), F.lit(None).cast(plan.schema["copies"].dataType).alias("copies"))
+
+    def owed(a: Column, v: Column) -> Column:
+        mine = (a["left"] > 0) & (a["left"] <= v["n"])
+        return F.struct((a["left"] - v["n"]).alias("left"), F.when(mine, v["copies"]).otherwise(a["copies"]).alias("copies"))
+
+    taken = joined.select("row", "size", F.explode(F.aggregate("owed", none, owed)["copies"]).alias("c"))
     text = F.col(f"row.`{text_col}`")
     words = F.slice(F.split(F.trim(F.regexp_replace(text, SPACE, " ")), " "), F.lit(1), F.col("c.words").cast("int"))
     cut = F.when(F.col("c.words") < F.col("size"), F.array_join(words, " ")).otherwise(text)

@@ -34,6 +34,7 @@ RADIUS = 2
 BANDS = 5
 KEPT = BANDS - RADIUS
 LARGE = 4096
+TOGETHER = 512
 SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 STRETCH = 64 * 16
 
@@ -118,28 +119,34 @@ def planes(fps: np.ndarray) -> np.ndarray:
 
 
 def within_radius(fps: np.ndarray, block: np.ndarray, queries: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """For each query's place: the places in the block of fingerprints at most ``RADIUS`` (2) bits away.
+    """For each query's place: the places in the planes of fingerprints at most ``RADIUS`` (2) bits away, its own included.
 
-    Two carry-save counters and an overflow hold every distance up to 3 and more.
+    Two carry-save counters and an overflow hold every distance up to 3 and more. A
+    query's own place is not counted, so that a stretch without a neighbour is left as
+    soon as all other distances in it have passed the radius.
     """
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
-    zero = np.uint64(0)
+    full, zero, one = np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0), np.uint64(1)
     for first in range(0, len(queries), 256):
         some = queries[first : first + 256]
-        bits = [np.where((fps[some] >> np.uint64(b)) & np.uint64(1), full, zero)[:, None] for b in range(BITS)]
+        bits = [np.where((fps[some] >> np.uint64(b)) & one, full, zero)[:, None] for b in range(BITS)]
         for at in range(0, block.shape[1], STRETCH // 64):
             part = block[:, at : at + STRETCH // 64]
             ones = np.zeros((len(some), part.shape[1]), dtype=np.uint64)
-            twos, over = ones.copy(), ones.copy()
+            twos, passed = ones.copy(), ones.copy()
+            own = np.nonzero((some // 64 >= at) & (some // 64 < at + part.shape[1]))[0]
+            itself = passed.copy()
+            itself[own, some[own] // 64 - at] = one << (some[own] % 64).astype(np.uint64)
+            passed |= itself
             for b in range(BITS):
                 differ = part[b] ^ bits[b]
                 carry = ones & differ
                 ones ^= differ
-                over |= twos & carry | twos & ones & ~carry
-                twos ^= carry
-                if b % 8 == 7 and (over == full).all():
+                # Three is beyond the radius: the counters need not go on from there.
+                twos |= carry
+                passed |= ones & twos
+                if b % 8 == 7 and (passed == full).all():
                     break
-            near = ~(over | ones & twos)
+            near = ~passed | itself
             rows, words = np.nonzero(near)
             if len(rows):
                 found = np.unpackbits(near[rows, words].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -148,7 +155,7 @@ def within_radius(fps: np.ndarray, block: np.ndarray, queries: np.ndarray) -> It
 
 
 def block_links(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A forest of a block's links: each member with the smallest that it reaches here."""
+    """A forest of the links among fingerprints: each with the smallest that it reaches here."""
     order = np.argsort(fps.view(np.int64), kind="stable")
     fps = fps[order]
     parent = list(range(len(fps)))
@@ -158,13 +165,7 @@ def block_links(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             parent[x] = x = parent[parent[x]]
         return x
 
-    if len(fps) <= 48:
-        # A few fingerprints are compared as they stand, without planes to set up.
-        near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= RADIUS
-        pairs = [np.nonzero(np.triu(near, 1))]
-    else:
-        pairs = within_radius(fps, planes(fps), np.arange(len(fps)))
-    for queries, others in pairs:
+    for queries, others in within_radius(fps, planes(fps), np.arange(len(fps))):
         for q, o in zip(queries.tolist(), others.tolist(), strict=True):
             if q < o < len(fps):
                 a, b = root(q), root(o)
@@ -176,14 +177,22 @@ def block_links(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted (block, part, fp) rows of a task to edges between fingerprints; holds one block at a time."""
-    held: list[np.ndarray] = []
-    last, out_a, out_b, n = None, [], [], 0
+    """Sorted (block, part, fp) rows of a task to edges between fingerprints.
 
-    def close():
-        nonlocal n
-        fps = np.unique(np.concatenate(held)).view(np.uint64)
-        if len(fps) > 1:
+    Whole blocks stand side by side in the planes until these hold ``TOGETHER``
+    fingerprints, so that small blocks fill their words; what is found across two blocks
+    is a link as well. A task holds these and the rows of one block.
+    """
+    held: list[np.ndarray] = []
+    last, together, out_a, out_b, n = None, [], [], [], 0
+
+    def close(all_: bool = False):
+        nonlocal n, together
+        if held:
+            together += held
+        if together and (all_ or sum(map(len, together)) >= TOGETHER):
+            fps = np.unique(np.concatenate(together)).view(np.uint64)
+            together = []
             a, b = block_links(fps)
             out_a.append(a)
             out_b.append(b)
@@ -196,7 +205,7 @@ def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if a == z:
                 continue
             here = (block[a], part[a])
-            if here != last and held:
+            if here != last:
                 close()
                 held = []
             last = here
@@ -204,20 +213,23 @@ def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if n > 10_000:
             yield pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
             out_a, out_b, n = [], [], 0
-    if held:
-        close()
+    close(all_=True)
     if n:
         yield pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``digest`` (SHA-256 of the text), ``fp``, ``component_id`` (the smallest id
-    reachable over links) and ``root`` (the group's own key: a fingerprint in it) of every row.
+    """``doc_id``, ``fp`` and ``component_id`` (the smallest id reachable over links) of every row.
 
     Null texts and texts without words share fingerprint 0 and are linked like others.
     A null id never names a group unless the group has no other. Rows that repeat an id
     each give a row, in the group of their own text; an empty table gives none.
     """
+    return groups_by_text(docs, id_col, text_col, shingle).select("doc_id", "fp", "component_id")
+
+
+def groups_by_text(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """``simhash_groups``, with ``digest`` (SHA-256 of the text) and ``root`` (the group's own key: a fingerprint in it)."""
     spark = docs.sparkSession
     rows = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
@@ -237,7 +249,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     by their other columns. A text's group follows from the text alone, so that rows
     which share an id or have none, but differ in text, do not stand for each other.
     """
-    groups = simhash_groups(docs, id_col, text_col, shingle)
+    groups = groups_by_text(docs, id_col, text_col, shingle)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first"))
     kept = first.select(key_of(F.col("first.doc_id")).alias("key"), F.col("first.digest").alias("digest"))
     text = F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit(""))

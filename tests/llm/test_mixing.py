@@ -88,3 +88,13 @@ def test_mixed_rows(spark):
     plan = mix(odd(spark)).collect()
     assert got.count() == sum(len(r["copies"]) for r in plan)
     assert mixed(nothing(spark)).count() == 0 and mix(nothing(spark)).count() == 0
+
+
+def test_equal_rows_share_what_falls_to_them(spark):
+    """Rows equal in id, source and text, of which one is cut: the same copies whatever the plan."""
+    rows = [(1, "a b c d e f g h", "s", k) for k in range(6)] + [(2, "x " * 40, "t", 9), (3, "y " * 300, "u", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other int")
+    expected = sorted(c["words"] for r in mix(docs).collect() for c in r["copies"])
+    got = [sorted((r["other"], r["text"]) for r in mixed(f).collect()) for f in (docs, docs.repartition(7), docs.orderBy("other"))]
+    assert got[0] == got[1] == got[2]
+    assert sorted(len(t.split()) for _, t in got[0]) == expected
