@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from brasstally.functions.text import _col, is_blank, strip
 
@@ -23,6 +23,12 @@ def safe_number(c: Column | str) -> Column:
     return F.when(bare == "", F.lit(0).cast(AMOUNT)).otherwise(bare.try_cast(AMOUNT))
 
 
+def number_in(df: DataFrame, column: str) -> Column:
+    """``safe_number`` of a column of ``df``; one that holds exact numbers already is not written out and parsed."""
+    exact = isinstance(df.schema[column].dataType, (T.DecimalType, T.IntegralType))
+    return F.col(column).try_cast(AMOUNT) if exact else safe_number(column)
+
+
 def rate(amount: Column | str, quantity: Column | str) -> Column:
     """Unit price at four places; null for no quantity, quantity zero or amounts beyond the type."""
     ratio = F.try_divide(_col(amount).try_cast("decimal(18,4)"), _col(quantity).try_cast("decimal(18,4)"))

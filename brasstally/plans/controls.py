@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brasstally.functions.numbers import clean_amount, invoice_type, safe_number
+from brasstally.functions.numbers import clean_amount, invoice_type, number_in, safe_number
 from brasstally.functions.text import hash_total, inactive_flag, is_blank, strip
 from brasstally.operators.rules import open_judgement, refuse
 
@@ -41,7 +41,7 @@ def control_totals(df: DataFrame, amount: str = "amount", key: str = "billing_ac
     An amount that is no number, or too large for one, counts as 0 and is counted in ``bad_amounts``.
     Rows are summed per id first (map-side), so that each id is hashed once, not once a row.
     """
-    number = safe_number(amount).try_cast("decimal(24,4)")
+    number = number_in(df, amount).try_cast("decimal(24,4)")
     per_id = df.groupBy(strip(key).alias("id")).agg(
         F.count("*").alias("n"),
         F.count_if(number.isNull() & F.col(amount).isNotNull()).alias("bad"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brasstally.functions.address import flatten_address
 from brasstally.functions.dates import as_date, term_band, term_months, with_billing_schedule
-from brasstally.functions.numbers import rate, safe_number
+from brasstally.functions.numbers import number_in, rate
 from brasstally.functions.text import is_blank, is_empty, strip
 from brasstally.operators.rules import open_judgement, refuse, required_fields
 from brasstally.operators.skew import NONE_HOT, HotKeys, enrich, group_totals
@@ -125,7 +125,7 @@ def _dates_spanned(df: DataFrame, products: Sequence[str], hot: HotKeys, spread:
 
 
 def _with_order_total(df: DataFrame, hot: HotKeys, spread: Sequence[str]) -> DataFrame:
-    number = safe_number("amount").try_cast("decimal(24,4)")
+    number = number_in(df, "amount").try_cast("decimal(24,4)")
     counted = F.when(F.col("reject_code").isNull(), F.coalesce(number, F.lit(0)))
     totalled = group_totals(
         df, ["_order"], {"order_total": F.sum(counted)}, hot=hot, spread=spread
@@ -141,7 +141,7 @@ def _order_figures(df: DataFrame, hot: HotKeys) -> DataFrame:
     """
     counted = F.col("reject_code").isNull()
     start, end = service_period()
-    number = F.coalesce(safe_number("amount").try_cast("decimal(24,4)"), F.lit(0))
+    number = F.coalesce(number_in(df, "amount").try_cast("decimal(24,4)"), F.lit(0))
     keyed = df.withColumn("_product", F.coalesce(strip("product_code"), F.lit("")))
     parts = keyed.groupBy(F.col("_order").alias("_key_order"), F.col("_product").alias("_key_product")).agg(
         F.sum(F.when(counted, number)).alias("_part"),
@@ -224,7 +224,7 @@ def prepare_subscription_orders(
     by_third = F.coalesce(F.col("payer_type").isin("Marketplace", "Reseller", "Reseller_Marketplace"), F.lit(False))
     partnered = named.withColumns(
         {
-            "rate": rate(safe_number("amount"), safe_number("product_quantity")),
+            "rate": rate(number_in(named, "amount"), number_in(named, "product_quantity")),
             "third_party_payer_name": F.when(by_third & ~is_empty(third), F.col("partner_name")),
             # The partner is looked up by the id as it stands, the display name by its trimmed form.
             "partner": F.when(third == trimmed, F.col("partner_name")),

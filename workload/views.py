@@ -17,6 +17,7 @@ from brasstally.sources.registry import Sources
 
 AS_OF = datetime(2001, 8, 1)
 CREATED_FROM = datetime(1996, 1, 1)
+DEALT = {"lineitem": "l_orderkey", "events": "event_id"}
 EVENTS_AS_OF = datetime(2024, 1, 30)
 
 
@@ -57,8 +58,13 @@ class Views:
         self._made: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
+        """A given table. The large ones come as one file of one row group, which is one task however
+        many cores there are: where a table has fewer files than that, it is dealt over them by a key."""
         if name not in self._made:
-            self._made[name] = self.sources.table(name)
+            table, cores = self.sources.table(name), self.spark.sparkContext.defaultParallelism
+            if name in DEALT and len(table.inputFiles()) < cores:
+                table = table.repartition(cores, DEALT[name])
+            self._made[name] = table
         return self._made[name]
 
     @once
