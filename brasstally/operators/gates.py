@@ -17,6 +17,21 @@ THIRD_PARTY_TYPES = ("RESELLER", "MARKETPLACE", "RESELLER_MARKETPLACE")
 SYNC_WINDOW = timedelta(hours=28)
 
 
+# A stored table may be kept by day of sync, and versions by a part of their key (see ``sinks``).
+SYNC_DAY, KEY_PART, KEY_PARTS = "sync_day", "key_part", 256
+
+
+def part_of(key: str, parts: int) -> Column:
+    """The part of its key that a version is kept in."""
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(parts)).cast("int")
+
+
+def synced_since(rows: DataFrame, floor: Column, synced: str = "synced_at") -> DataFrame:
+    """Rows synced at or after a moment; of a table kept by day of sync, only days that can hold one are read."""
+    found = rows.filter(F.col(synced) >= floor)
+    return found.filter(F.col(SYNC_DAY) >= floor.cast("date")) if SYNC_DAY in rows.columns else found
+
+
 def any_of(conditions: Sequence[Column]) -> Column:
     out = conditions[0]
     for c in conditions[1:]:
@@ -53,21 +68,30 @@ def with_changes(
     window: timedelta = SYNC_WINDOW,
     *,
     synced: str = "synced_at",
+    parts: int = KEY_PARTS,
 ) -> DataFrame:
     """All versions of the keys of which any version, or any row related to one, was synced inside the window.
 
     ``related`` has (column of versions, frame, its key). What a run ranks and joins
     then follows what changed, not all history. A superset of what a recency gate
     behind the joins would keep: the gate still decides.
+
+    Of related tables kept by day of sync only the days of the window are read. Of
+    versions kept in ``parts`` of their key, only the parts of changed keys are read for
+    their history (dynamic partition pruning, where the keys are few enough to be broadcast).
     """
     floor = cutoff(as_of, window)
     changed = versions.withColumn("_changed", F.coalesce(F.col(synced) >= floor, F.lit(False)))
     for i, (column, rows, rows_key) in enumerate(related):
-        recent = rows.filter(F.col(synced) >= floor).select(F.col(rows_key).alias(f"_near{i}")).distinct()
+        recent = synced_since(rows, floor, synced).select(F.col(rows_key).alias(f"_near{i}")).distinct()
         changed = changed.join(recent, F.col(column) == F.col(f"_near{i}"), "left")
         changed = changed.withColumn("_changed", F.col("_changed") | F.col(f"_near{i}").isNotNull())
     keys = changed.filter("_changed").select(F.col(key).alias("_key")).distinct()
-    return versions.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    if KEY_PART in versions.columns:
+        keys = keys.withColumn("_part", part_of("_key", parts))
+        same = (F.col(KEY_PART) == F.col("_part")) & same
+    return versions.join(keys, same, "left_semi").drop(KEY_PART)
 
 
 def synced_between(df: DataFrame, columns: Sequence[str], start: datetime, end: datetime) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # The reader of heads travels to the executors by value: these need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+STORES = {"s3a": "s3", "s3n": "s3"}
 MANIFEST_SCHEMA = "batch_id string, success boolean, status string, files array<map<string,string>>"
 
 
@@ -51,11 +52,14 @@ def list_documents(spark: SparkSession, path: str, *, glob: str = "*") -> DataFr
 
 def first_bytes(path: str, n: int) -> bytes:
     """The first ``n`` bytes of a stored file, by one read of that range."""
+    from urllib.parse import quote
+
     from pyarrow import fs
 
-    # Hadoop writes file:/a/b where others want file:///a/b.
-    one_slash = path.startswith("file:/") and not path.startswith("file://")
-    store, inside = fs.FileSystem.from_uri("file://" + path[5:] if one_slash else path)
+    # Hadoop writes file:/a b where others want file:///a%20b, and has names of its own for one store.
+    scheme, found, rest = path.partition(":")
+    scheme, rest = (STORES.get(scheme, scheme), rest) if found else ("file", path)
+    store, inside = fs.FileSystem.from_uri(f"{scheme}:{'' if rest.startswith('//') else '//'}{quote(rest, safe='/:@')}")
     with store.open_input_file(inside) as f:
         return f.read_at(min(n, f.size()), 0)
 

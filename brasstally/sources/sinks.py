@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from brasstally.operators.gates import KEY_PART, KEY_PARTS, SYNC_DAY, part_of
 from brasstally.plans.documents import dispatch_summary
 from brasstally.result import Result, observed_metrics
 
@@ -67,6 +68,21 @@ def replace_months(df: DataFrame, path: str, *, month: str = "revenue_month_star
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month).parquet(path)
 
 
+def keep_by_day(df: DataFrame, path: str, *, synced: str = "synced_at") -> None:
+    """Rows kept by day of sync, for reads of a window; the days in ``df`` replace those that are there.
+
+    Rows without a time of sync are kept apart, under no day.
+    """
+    by_day = df.withColumn(SYNC_DAY, F.col(synced).cast("date")).hint("rebalance", SYNC_DAY)
+    by_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SYNC_DAY).parquet(path)
+
+
+def keep_by_key(df: DataFrame, path: str, key: str, *, parts: int = KEY_PARTS) -> None:
+    """All versions kept in parts of their key, for reads of the history of few keys; replaces what is there."""
+    by_part = df.withColumn(KEY_PART, part_of(key, parts)).hint("rebalance", KEY_PART)
+    replace_files(by_part, path, partition_by=[KEY_PART])
+
+
 def replace_table(df: DataFrame, table: str, root: str | None = None, *, format: str = "parquet") -> str:
     """Create or replace a catalog table from a frame; gives the folder of its new rows.
 

@@ -123,6 +123,7 @@ oracle(
     {SYNCED} AND {RECENT_LINE}""",
 )
 
+ORACLE["subscription_sync_kept"] = ORACLE["subscription_sync"]
 oracle(
     "product_account_sync",
     "sub_versions product_orgs billing_info",

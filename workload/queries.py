@@ -31,7 +31,7 @@ from brasstally.plans.policy import Policy
 from brasstally.result import Result
 from brasstally.sources.registry import Sources
 from brasstally.sources.schemas import conform, described
-from brasstally.sources.sinks import replace_months, write_with_metrics
+from brasstally.sources.sinks import keep_by_day, keep_by_key, replace_months, write_with_metrics
 from brasstally.sources.staging import staged_path
 from workload.views import AS_OF, CREATED_FROM, EVENTS_AS_OF, Views
 
@@ -122,6 +122,16 @@ def subscription_sync_payer_name(v: Views) -> DataFrame:
     ).select("id", "billing_account_id", "payer_type", "legal_name", "tax_id")
 
 
+@query
+def subscription_sync_kept(v: Views) -> DataFrame:
+    """The same feed from tables kept by key part and by day of sync."""
+    versions, info = staged_path(v.spark, "versions"), staged_path(v.spark, "info")
+    keep_by_key(v.sub_versions(), versions, "crm_line_id")
+    keep_by_day(v.billing_info(), info)
+    kept = [v.spark.read.parquet(p) for p in (versions, info)]
+    return subscriptions.subscription_sync(*kept, AS_OF, CREATED_FROM, POLICY)
+
+
 @query
 def product_account_sync(v: Views) -> DataFrame:
     wide = Policy(window=timedelta(days=400), tiebreak=POLICY.tiebreak)
