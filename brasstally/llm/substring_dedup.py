@@ -320,7 +320,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     smallest id of a document with that passage; the passage is kept there and may be
     removed elsewhere. Overlapping passages of one component are one row. Passages that
     only one document has give none; null, empty and short texts give none. A null id is
-    one document, ahead of all others. Words count without regard to the case of A to Z.
+    one document, ahead of all others; so are rows that repeat an id, and places then
+    belong to any of their texts. Words count without regard to the case of A to Z.
     """
     found = written(units(docs, id_col, text_col), "paragraphs")
     spans = repeated_lines(found.where("line")).unionByName(repeated_stretches(found.where("not line")))
@@ -337,9 +338,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns kept, without the passages that are kept elsewhere."""
+    """The documents, all columns kept, without the passages that are kept elsewhere.
+
+    Rows whose id (or want of one) stands for several texts are left whole: a place tells
+    nothing about which of them it is in.
+    """
+    rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("of"), F.sha2(F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")), 256).alias("sha"))
+    several = rows.groupBy("of").agg(F.min("sha").alias("a"), F.max("sha").alias("z")).where("a <> z").select("of")
     cuts = repeated_passages(docs, id_col, text_col).where(~F.col("kept")).groupBy("doc_id")
     cuts = cuts.agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+    cuts = cuts.join(several, F.col("doc_id").eqNullSafe(F.col("of")), "left_anti")
     marked = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[f"`{id_col}`"].cast("long").alias("doc"))
     joined = marked.join(cuts, marked["doc"].eqNullSafe(cuts["doc_id"]), "left")
     text = F.col(f"row.`{text_col}`")

@@ -185,3 +185,32 @@ def test_odd_texts(spark):
         docs = frame(spark)
         assert without_repeats(docs).columns == docs.columns and without_repeats(docs).count() == docs.count()
     assert repeated_passages(nothing(spark)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<main><article><p>First part here.</p></article><article><p>Second part.</p></article></main>", "First part here.\nSecond part."),
+        ("<article><h1>Head</h1><article><p>Inner one.</p></article><p>End.</p></article>", "Head\nInner one.\nEnd."),
+        ("<main><p>A long main text of many words that is the page's own.</p><article>Teaser</article></main>", "A long main text of many words that is the page's own.\nTeaser"),
+        ("<aside><article><p>Not this one, it is beside.</p></article></aside><article><p>This one.</p></article>", "This one."),
+        ("<div role=article><p>By role.</p></div><nav><article>menu</article></nav>", "By role."),
+    ],
+)
+def test_all_articles_are_the_text(page, text):
+    assert main_text(f"<html><body>{page}</body></html>") == text
+
+
+def test_many_nested_articles_take_linear_time():
+    assert main_text("<article>" * 20_000 + "<p>deep</p>") == "deep"
+
+
+def test_rows_that_share_an_id_keep_their_own_text(spark):
+    """A place of one text is not cut from another that has the same id, or none."""
+    line = " ".join(f"shared{k}" for k in range(60))
+    own = " ".join(f"own{k}" for k in range(80))
+    rows = [(1, line), (2, f"{line}\nand more of it"), (2, own), (None, line), (None, own[::-1]), (3, line)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["text"]) for r in without_repeats(docs).collect()}
+    assert {(2, own), (2, f"{line}\nand more of it"), (None, own[::-1]), (None, line)} <= got
+    assert line not in {t for i, t in got if i == 3}
