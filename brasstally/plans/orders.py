@@ -27,6 +27,10 @@ LEGACY_ITEM = "legacy_item"
 # Which order totals are refused, and the code of each.
 TOTAL_CODES = {"<=0": "zero_or_negative_total", "==0": "zero_total"}
 
+# What the order rules read of the written lines, and what items, terms and dates are derived from.
+RULE_COLUMNS = ("order_number", "amount", "reject_code", "reject_message")
+DERIVING_COLUMNS = ("product_code", "start_date_utc", "end_date_utc", "contract_start_date", "contract_end_date")
+
 
 @dataclass(frozen=True)
 class OrderOptions:
@@ -133,25 +137,27 @@ def _with_order_total(df: DataFrame, hot: HotKeys, spread: Sequence[str]) -> Dat
     return totalled.withColumn("order_total", F.col("order_total").cast("decimal(28,4)"))
 
 
-def _order_figures(df: DataFrame, hot: HotKeys) -> DataFrame:
-    """Adds ``order_total``, and ``_first`` and ``_last`` service date of the line's product in its order.
+def _order_figures(df: DataFrame, products: Sequence[str], hot: HotKeys) -> DataFrame:
+    """Adds ``order_total``, and for lines of listed products ``_first`` and ``_last`` service date of the product in its order.
 
-    One aggregate per order and product serves both; an order has no more of its
-    rows than it has products.
+    One aggregate per order serves all, with two columns for each listed product: an order
+    has one row of figures, and its lines are moved once, by their order alone.
     """
     counted = F.col("reject_code").isNull()
-    start, end = service_period()
     number = F.coalesce(number_in(df, "amount").try_cast("decimal(24,4)"), F.lit(0))
     keyed = df.withColumn("_product", F.coalesce(strip("product_code"), F.lit("")))
-    parts = keyed.groupBy(F.col("_order").alias("_key_order"), F.col("_product").alias("_key_product")).agg(
-        F.sum(F.when(counted, number)).alias("_part"),
-        F.min(F.when(counted, start)).alias("_first"),
-        F.max(F.when(counted, end)).alias("_last"),
-    )
-    total = F.sum("_part").over(Window.partitionBy("_key_order")).cast("decimal(28,4)")
-    figures = parts.withColumn("order_total", total).drop("_part")
-    on = [("_order", "_key_order"), ("_product", "_key_product")]
-    return enrich(keyed, figures, on, hot=hot, spread=["crm_line_id"]).drop("_key_order", "_key_product")
+    totals = {"order_total": F.sum(F.when(counted, number))}
+    for i, product in enumerate(products):
+        start, end = (F.when(counted & (F.col("_product") == product), c) for c in service_period())
+        totals |= {f"_first_{i}": F.min(start), f"_last_{i}": F.max(end)}
+    figured = group_totals(keyed, ["_order"], totals, hot=hot, spread=["crm_line_id"])
+    none = F.lit(None).cast("date")
+    first, last = F.when(F.lit(False), none), F.when(F.lit(False), none)
+    for i, product in enumerate(products):
+        same = F.col("_product") == product
+        first, last = first.when(same, F.col(f"_first_{i}")), last.when(same, F.col(f"_last_{i}"))
+    dated = figured.withColumns({"order_total": F.col("order_total").cast("decimal(28,4)"), "_first": first, "_last": last})
+    return dated.drop(*[f"_{end}_{i}" for i in range(len(products)) for end in ("first", "last")])
 
 
 def _refuse_totals(df: DataFrame, policy: str) -> DataFrame:
@@ -203,11 +209,13 @@ def prepare_subscription_orders(
     options: OrderOptions = OrderOptions(),
     *,
     hot: Mapping[str, HotKeys] | None = None,
+    columns: Sequence[str] | None = None,
 ) -> Result:
     """Checked, addressed, priced, banded and dated order lines, judged line by line and order by order.
 
     Banding faults are warnings: the line stays. Lines joined with ``flat_addresses``
-    of their billing details are not parsed again.
+    of their billing details are not parsed again. ``columns`` names those of the result
+    that the caller uses besides the refusal: only what they and the rules need is then moved and written.
     """
     heavy_orders = order_keys((hot or {}).get("order_number"))
     checked = required_fields(open_judgement(subs), missing_order_fields(), missing_fields_message)
@@ -250,7 +258,15 @@ def prepare_subscription_orders(
     # The lines are written once: their orders' figures and the lines themselves are read from
     # there, so that what is behind them is evaluated once. The figures come before the row-level
     # rest: narrower rows are shuffled, and no generated method grows too large for the JIT compiler.
-    coded = _order_figures(by_order(staged(gated, "order-lines")), heavy_orders).withColumn("_code", F.coalesce(strip("product_code"), F.lit("")))
+    if columns is not None:
+        used = {*columns, *RULE_COLUMNS} | ({"crm_line_id"} if heavy_orders else set())
+        if derives := not {*columns} <= {*gated.columns, "order_total"}:
+            used |= {*DERIVING_COLUMNS, *(options.frequencies if options.schedules else ())}
+        unread = {f.name: F.lit(None).cast(f.dataType) for f in gated.schema if f.name in DERIVING_COLUMNS and f.name not in used}
+        gated = gated.select(*[c for c in gated.columns if c in used], *[none.alias(c) for c, none in unread.items()])
+    products = options.grouped_products if columns is None or derives else ()
+    figured = _order_figures(by_order(staged(gated, "order-lines")), products, heavy_orders)
+    coded = figured.withColumn("_code", F.coalesce(strip("product_code"), F.lit("")))
     banded = F.col("_code").isin(*options.banded_products) if options.banded_products else F.lit(False)
     itemed = with_item(term_columns(coded, banded), lookups, options.banded_products, "_code")
     term_failed = banded & F.col("term_months").isNull()
@@ -308,7 +324,10 @@ def prepare_subscription_orders(
                 "rr_end_date": F.when(listed, F.col("_last")).otherwise(F.col("rr_end_date")),
             }
         )
-    return Result(_refuse_totals(dated, options.total_policy).drop("_order", "_product", "_first", "_last"))
+    judged = _refuse_totals(dated, options.total_policy).drop("_order", "_product", "_first", "_last")
+    if columns is not None:
+        judged = judged.select(*columns, *[c for c in ("reject_code", "reject_message") if c not in columns])
+    return Result(judged)
 
 
 def refused_orders(judged: DataFrame, policy: str = "<=0") -> DataFrame:

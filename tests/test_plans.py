@@ -675,3 +675,42 @@ def test_quality_checks_fail_on_bad_rows(spark):
     assert rows(got, "check_name", "failures", "passed") == sorted(
         [("iso", 1, False), ("allow", 2, False), ("uniq", 1, False), ("term", 2, False), ("prefix", 1, False), ("rows", 0, True), ("values", 2, False)], key=str
     )
+
+
+def test_orders_move_and_write_only_what_is_used(spark, small, monkeypatch):
+    """The lines written between are as wide as the caller needs, and every row is judged as without ``columns``."""
+    from workload.queries import _lookups, _options, order_input
+    from workload.views import Views
+
+    kept = []
+    monkeypatch.setattr(orders, "staged", lambda df, name: kept.append(df) or df)
+    v = Views(spark, small)
+    lines = order_input(v, flat=True)
+    whole = orders.prepare_subscription_orders(lines, _lookups(v), _options()).judged
+    for shown in ([], ["id", "order_total"], ["id", "product_code_branding", "rr_end_date", "billing_schedule_suggested", "warnings"]):
+        judged = orders.prepare_subscription_orders(lines, _lookups(v), _options(), columns=shown).judged
+        names = [*shown, "reject_code", "reject_message"]
+        assert judged.columns == names
+        assert sorted(map(str, judged.collect())) == sorted(map(str, whole.select(*names).collect()))
+        assert "billing_email" in kept[0].columns and "billing_email" not in kept[-1].columns
+        assert len(kept[-1].columns) < len(kept[0].columns) / 2
+
+
+def test_lines_of_an_order_are_moved_by_their_order_alone(spark):
+    """One row of figures per order, with dates of each listed product: lines are joined to it by one key."""
+    from brasstally.operators.rules import open_judgement
+
+    day = date
+    rows = [("o1", "A", 5, 1, 9), ("o1", "A ", 6, 0, 3), ("o1", "B", -20, 4, 5), ("o2", "B", 1, 2, 3), (None, "A", 4, 7, 8), ("", "A", 1, 1, 2), ("o2", None, None, 6, 6)]
+    rows = [(o, p, a, day(2020, 1, s + 1), day(2020, 2, e + 1)) for o, p, a, s, e in rows]
+    df = spark.createDataFrame(rows, "order_number string, product_code string, amount int, start_date_utc date, end_date_utc date")
+    df = df.withColumns({c: F.lit(None).cast("date") for c in ("contract_start_date", "contract_end_date")})
+    made = orders._order_figures(orders.by_order(open_judgement(df)), ["A"], orders.NONE_HOT)
+    got = {(r["order_number"], r["product_code"]): (int(r["order_total"]), r["_first"] and r["_first"].day, r["_last"] and r["_last"].day) for r in made.collect()}
+    assert got == {
+        ("o1", "A"): (-9, 1, 10), ("o1", "A "): (-9, 1, 10), ("o1", "B"): (-9, None, None), ("o2", "B"): (1, None, None),
+        ("o2", None): (1, None, None), (None, "A"): (4, 8, 9), ("", "A"): (1, 2, 3),
+    }
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join " in x]
+    assert len(joins) == 1 and "_key__order" in joins[0] and "product" not in joins[0]
