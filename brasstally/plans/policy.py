@@ -39,6 +39,10 @@ class Policy:
         return [F.desc_nulls_last(c) for c in self.newest_by()]
 
 
+# Most lines may have no third party: their rows, which match nothing, are dealt out in joins by it.
+NULLS_DEALT = {"third_party_payer_id": HotKeys(nulls=True, splits=1024)}
+
+
 def skewed(hot: Hot, *columns: str) -> dict[str, HotKeys]:
     """The hot keys that the caller knows; none are looked for."""
-    return {c: (hot or {}).get(c, NONE_HOT) for c in columns}
+    return {c: (hot or {}).get(c, NULLS_DEALT.get(c, NONE_HOT)) for c in columns}

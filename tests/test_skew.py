@@ -149,3 +149,18 @@ def test_group_span_over_dates(spark):
     assert rows(plain) == rows(hot)
     a = plain.filter("product_code = 'A'").select("rr_start_date", "rr_end_date").distinct().collect()
     assert [tuple(r) for r in a] == [(date(2024, 1, 1), date(2024, 2, 1))]
+
+
+def test_lines_without_third_party_are_dealt_out(spark):
+    """A join by the third party does not send all lines that have none to one task."""
+    from brasstally.plans.policy import skewed
+
+    n = F.col("id").cast("string")
+    subs = spark.range(4000).select(n.alias("crm_line_id"), F.when(F.col("id") % 4 == 0, n).alias("third_party_payer_id"), n.alias("billing_account_id"))
+    info = spark.range(100).select(
+        n.alias("account_id"), F.lit(False).alias("is_deleted"), *[F.lit("x").alias(c) for c in ("billing_address", "shipping_address", "legal_name", "tax_id", "synced_at")]
+    )
+    plain = {c: HotKeys() for c in ("third_party_payer_id", "billing_account_id")}
+    given = skewed(None, *plain)
+    assert given["third_party_payer_id"].nulls and given["third_party_payer_id"].splits > 100
+    assert rows(subscriptions.with_both_roles(subs, info, given)) == rows(subscriptions.with_both_roles(subs, info, plain))
