@@ -26,11 +26,16 @@ from brasstally.operators.skew import enrich
 from brasstally.plans.policy import Hot, Policy, skewed
 
 
-def billable_account(policy: Policy, *, exempt: bool = False) -> Column:
+def exempt_type(policy: Policy) -> Column:
+    """The line's type is billed whatever the state of its account."""
+    return F.col("type").isin(*policy.status_exempt_types) if policy.status_exempt_types else F.lit(False)
+
+
+def billable_account(policy: Policy, *, exempt: bool | Column = False) -> Column:
     """Joined account is in a billed state, on no free tier, not an expired trial."""
     status = F.col("account_status").isin(*policy.account_statuses)
-    if exempt and policy.status_exempt_types:
-        status = status | F.col("type").isin(*policy.status_exempt_types)
+    if exempt is not False:
+        status = status | (exempt_type(policy) if exempt is True else exempt)
     thawed = F.col("account_freeze_reason").isNull() | (
         F.col("account_freeze_reason") != policy.expired_freeze_reason
     )
@@ -91,8 +96,15 @@ def account_stage_counts(
     live = ~F.col("is_deleted")
     open_ = live & unexpired(as_of)
     # One pass over the versions: a line's counts and its newest open version come from one aggregate,
-    # and go through the joins to one row per account together.
-    newest = F.struct("billing_account_id", "order_number", "type", "synced_at")
+    # and go through the joins to one row per account together. What its order, type and sync say is
+    # told by flags: the rows of this aggregate are sorted, so the narrower they are, the less a task holds.
+    ordered = F.col("order_number").isNotNull() & not_in("type", policy.free_types)
+    newest = F.struct(
+        "billing_account_id",
+        F.coalesce(ordered, F.lit(False)).alias("ordered"),
+        F.coalesce(exempt_type(policy), F.lit(False)).alias("exempt"),
+        F.coalesce(F.col("synced_at") >= floor, F.lit(False)).alias("recent"),
+    )
     lines = subs.groupBy("crm_line_id").agg(
         F.count("*").alias("raw"),
         F.count_if(live).alias("live"),
@@ -104,10 +116,10 @@ def account_stage_counts(
     joined = lines.join(prefixed(states, "account"), F.col("billing_account_id") == F.col("account_id"), "left").join(
         prefixed(details, "info"), F.col("billing_account_id") == F.col("info_account_id"), "left"
     )
-    ordered = F.col("found") & F.col("order_number").isNotNull() & not_in("type", policy.free_types)
+    ordered = F.col("found") & F.col("ordered")
     on_account = ordered & F.col("account_id").isNotNull()
-    billed = on_account & billable_account(policy, exempt=True)
-    recent = any_of([F.coalesce(F.col(c) >= floor, F.lit(False)) for c in ("synced_at", "account_synced_at", "info_synced_at")])
+    billed = on_account & billable_account(policy, exempt=F.col("exempt"))
+    recent = any_of([F.col("recent"), *[F.coalesce(F.col(c) >= floor, F.lit(False)) for c in ("account_synced_at", "info_synced_at")]])
     return counted_stages(
         joined,
         {
