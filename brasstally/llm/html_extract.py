@@ -5,8 +5,9 @@ one path (names with their classes). Its importance is the mean of two entropies
 the pages that have it, each as a share of the largest possible: of its presentation
 (which children it has) and of its content. What says the same on every page has
 low importance and goes from each page, branch by branch, besides what its name,
-class or role marks as no part of an article. Equal pages of a host count once, and
-nothing goes from an article or main part for its entropies.
+class or role marks as no part of an article. Equal pages of a host count once. On every
+page, with an article or main part or without, a node goes for its entropies only if it says there
+what nearly all pages say, and only if more than headings is left: a copied body is no boilerplate.
 
 The tree is never built in one place: a page gives a row for each of its nodes, and
 entropies are sums over groups of these rows. A host that holds a third of all pages
@@ -130,34 +131,47 @@ def style_rows(pages: DataFrame) -> DataFrame:
 
 
 def low_nodes(pages: DataFrame, low: float = LOW, least: int = LEAST_PAGES) -> DataFrame:
-    """``host`` and ``low``: the keys of its nodes of less than such importance that say one thing on nearly all distinct pages."""
+    """``host`` and ``low``: its nodes of less than such importance that say one thing on nearly all distinct pages, by key, with a digest of that."""
     # Equal pages are told by their own node rows: no page is moved for it.
     values = style_rows(pages).dropDuplicates(["host", "page", "node"]).select("host", "node", F.posexplode(F.array("shape", "content")).alias("kind", "value"))
     counts = values.groupBy("host", "node", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
-    sums = counts.groupBy("host", "node", "kind").agg(F.sum("n").alias("m"), F.max("n").alias("most"), F.sum(F.col("n") * F.log("n")).alias("s"))
+    sums = counts.groupBy("host", "node", "kind").agg(F.sum("n").alias("m"), F.max("n").alias("most"), F.max_by("value", "n").alias("top"), F.sum(F.col("n") * F.log("n")).alias("s"))
     entropy = (F.log("m") - F.col("s") / F.col("m")) / F.log("m")
+    said = F.col("kind") == 1
     nodes = sums.where(F.col("m") >= least).groupBy("host", "node").agg(
-        F.avg(entropy).alias("importance"), F.max(F.when(F.col("kind") == 1, F.col("most") / F.col("m"))).alias("share")
+        F.avg(entropy).alias("importance"),
+        F.max(F.when(said, F.col("most") / F.col("m"))).alias("share"),
+        F.max(F.when(said, F.col("top"))).alias("top"),
     )
     same = nodes.where((F.col("importance") < low) & (F.col("share") >= NEARLY_ALL))
-    return same.groupBy("host").agg(F.collect_list("node").alias("low"))
+    return same.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("node", "top"))).alias("low"))
+
+
+def low_on(html: str, low: dict[int, int]) -> frozenset[int]:
+    """The keys of a site's low nodes that say on this page what they say on nearly all: what it says of its own there stays."""
+    return frozenset(key for key, (_, content) in page_nodes(html).items() if low.get(key) == content) if low else frozenset()
 
 
 def main_text(html: str, low: frozenset[int] = frozenset()) -> str:
     """A page's article: its blocks in page order, one on a line.
 
     Branches marked as noise go. Of the rest, all articles together are the text, unless
-    they hold less than half of the main part, which then is; else the body. From the body, nodes of low importance go too, unless
+    they hold less than half of the main part, which then is; else the body. From each, nodes of low importance go too, unless
     nothing but headings would be left.
     """
     root = read_page(html)
     noise = {id(e) for e in elements_of(root) if marked_noise(e, low)}
+    headings = {e.key for e in elements_of(root) if e.name in HEADINGS}
 
-    def text_of(e: Element, dropped: frozenset[int] = frozenset()) -> list[str]:
-        return blocks_of(e, lambda x: id(x) in noise or x is not e and x.key in dropped if dropped else id(x) in noise)
+    def text_of(parts: list[Element], dropped: frozenset[int] = frozenset()) -> list[str]:
+        return [line for e in parts for line in blocks_of(e, lambda x: id(x) in noise or x is not e and x.key in dropped if dropped else id(x) in noise)]
 
-    def parts_of(name: str) -> str:
-        """The text of all shown elements of a name or role that stand in no other one, in page order."""
+    def site_free(parts: list[Element]) -> str:
+        """The text of these without what the site repeats."""
+        return "\n".join(text_of(parts, low) if low and text_of(parts, low | headings) else text_of(parts))
+
+    def parts_of(name: str) -> list[Element]:
+        """All shown elements of a name or role that stand in no other one, in page order."""
         outer, below = [], set()  # below: ids of what is left out or stands in one already
         for e in elements_of(root):
             if id(e) in noise or id(e.parent) in below:
@@ -165,17 +179,16 @@ def main_text(html: str, low: frozenset[int] = frozenset()) -> str:
             elif e.name == name or e.attributes.get("role") == name:
                 below.add(id(e))
                 outer.append(e)
-        return "\n".join(line for e in outer for line in text_of(e))
+        return outer
 
-    articles, main = parts_of("article"), parts_of("main")
+    articles, main = site_free(parts_of("article")), site_free(parts_of("main"))
     # Articles that hold only a small part of the main text, such as teasers, are not the text.
     if articles and 2 * len(articles) >= len(main):
         return articles
     if main:
         return main
     noise |= mostly_links(root)
-    headings = {e.key for e in elements_of(root) if e.name in HEADINGS}
-    return "\n".join(text_of(root, low) if text_of(root, low | headings) else text_of(root))
+    return site_free([root])
 
 
 def mostly_links(root: Element) -> set[int]:
@@ -204,8 +217,8 @@ def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = [frozenset(x.as_py() or ()) for x in batch.column(3)]
-            texts = [main_text(h.as_py() or "", x) for h, x in zip(batch.column(2), nodes, strict=True)]
+            pages = [(h.as_py() or "", dict(x.as_py() or ())) for h, x in zip(batch.column(2), batch.column(3), strict=True)]
+            texts = [main_text(html, low_on(html, low)) for html, low in pages]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"],

@@ -63,6 +63,17 @@ def test_copies_of_one_page_keep_their_text(spark):
     assert {r["text"] for r in extract(pages).collect()} == {"Title\nSame text everywhere"}
 
 
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<main>{}</main>", "<div role=main>{}</div>"])
+def test_style_tree_acts_inside_articles_and_main_parts(spark, frame):
+    """What a site repeats beside its stories goes; what a page says of its own in the same place stays."""
+    box = "<h1>Title {0}</h1><div class=lead><p>{1}</p></div><p>Story {0} tells of {0} things</p>"
+    said = {i: "Own words" if i == 7 else "All stories of the week" for i in range(40)}
+    rows = [(i, f"http://a.example/{i}", frame.format(box.format(i, x))) for i, x in said.items()]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"Title {i}\n" + ("Own words\n" if i == 7 else "") + f"Story {i} tells of {i} things" for i in said}
+    assert {r["page_id"]: r["text"] for r in extract(pages).collect()} == want
+
+
 @pytest.mark.parametrize(
     "page,text",
     [
