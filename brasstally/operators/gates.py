@@ -21,9 +21,9 @@ SYNC_WINDOW = timedelta(hours=28)
 SYNC_DAY, KEY_PART, KEY_PARTS = "sync_day", "key_part", 256
 
 
-def part_of(key: str, parts: int) -> Column:
-    """The part of its key that a version is kept in."""
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(parts)).cast("int")
+def part_of(key: str | Column, parts: int) -> Column:
+    """The part of its key that a version is kept in: the bucket of a table bucketed by that key."""
+    return F.pmod(F.hash(key), F.lit(parts)).cast("int")
 
 
 def synced_since(rows: DataFrame, floor: Column, synced: str = "synced_at") -> DataFrame:
@@ -69,29 +69,45 @@ def with_changes(
     *,
     synced: str = "synced_at",
     parts: int = KEY_PARTS,
+    telling: Column | None = None,
 ) -> DataFrame:
     """All versions of the keys of which any version, or any row related to one, was synced inside the window.
 
     ``related`` has (column of versions, frame, its key). What a run ranks and joins
     then follows what changed, not all history. A superset of what a recency gate
-    behind the joins would keep: the gate still decides.
+    behind the joins would keep: the gate still decides. Where only versions that meet a
+    condition can come out of what follows, ``telling`` is that condition: others make no
+    key changed, but stay in the history of those that are.
 
     Of related tables kept by day of sync only the days of the window are read. Of
     versions kept in ``parts`` of their key, only the parts of changed keys are read for
-    their history (dynamic partition pruning, where the keys are few enough to be broadcast).
+    their history (dynamic partition pruning; the parts, at most ``parts`` rows, are broadcast).
+    Read as a table bucketed by that key (``sinks.keep_by_key``), their rows are not moved
+    to find it.
     """
     floor = cutoff(as_of, window)
-    changed = versions.withColumn("_changed", F.coalesce(F.col(synced) >= floor, F.lit(False)))
+    changed = versions if telling is None else versions.filter(telling)
+    changed = changed.withColumn("_changed", F.coalesce(F.col(synced) >= floor, F.lit(False)))
     for i, (column, rows, rows_key) in enumerate(related):
         recent = synced_since(rows, floor, synced).select(F.col(rows_key).alias(f"_near{i}")).distinct()
         changed = changed.join(recent, F.col(column) == F.col(f"_near{i}"), "left")
         changed = changed.withColumn("_changed", F.col("_changed") | F.col(f"_near{i}").isNotNull())
-    keys = changed.filter("_changed").select(F.col(key).alias("_key")).distinct()
-    same = F.col(key).eqNullSafe(F.col("_key"))
-    if KEY_PART in versions.columns:
-        keys = keys.withColumn("_part", part_of("_key", parts))
-        same = (F.col(KEY_PART) == F.col("_part")) & same
-    return versions.join(keys, same, "left_semi").drop(KEY_PART)
+    keys = changed.filter("_changed").select(F.col(key).alias("_key"))
+    if KEY_PART not in versions.columns:
+        return versions.join(keys.distinct(), F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    # A plain equality, to rows that lie in no order by key yet, lets the buckets stay as they are,
+    # however many partitions a shuffle has; versions without a key follow one row.
+    part = part_of("_key", parts)
+    # Both uses ask the same of a key, so that Spark finds the changed ones once.
+    known = keys.filter(F.col("_key").isNotNull() & part.isNotNull())
+    touched = F.broadcast(known.select(part.alias("_part")).distinct())
+    near = versions.join(touched, F.col(KEY_PART) == F.col("_part"), "left_semi")
+    keyed = near.join(known, F.col(key) == F.col("_key"), "left_semi")
+    no_key = part_of(F.lit(None).cast(versions.schema[key].dataType), parts)
+    unkeyed = versions.filter(F.col(key).isNull() & (F.col(KEY_PART) == no_key)).join(
+        F.broadcast(keys.filter(F.col("_key").isNull()).limit(1)), F.lit(True), "left_semi"
+    )
+    return keyed.union(unkeyed).drop(KEY_PART)
 
 
 def synced_between(df: DataFrame, columns: Sequence[str], start: datetime, end: datetime) -> DataFrame:

@@ -78,9 +78,13 @@ def not_in_or_missing(column: str, values) -> Column:
     return ~F.coalesce(F.col(column), F.lit("")).isin(*values) if values else F.lit(True)
 
 
+def dated(created_from: datetime) -> Column:
+    return ~F.col("is_evergreen") & (F.col("created_at") >= stamp(created_from))
+
+
 def dated_lines(subs: DataFrame, created_from: datetime, policy: Policy) -> DataFrame:
     """Newest version of every fixed-term line created since a date."""
-    fixed = subs.filter(~F.col("is_evergreen") & (F.col("created_at") >= stamp(created_from)))
+    fixed = subs.filter(dated(created_from))
     return resolve_payer(
         latest_version(fixed, ["crm_line_id"], policy.newest_first()), policy.third_party_types
     )
@@ -101,8 +105,11 @@ def subscription_sync(
     ``legal_name_from='payer'`` takes the legal name by role as the addresses are.
     """
     hot = skewed(hot, "third_party_payer_id", "billing_account_id")
-    near = [("billing_account_id", info, "account_id"), ("third_party_payer_id", info, "account_id")]
-    changed = with_changes(subs, "crm_line_id", near, as_of, policy.window)
+    live = info.filter(~F.col("is_deleted"))
+    near = [("billing_account_id", live, "account_id"), ("third_party_payer_id", live, "account_id")]
+    # The gate sees the newest version that competes, if it can be ordered, and live details only.
+    telling = ~F.col("is_deleted") & dated(created_from) & orderable(policy)
+    changed = with_changes(subs, "crm_line_id", near, as_of, policy.window, telling=telling)
     lines = dated_lines(changed, created_from, policy).filter(orderable(policy))
     joined = with_both_roles(lines, info, hot)
     recent = recency_gate(

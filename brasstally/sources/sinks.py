@@ -26,7 +26,23 @@ def _shown(fs, folder) -> list:
     return [p for p in found if p.getName()[0] not in "_." or p.getName() == "_SUCCESS"]
 
 
-def replace_files(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
+# Fixed value: tables kept for later reads are written once and read often.
+KEPT_AS = {"compression": "zstd"}
+
+
+def _write_buckets(df: DataFrame, path: str, partition_by: Sequence[str], parts: int, key: str) -> None:
+    """Rows in buckets of a key and by it within them; Spark writes these as a table only, which is forgotten."""
+    table = f"coming_{uuid.uuid4().hex}"
+    rows = df.write.format("parquet").options(**KEPT_AS).option("path", path).partitionBy(*partition_by)
+    try:
+        rows.bucketBy(parts, key).sortBy(key).saveAsTable(table)
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def replace_files(
+    df: DataFrame, path: str, *, partition_by: Sequence[str] = (), buckets: tuple[int, str] | None = None
+) -> None:
     """Put the rows in place of all that readers see at ``path``, once they are written.
 
     They are written beside it first, in a folder that readers skip, so that a job that
@@ -38,7 +54,10 @@ def replace_files(df: DataFrame, path: str, *, partition_by: Sequence[str] = ())
     jpath = spark._jvm.org.apache.hadoop.fs.Path
     coming, going = (jpath(folder, f"_{n}-{uuid.uuid4().hex}") for n in ("coming", "going"))
     try:
-        df.write.partitionBy(*partition_by).parquet(coming.toString())
+        if buckets is None:
+            df.write.partitionBy(*partition_by).parquet(coming.toString())
+        else:
+            _write_buckets(df, coming.toString(), partition_by, *buckets)
     except BaseException:
         fs.delete(coming, True)
         raise
@@ -74,13 +93,30 @@ def keep_by_day(df: DataFrame, path: str, *, synced: str = "synced_at") -> None:
     Rows without a time of sync are kept apart, under no day.
     """
     by_day = df.withColumn(SYNC_DAY, F.col(synced).cast("date")).hint("rebalance", SYNC_DAY)
-    by_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SYNC_DAY).parquet(path)
+    kept = by_day.write.options(**KEPT_AS, partitionOverwriteMode="dynamic")
+    kept.mode("overwrite").partitionBy(SYNC_DAY).parquet(path)
 
 
-def keep_by_key(df: DataFrame, path: str, key: str, *, parts: int = KEY_PARTS) -> None:
-    """All versions kept in parts of their key, for reads of the history of few keys; replaces what is there."""
+def keep_by_key(df: DataFrame, path: str, key: str, *, parts: int = KEY_PARTS, table: str | None = None) -> None:
+    """All versions kept in parts of their key, for reads of the history of few keys; replaces what is there.
+
+    A part is a bucket of the key, too. With ``table`` the files are defined as that catalog
+    table: joins and windows by the key then read each part in one task and move no row
+    of it, where a read of ``path`` moves them all.
+    """
     by_part = df.withColumn(KEY_PART, part_of(key, parts)).hint("rebalance", KEY_PART)
-    replace_files(by_part, path, partition_by=[KEY_PART])
+    replace_files(by_part, path, partition_by=[KEY_PART], buckets=(parts, key))
+    if table is not None:
+        spark = df.sparkSession
+        folder, fs = _storage(spark, path)
+        where = fs.makeQualified(folder).toString().replace("'", "\\'")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in by_part.schema)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({KEY_PART})"
+            f" CLUSTERED BY (`{key}`) INTO {parts} BUCKETS LOCATION '{where}'"
+        )
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
 
 
 def replace_table(df: DataFrame, table: str, root: str | None = None, *, format: str = "parquet") -> str:
