@@ -5,17 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from brasstally.functions.address import flatten_address
 from brasstally.functions.dates import as_date, term_band, term_months, with_billing_schedule
 from brasstally.functions.numbers import number_in, rate
 from brasstally.functions.text import is_blank, is_empty, strip
+from brasstally.operators.lookups import brought
 from brasstally.operators.rules import open_judgement, refuse, required_fields
 from brasstally.operators.skew import NONE_HOT, HotKeys, enrich, group_totals
 from brasstally.plans.validation import PARTNER_PAYERS, PAYER_NAMES, Lookups, payer_name, with_item, with_partner
 from brasstally.result import Result
-from brasstally.sources.staging import staged
+from brasstally.sources.staging import staged, to_stage_by
 
 # How a line's item was found.
 NOT_BANDED = "default_no_banding"
@@ -102,6 +103,10 @@ def order_keys(hot: HotKeys | None) -> HotKeys:
     return HotKeys((*keyed.values, ""), False, found.splits) if found.nulls else keyed
 
 
+# Fixed value: over how many groups lines without an order number are dealt while they are staged by order.
+UNNUMBERED_PARTS = 1 << 20
+
+
 def by_order(df: DataFrame) -> DataFrame:
     """Adds the group key of the order rules. A missing number is not the empty one."""
     return df.withColumn("_order", F.coalesce(F.concat(F.lit("="), "order_number"), F.lit("")))
@@ -137,20 +142,34 @@ def _with_order_total(df: DataFrame, hot: HotKeys, spread: Sequence[str]) -> Dat
     return totalled.withColumn("order_total", F.col("order_total").cast("decimal(28,4)"))
 
 
-def _order_figures(df: DataFrame, products: Sequence[str], hot: HotKeys) -> DataFrame:
-    """Adds ``order_total``, and for lines of listed products ``_first`` and ``_last`` service date of the product in its order.
-
-    One aggregate per order serves all, with two columns for each listed product: an order
-    has one row of figures, and its lines are moved once, by their order alone.
-    """
+def _figure_totals(keyed: DataFrame, products: Sequence[str]) -> dict[str, Column]:
+    """The aggregates of one order: its total, and first and last service date of each listed product."""
     counted = F.col("reject_code").isNull()
-    number = F.coalesce(number_in(df, "amount").try_cast("decimal(24,4)"), F.lit(0))
-    keyed = df.withColumn("_product", F.coalesce(strip("product_code"), F.lit("")))
+    number = F.coalesce(number_in(keyed, "amount").try_cast("decimal(24,4)"), F.lit(0))
     totals = {"order_total": F.sum(F.when(counted, number))}
     for i, product in enumerate(products):
         start, end = (F.when(counted & (F.col("_product") == product), c) for c in service_period())
         totals |= {f"_first_{i}": F.min(start), f"_last_{i}": F.max(end)}
+    return totals
+
+
+def _order_figures(df: DataFrame, products: Sequence[str], hot: HotKeys, *, unnumbered_dealt: bool = False) -> DataFrame:
+    """Adds ``order_total``, and for lines of listed products ``_first`` and ``_last`` service date of the product in its order.
+
+    One aggregate per order serves all, with two columns for each listed product: an order
+    has one row of figures, and its lines are moved once, by their order alone. Lines staged
+    by their order are not moved. With ``unnumbered_dealt`` lines without an order number lie dealt over
+    many groups (``_dealt_by_order``): they are one order still, whose one row of figures is sent to all tasks.
+    """
+    keyed = df.withColumn("_product", F.coalesce(strip("product_code"), F.lit("")))
+    totals = _figure_totals(keyed, products)
     figured = group_totals(keyed, ["_order"], totals, hot=hot, spread=["crm_line_id"])
+    if unnumbered_dealt:
+        lone = F.col("order_number").isNull()
+        whole = keyed.filter(lone).agg(*[c.alias(f"_whole_{n}") for n, c in totals.items()])
+        figured = figured.crossJoin(F.broadcast(whole)).withColumns(
+            {n: F.when(lone, F.col(f"_whole_{n}")).otherwise(F.col(n)) for n in totals}
+        ).drop(*[f"_whole_{n}" for n in totals])
     none = F.lit(None).cast("date")
     first, last = F.when(F.lit(False), none), F.when(F.lit(False), none)
     for i, product in enumerate(products):
@@ -160,6 +179,24 @@ def _order_figures(df: DataFrame, products: Sequence[str], hot: HotKeys) -> Data
     return dated.drop(*[f"_{end}_{i}" for i in range(len(products)) for end in ("first", "last")])
 
 
+def _dealt_by_order(df: DataFrame) -> DataFrame:
+    """``by_order``, to be staged by it. Lines without an order number are dealt out by what they hold."""
+    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    dealt = F.concat(F.lit("#"), F.pmod(F.xxhash64(*plain), F.lit(UNNUMBERED_PARTS)).cast("string"))
+    keyed = by_order(df)
+    return to_stage_by(keyed.withColumn("_order", F.when(F.col("order_number").isNull(), dealt).otherwise(F.col("_order"))), "_order")
+
+
+def _with_details(lines: DataFrame, details: DataFrame, options: OrderOptions) -> DataFrame:
+    """Lines staged by order, with the billing details of their accounts and flat addresses. The lines are not moved."""
+    flat = details if "billing_attention" in details.columns else flat_addresses(details, options)
+    # Beside the flat ones, it is only asked whether there is an address.
+    short = flat.withColumns({c: F.substring(c, 1, 1) for c in ("billing_address", "shipping_address")})
+    pairs = lines.select("_order", "billing_account_id").filter(F.col("billing_account_id").isNotNull()).distinct()
+    found = pairs.join(short, F.col("billing_account_id") == F.col("info_account")).drop("info_account")
+    return brought(lines, found, "_order", "billing_account_id")
+
+
 def _refuse_totals(df: DataFrame, policy: str) -> DataFrame:
     bad = F.col("order_total") <= 0 if policy == "<=0" else F.col("order_total") == 0
     message = F.concat(
@@ -210,14 +247,25 @@ def prepare_subscription_orders(
     *,
     hot: Mapping[str, HotKeys] | None = None,
     columns: Sequence[str] | None = None,
+    details: DataFrame | None = None,
 ) -> Result:
     """Checked, addressed, priced, banded and dated order lines, judged line by line and order by order.
 
     Banding faults are warnings: the line stays. Lines joined with ``flat_addresses``
     of their billing details are not parsed again. ``columns`` names those of the result
     that the caller uses besides the refusal: only what they and the rules need is then moved and written.
+    ``details`` are the billing details by ``info_account``, for lines that come without them: the lines are
+    then staged by order without addresses, and the addresses of an order's accounts are sent to its lines.
     """
     heavy_orders = order_keys((hot or {}).get("order_number"))
+    near = details is not None and not heavy_orders and columns is None
+    if near:
+        lines = staged(_dealt_by_order(subs).drop("order_number"), "order-lines")
+        numbered = F.when(F.startswith("_order", F.lit("=")), F.substr("_order", F.lit(2))).alias("order_number")
+        lines = lines.select(*[numbered if c == "order_number" else c for c in subs.columns], "_order")
+        subs = _with_details(lines, details, options)
+    elif details is not None:
+        subs = subs.join(details, F.col("billing_account_id") == F.col("info_account"), "left").drop("info_account")
     checked = required_fields(open_judgement(subs), missing_order_fields(), missing_fields_message)
     flat = checked if "billing_attention" in checked.columns else flat_addresses(checked, options)
     flat = flat.drop("billing_address", "shipping_address")
@@ -265,7 +313,12 @@ def prepare_subscription_orders(
         unread = {f.name: F.lit(None).cast(f.dataType) for f in gated.schema if f.name in DERIVING_COLUMNS and f.name not in used}
         gated = gated.select(*[c for c in gated.columns if c in used], *[none.alias(c) for c, none in unread.items()])
     products = options.grouped_products if columns is None or derives else ()
-    figured = _order_figures(by_order(staged(gated, "order-lines")), products, heavy_orders)
+    if near:
+        figured = _order_figures(gated, products, heavy_orders, unnumbered_dealt=True)
+    elif heavy_orders:
+        figured = _order_figures(by_order(staged(gated, "order-lines")), products, heavy_orders)
+    else:
+        figured = _order_figures(staged(_dealt_by_order(gated), "order-lines"), products, heavy_orders, unnumbered_dealt=True)
     coded = figured.withColumn("_code", F.coalesce(strip("product_code"), F.lit("")))
     banded = F.col("_code").isin(*options.banded_products) if options.banded_products else F.lit(False)
     itemed = with_item(term_columns(coded, banded), lookups, options.banded_products, "_code")

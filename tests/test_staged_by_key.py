@@ -1,14 +1,17 @@
 """Rows staged by a key stay where they lie: what follows by that key moves none of them."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from brasstally.operators.latest import first_match, latest_staged, latest_version
 from brasstally.operators.lookups import brought
 from brasstally.operators.rules import open_judgement, refuse
+from brasstally.plans import orders
 from brasstally.result import known_codes
 from brasstally.sources.staging import staged, to_stage_by
-from workload.queries import POLICY, QUERIES
+from workload.queries import POLICY, QUERIES, _lookups, _options, order_details, order_lines
 from workload.views import Views
 
 
@@ -94,6 +97,35 @@ def test_first_match_with_taken_columns_in_its_order(spark):
     assert rows(got) == rows(first_match(df.withColumn("u", F.col("t")), "k", ["n", "t"], ["u", "n"]).withColumnRenamed("u", "t"))
 
 
-@pytest.mark.parametrize("name", ["order_validation_invalid"])
+def test_orders_with_details_apart(spark, small):
+    """Lines that get their details by order: the same rows, for unnumbered orders and repeated details too."""
+    v = Views(spark, small)
+    details = order_details(v)
+    twice = details.union(details.filter("info_account % 5 = 0").withColumn("legal_name", F.lit(" ")))
+    lines = order_lines(v).withColumn("order_number", F.when(F.col("id") % 3 > 0, F.col("order_number")).when(F.col("id") % 2 > 0, "")).cache()
+    drop = ["billing_other", "shipping_other", "warnings"]
+    for known in (details, twice):
+        whole = lines.join(known, F.col("billing_account_id") == F.col("info_account"), "left").drop("info_account")
+        want = orders.prepare_subscription_orders(whole, _lookups(v), _options()).judged.drop(*drop)
+        got = orders.prepare_subscription_orders(lines, _lookups(v), _options(), details=known).judged.drop(*drop)
+        assert rows(got) == rows(want)
+    lines.unpersist()
+
+
+def test_unnumbered_lines_are_one_order_dealt_out(spark):
+    n = F.col("id")
+    lines = spark.range(300).select(
+        n, n.cast("string").alias("crm_line_id"), F.when(n % 3 == 0, "o").when(n % 3 == 1, "").alias("order_number"),
+        F.lit("A").alias("product_code"), (n % 5).cast("decimal(18,2)").alias("amount"), F.date_add(F.lit(date(2024, 1, 1)), n.cast("int")).alias("start_date_utc"),
+    )
+    lines = open_judgement(lines.withColumns({c: F.col("start_date_utc") for c in ("end_date_utc", "contract_start_date", "contract_end_date")}))
+    dealt = staged(orders._dealt_by_order(lines), "lines")
+    assert dealt.filter("order_number IS NULL").select("_order").distinct().count() > 90
+    got = orders._order_figures(dealt, ["A"], orders.NONE_HOT, unnumbered_dealt=True).drop("_order")
+    want = orders._order_figures(orders.by_order(lines), ["A"], orders.NONE_HOT).drop("_order")
+    assert rows(got) == rows(want) and want.filter("order_number IS NULL").select("order_total", "_first", "_last").distinct().count() == 1
+
+
+@pytest.mark.parametrize("name", ["order_validation_invalid", "orders_valid"])
 def test_lines_are_not_moved_once_they_are_staged_by_order(spark, small, few_broadcast, name):
     assert moved(QUERIES[name](spark, small), "termination_date_utc") == []
