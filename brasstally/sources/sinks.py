@@ -55,7 +55,7 @@ def replace_files(
     coming, going = (jpath(folder, f"_{n}-{uuid.uuid4().hex}") for n in ("coming", "going"))
     try:
         if buckets is None:
-            df.write.partitionBy(*partition_by).parquet(coming.toString())
+            df.write.options(**KEPT_AS).partitionBy(*partition_by).parquet(coming.toString())
         else:
             _write_buckets(df, coming.toString(), partition_by, *buckets)
     except BaseException:

@@ -129,3 +129,15 @@ def test_unnumbered_lines_are_one_order_dealt_out(spark):
 @pytest.mark.parametrize("name", ["order_validation_invalid", "orders_valid"])
 def test_lines_are_not_moved_once_they_are_staged_by_order(spark, small, few_broadcast, name):
     assert moved(QUERIES[name](spark, small), "termination_date_utc") == []
+
+
+def test_lines_written_with_their_metrics_are_not_moved_and_lie_in_small_files(spark, small, few_broadcast, tmp_path):
+    from brasstally.sources.sinks import write_with_metrics
+    from workload.queries import _orders
+
+    result = _orders(Views(spark, small))
+    assert moved(result.judged, "termination_date_utc") == []
+    metrics, _ = write_with_metrics(result, f"{tmp_path}/orders")
+    assert rows(metrics) == rows(result.metrics)
+    written = [f.name for f in tmp_path.glob("orders/outcome=*/part-*")]
+    assert written and all(".zstd." in f for f in written)
